@@ -11,9 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickweave.functions.columns import topic, watermark_key
 from clickweave.operators.lateness import advances
 from clickweave.operators.scan import Fold, running
-from clickweave.schemas import topic, watermark_key
 
 FEED = {
     "type": "string", "event_ts": None, "processed_at": None, "seq": "bigint", "user_id": "string",

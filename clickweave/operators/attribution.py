@@ -14,15 +14,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickweave.operators.scan import Fold, running
-from clickweave.schemas import OFFSET_ORDER, as_events
+from clickweave.schemas import OFFSET_ORDER
 
 WINDOW = timedelta(minutes=30)
 
 
-def click_value(order: Sequence[str], eligible: Column | None = None) -> Column:
+def click_value(eligible: Column | None = None, keep: Sequence[str] = ()) -> Column:
     """The click on this row as one value; null on views and on clicks that are not eligible."""
     is_click = ~F.col("is_view") if eligible is None else ~F.col("is_view") & eligible
-    return F.when(is_click, F.struct("event_time", "id", "label", *order))
+    return F.when(is_click, F.struct("event_time", "id", "label", *keep))
 
 
 def within(click: str, window: timedelta) -> Column:
@@ -35,17 +35,37 @@ def resolve(
     window: timedelta = WINDOW,
     order: Sequence[str] = OFFSET_ORDER,
     eligible: Column | None = None,
+    keep: Sequence[str] = (),
     **scan,
 ) -> DataFrame:
-    """Add `click`, the click each view is credited to (null when there is none).
+    """All events with `click`, the click each view is credited to (null when there is none).
 
-    Only clicks meeting `eligible` are candidates. The column is filled on view rows only.
+    Only clicks meeting `eligible` are candidates. `click` is a struct of the click's `event_time`, `id`,
+    `label` and the columns named in `keep`; it is filled on view rows only.
     """
     by_time = ("event_time", "is_view", *order)
-    found = running(events, ["user_id"], by_time, {"click": Fold("last", click_value(order, eligible))}, **scan)
+    found = running(events, ["user_id"], by_time, {"click": Fold("last", click_value(eligible, keep))}, **scan)
     return found.withColumn("click", F.when(F.col("is_view"), within("click", window)))
 
 
+def resolve_views(
+    events: DataFrame,
+    window: timedelta = WINDOW,
+    order: Sequence[str] = OFFSET_ORDER,
+    keep: Sequence[str] = (),
+    **scan,
+) -> DataFrame:
+    """As `resolve`, but views only, which lets click rows travel as the click value alone."""
+    lean = events.withColumns({
+        "_click": click_value(keep=keep),
+        "id": F.when(F.col("is_view"), F.col("id")),
+        "label": F.when(F.col("is_view"), F.col("label")),
+    })
+    by_time = ("event_time", "is_view", *order)
+    found = running(lean, ["user_id"], by_time, {"click": Fold("last", F.col("_click"))}, **scan)
+    return found.filter("is_view").withColumn("click", within("click", window)).drop("_click")
+
+
 def result_columns(click: str = "click") -> list[Column]:
     return [
         F.col("id").alias("page_view_id"),
@@ -57,27 +77,24 @@ def result_columns(click: str = "click") -> list[Column]:
     ]
 
 
-def attributed_views(resolved: DataFrame) -> DataFrame:
-    """The result table: one row per view of a resolved frame."""
-    return resolved.filter("is_view").select(*result_columns())
-
-
 def attribute(
-    clicks: DataFrame, views: DataFrame, window: timedelta = WINDOW,
-    order: Sequence[str] = OFFSET_ORDER, **scan,
+    events: DataFrame, window: timedelta = WINDOW, order: Sequence[str] = OFFSET_ORDER, **scan
 ) -> DataFrame:
-    """Attribution over separate click and view tables that carry `order`."""
-    return attributed_views(resolve(as_events(clicks, views), window, order, **scan))
+    """The result table: one row per view. Merge separate tables with `as_events` first."""
+    return resolve_views(events, window, order, **scan).select(*result_columns())
 
 
-def corrected(resolved: DataFrame, order: Sequence[str]) -> DataFrame:
+def corrected(
+    events: DataFrame, window: timedelta = WINDOW, order: Sequence[str] = OFFSET_ORDER, **scan
+) -> DataFrame:
     """Views whose credited click arrived after them, so that their first result had to be rewritten.
 
     `order` must be comparable across partitions and topics (arrival time, say).
     """
     arrived = F.struct(*order)
     click_arrived = F.struct(*(F.col("click")[name].alias(name) for name in order))
-    return resolved.filter(F.col("is_view") & (click_arrived > arrived))
+    resolved = resolve_views(events, window, order, keep=order, **scan)
+    return resolved.filter(click_arrived > arrived).select(*result_columns())
 
 
 def revisions(
@@ -96,7 +113,7 @@ def revisions(
     """
     runs = [F.col(arrival) < F.lit(end) for end in boundaries] + [F.lit(True)]
     by_time = ("event_time", "is_view", *order)
-    folds = {f"click_{run}": Fold("last", click_value(order, seen)) for run, seen in enumerate(runs)}
+    folds = {f"click_{run}": Fold("last", click_value(seen)) for run, seen in enumerate(runs)}
     found = running(events, ["user_id"], by_time, folds, **scan).filter("is_view")
     found = found.withColumns({name: within(name, window) for name in folds})
 

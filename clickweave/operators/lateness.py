@@ -14,8 +14,9 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickweave.functions.columns import topic, watermark_key
 from clickweave.operators.scan import Fold, running
-from clickweave.schemas import OFFSET_ORDER, VIEW_TOPIC, CLICK_TOPIC, topic, watermark_key
+from clickweave.schemas import OFFSET_ORDER
 
 LATENESS = timedelta(minutes=15)
 
@@ -66,8 +67,10 @@ def slowest_watermarks(final: DataFrame) -> DataFrame:
     return final.groupBy("is_view").agg(F.min("watermark").alias("watermark"))
 
 
-def named(watermarks: DataFrame) -> DataFrame:
-    return watermarks.select(watermark_key().alias("wm_key"), "watermark")
+def named(watermarks: DataFrame, of_topic: str | None = None) -> DataFrame:
+    """Watermarks under their `topic:partition` keys, optionally those of one topic."""
+    keyed = watermarks.select(watermark_key().alias("wm_key"), "watermark")
+    return keyed if of_topic is None else keyed.filter(F.col("wm_key").startswith(f"{of_topic}:"))
 
 
 def evictable(events: DataFrame, window: timedelta, lateness: timedelta) -> DataFrame:
@@ -89,10 +92,3 @@ def evictable(events: DataFrame, window: timedelta, lateness: timedelta) -> Data
         .agg(F.count_if(gone).alias("evictable"), F.count_if(~gone).alias("retained"))
         .select(topic().alias("topic"), "cutoff", "evictable", "retained")
     )
-
-
-def partitions_of(final: DataFrame, name: str) -> DataFrame:
-    """Watermarks of one topic, chosen by the prefix of their key."""
-    if name not in (CLICK_TOPIC, VIEW_TOPIC):
-        raise ValueError(f"unknown topic {name}")
-    return named(final).filter(F.col("wm_key").startswith(f"{name}:"))

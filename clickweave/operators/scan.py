@@ -11,7 +11,7 @@ block starts from the fold of everything before it:
 2. *Blocks.* Each row finds its block by binary search in its group's sorted cut points. The cut
    table has at most `max_cuts` rows by construction, which is what makes broadcasting it safe.
 3. *Carries.* Per block of a cut group, the fold of its rows is aggregated (map side first), then
-   folded across the at most `max_cuts + 1` blocks of the group.
+   folded across the group's blocks, of which there are at most `max_cuts + 1`.
 4. *Window.* Carries join the rows as the first row of their block; one shuffle and sort on
    (keys, block) then yields the running values.
 
@@ -72,16 +72,15 @@ def cut_points(
     )
 
 
-def _cuts_up_to(position: Column, max_cuts: int) -> Column:
-    """How many of `_cuts` are at or before `position`, by binary search."""
-    steps = [F.lit(1 << bit) for bit in range(max_cuts.bit_length(), -1, -1)]
-    return F.aggregate(
-        F.array(*steps),
-        F.lit(0),
-        lambda found, step: F.when(
-            F.get("_cuts", found + step - 1) <= position, found + step
-        ).otherwise(found),
-    )
+def _cuts_up_to(order: Sequence[str], max_cuts: int) -> Column:
+    """How many of `_cuts` are at or before the row, by binary search in halving steps."""
+    position = ", ".join(f"`{name}`" for name in order)
+    return F.expr(f"""
+        aggregate(
+          transform(sequence({max_cuts.bit_length()}, 0, -1), bit -> shiftleft(1, bit)), 0,
+          (found, step) ->
+            if(coalesce(get(_cuts, found + step - 1) <= struct({position}), false), found + step, found))
+    """)
 
 
 def running(
@@ -109,24 +108,19 @@ def running(
     valued = rows.withColumns({name: fold.value for name, fold in inputs.items()})
     placed = (
         valued.join(cuts, keys, "left")
-        .withColumn("_block", F.when(F.col("_cuts").isNull(), 0).otherwise(_cuts_up_to(position, max_cuts)))
+        .withColumn("_block", F.when(F.col("_cuts").isNull(), 0).otherwise(_cuts_up_to(order, max_cuts)))
         .drop("_cuts")
         .withColumn("_real", F.lit(True))
     )
 
-    block_folds = (
+    earlier_blocks = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carries = (
         valued.select(*keys, *order, *inputs)
         .join(cuts, keys)
-        .withColumn("_block", _cuts_up_to(position, max_cuts))
+        .withColumn("_block", _cuts_up_to(order, max_cuts))
         .groupBy(*keys, "_block")
         .agg(*(fold.whole(name, position).alias(name) for name, fold in inputs.items()))
-    )
-    earlier_blocks = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carries = (
-        cuts.select(*keys, F.explode(F.sequence(F.lit(0), F.size("_cuts"))).alias("_block"))
-        .join(block_folds, [*keys, "_block"], "left")
         .withColumns({name: fold.along(name).over(earlier_blocks) for name, fold in inputs.items()})
-        .filter(F.col("_block") > 0)
     )
 
     block = Window.partitionBy(*keys, "_block").orderBy(F.col("_real").asc_nulls_first(), *order)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickweave.functions.columns import format_time
 from clickweave.schemas import ATTRIBUTED
 
 RESULT = [field.name for field in ATTRIBUTED]
@@ -29,6 +30,6 @@ def deduplicated(records: DataFrame) -> DataFrame:
 
 def json_lines(rows: DataFrame) -> DataFrame:
     """Each result row as one JSON text line; times as ISO text in UTC, nulls spelled out."""
-    time = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    time = format_time(F.col("event_time"))
     shown = F.struct(*(time.alias(name) if name == "event_time" else name for name in RESULT))
     return rows.withColumn("line", F.to_json(shown, {"ignoreNullFields": "false"}))

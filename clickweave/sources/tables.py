@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickweave.operators.scan import Fold, running
 
@@ -12,6 +13,16 @@ ARRIVAL_ORDER = ("arrival", "seq")
 ARRIVAL_FACTOR, ARRIVAL_SPREAD_S = 7919, 3600
 PARTITIONS = 3
 
+# Given rather than read from the files, which would take a job per query.
+EVENTS = T.StructType([
+    T.StructField("event_id", T.LongType()),
+    T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("user_id", T.LongType()),
+    T.StructField("event_type", T.StringType()),
+    T.StructField("value", T.DoubleType()),
+    T.StructField("props", T.StringType()),
+])
+
 
 def _arrival() -> Column:
     delay = (F.col("event_id") * ARRIVAL_FACTOR) % ARRIVAL_SPREAD_S
@@ -23,7 +34,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     is_view = F.col("event_type") == "view"
     k = F.get_json_object("props", "$.k")
     return (
-        spark.read.parquet(f"{sf_dir}/events.parquet")
+        spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
         .filter(F.col("event_type").isin("click", "view"))
         .select(
             is_view.alias("is_view"),
