@@ -180,6 +180,9 @@ ORACLE: dict[str, str] = {
         FROM log""",
     "upsert_current": _strict("24 HOUR"),
     "replay_from_log": _strict("30 MINUTE"),
+    "stream_update_30m": _strict("30 MINUTE"),
+    "stream_update_24h": _strict("24 HOUR"),
+    "stream_emit_once_24h": _strict("24 HOUR"),
     "output_table": _strict("6 HOUR"),
     "attribution_summary": _strict(
         "24 HOUR", "count(*) AS n_views, count(click_id) AS n_attributed, count(*) - count(click_id) AS n_unattributed"),
