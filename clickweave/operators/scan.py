@@ -29,8 +29,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_CUT = 1 << 20
-MAX_CUTS = 1 << 16
+ROWS_PER_CUT = 1 << 18
+MAX_CUTS = (1 << 17) - 1
 
 
 @dataclass(frozen=True)
@@ -72,15 +72,21 @@ def cut_points(
     )
 
 
-def _cuts_up_to(order: Sequence[str], max_cuts: int) -> Column:
-    """How many of `_cuts` are at or before the row, by binary search in halving steps."""
+def _in_blocks(rows: DataFrame, order: Sequence[str], max_cuts: int) -> DataFrame:
+    """Replace `_cuts` by `_block`, the number of cut points at or before the row (0 without any), and
+    `_is_cut`, whether the group has any.
+
+    A binary search in halving steps, each its own projection: these stay in one generated function, which
+    reads the broadcast array in place. A higher-order function would be handed a copy of it per row.
+    """
     position = ", ".join(f"`{name}`" for name in order)
-    return F.expr(f"""
-        aggregate(
-          transform(sequence({max_cuts.bit_length()}, 0, -1), bit -> shiftleft(1, bit)), 0,
-          (found, step) ->
-            if(coalesce(get(_cuts, found + step - 1) <= struct({position}), false), found + step, found))
-    """)
+    columns, found = [f"struct({position}) AS _at"], "0"
+    for step in (1 << bit for bit in reversed(range(max_cuts.bit_length()))):
+        columns.append(f"{found} + if(get(_cuts, {found} + {step - 1}) <= _at, {step}, 0) AS _found{step}")
+        found = f"_found{step}"
+    kept = [name for name in rows.columns if name != "_cuts"]
+    return rows.selectExpr("*", *columns).selectExpr(
+        *(f"`{name}`" for name in kept), f"{found} AS _block", "_cuts IS NOT NULL AS _is_cut")
 
 
 def running(
@@ -106,24 +112,17 @@ def running(
     )
 
     valued = rows.withColumns({name: fold.value for name, fold in inputs.items()})
-    placed = (
-        valued.join(cuts, keys, "left")
-        .withColumn("_block", F.when(F.col("_cuts").isNull(), 0).otherwise(_cuts_up_to(order, max_cuts)))
-        .drop("_cuts")
-        .withColumn("_real", F.lit(True))
-    )
+    placed = _in_blocks(valued.join(cuts, keys, "left"), order, max_cuts)
 
     earlier_blocks = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     carries = (
-        valued.select(*keys, *order, *inputs)
-        .join(cuts, keys)
-        .withColumn("_block", _cuts_up_to(order, max_cuts))
+        placed.filter("_is_cut")
         .groupBy(*keys, "_block")
         .agg(*(fold.whole(name, position).alias(name) for name, fold in inputs.items()))
         .withColumns({name: fold.along(name).over(earlier_blocks) for name, fold in inputs.items()})
     )
 
-    block = Window.partitionBy(*keys, "_block").orderBy(F.col("_real").asc_nulls_first(), *order)
+    block = Window.partitionBy(*keys, "_block").orderBy(F.col("_is_cut").isNotNull(), *order)
     upto = {False: Window.currentRow, True: -1}
     return (
         placed.unionByName(carries, allowMissingColumns=True)
@@ -132,6 +131,6 @@ def running(
                 block.rowsBetween(Window.unboundedPreceding, upto[fold.before]))
             for name, fold in folds.items()
         })
-        .filter(F.col("_real").isNotNull())
-        .drop("_real", "_block", *inputs)
+        .filter(F.col("_is_cut").isNotNull())
+        .drop("_is_cut", "_block", *inputs)
     )
