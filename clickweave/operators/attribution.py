@@ -99,9 +99,10 @@ def corrected(
 
 def revisions(
     events: DataFrame,
-    boundaries: Sequence[datetime],
     window: timedelta = WINDOW,
     order: Sequence[str] = OFFSET_ORDER,
+    *,
+    boundaries: Sequence[datetime],
     arrival: str = "arrival",
     only_changes: bool = True,
     **scan,
@@ -132,7 +133,8 @@ def revisions(
 
 
 def click_reach(
-    events: DataFrame, window: timedelta = WINDOW, order: Sequence[str] = OFFSET_ORDER, **scan
+    events: DataFrame, window: timedelta = WINDOW, order: Sequence[str] = OFFSET_ORDER,
+    at_most: int | None = None, **scan,
 ) -> DataFrame:
     """For every click, which of its user's views lie in the `window` after it: `(click, click + window]`.
 
@@ -153,7 +155,8 @@ def click_reach(
     ).select("user_id", "id", "event_time", *order, "mark.kind", "mark.at")
     counted = running(
         marks, ["user_id"], ("at", "kind", *order),
-        {"views": Fold("sum", F.when(F.col("kind") == 0, 1).otherwise(0))}, **scan,
+        {"views": Fold("sum", F.when(F.col("kind") == 0, 1).otherwise(0))},
+        at_most=None if at_most is None else 2 * at_most, **scan,
     )
     at_start = F.max(F.when(F.col("kind") == 1, F.col("views")))
     at_end = F.max(F.when(F.col("kind") == 2, F.col("views")))

@@ -15,7 +15,8 @@ block starts from the fold of everything before it:
 4. *Window.* Carries join the rows as the first row of their block; one shuffle and sort on
    (keys, block) then yields the running values.
 
-Without cut points steps 2 and 3 see an empty table, and adaptive execution removes them.
+An input known to have at most `rows_per_cut` rows needs none of this and gets the plain window. In a
+larger one without cut points, steps 2 and 3 see an empty table and adaptive execution removes them.
 
 The cut table is computed from the input, so it is the same on every evaluation and a lost executor
 cannot shift a block boundary between the two places where blocks are used.
@@ -47,11 +48,11 @@ class Fold:
             return F.max_by(name, F.when(F.col(name).isNotNull(), position))
         return {"max": F.max, "sum": F.sum}[self.kind](name)
 
-    def along(self, name: str) -> Column:
+    def along(self, value: Column) -> Column:
         """The fold as a window function."""
         if self.kind == "last":
-            return F.last(name, ignorenulls=True)
-        return {"max": F.max, "sum": F.sum}[self.kind](name)
+            return F.last(value, ignorenulls=True)
+        return {"max": F.max, "sum": F.sum}[self.kind](value)
 
 
 def cut_points(
@@ -95,42 +96,50 @@ def running(
     order: Sequence[str],
     folds: Mapping[str, Fold],
     *,
+    at_most: int | None = None,
     cuts_from: DataFrame | None = None,
     rows_per_cut: int = ROWS_PER_CUT,
     max_cuts: int = MAX_CUTS,
 ) -> DataFrame:
     """Add one column per fold, its value along `order` within `keys`.
 
-    `order` must be free of nulls and unique within a group. `cuts_from` may name a cheaper frame with
-    about the same rows (say, the same data before a filter) to take cut points from.
+    `order` must be free of nulls and unique within a group. `at_most` is an upper bound on the number of
+    rows, where one is known. `cuts_from` may name a cheaper frame with about the same rows (say, the same
+    data before a filter) to take cut points from.
     """
     keys, order = list(keys), list(order)
-    position = F.struct(*order)
-    inputs = {f"_in_{name}": fold for name, fold in folds.items()}
-    cuts = F.broadcast(
-        cut_points(rows if cuts_from is None else cuts_from, keys, order, rows_per_cut, max_cuts)
-    )
+    if at_most is not None and at_most <= rows_per_cut:
+        return rows.withColumns(_along(folds, {name: fold.value for name, fold in folds.items()}, keys, order))
 
-    valued = rows.withColumns({name: fold.value for name, fold in inputs.items()})
+    inputs = {name: f"_in_{name}" for name in folds}
+    valued = rows.withColumns({inputs[name]: fold.value for name, fold in folds.items()})
+    source = rows if cuts_from is None else cuts_from
+    cuts = F.broadcast(cut_points(source, keys, order, rows_per_cut, max_cuts))
     placed = _in_blocks(valued.join(cuts, keys, "left"), order, max_cuts)
 
     earlier_blocks = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     carries = (
         placed.filter("_is_cut")
         .groupBy(*keys, "_block")
-        .agg(*(fold.whole(name, position).alias(name) for name, fold in inputs.items()))
-        .withColumns({name: fold.along(name).over(earlier_blocks) for name, fold in inputs.items()})
+        .agg(*(fold.whole(inputs[name], F.struct(*order)).alias(inputs[name]) for name, fold in folds.items()))
+        .withColumns({inputs[name]: fold.along(F.col(inputs[name])).over(earlier_blocks)
+                      for name, fold in folds.items()})
     )
-
-    block = Window.partitionBy(*keys, "_block").orderBy(F.col("_is_cut").isNotNull(), *order)
-    upto = {False: Window.currentRow, True: -1}
     return (
         placed.unionByName(carries, allowMissingColumns=True)
-        .withColumns({
-            name: fold.along(f"_in_{name}").over(
-                block.rowsBetween(Window.unboundedPreceding, upto[fold.before]))
-            for name, fold in folds.items()
-        })
+        .withColumns(_along(
+            folds, {name: F.col(column) for name, column in inputs.items()},
+            [*keys, "_block"], [F.col("_is_cut").isNotNull(), *order],
+        ))
         .filter(F.col("_is_cut").isNotNull())
-        .drop("_is_cut", "_block", *inputs)
+        .drop("_is_cut", "_block", *inputs.values())
     )
+
+
+def _along(folds: Mapping[str, Fold], values: Mapping[str, Column], keys: list, order: list) -> dict[str, Column]:
+    window = Window.partitionBy(*keys).orderBy(*order)
+    return {
+        name: fold.along(values[name]).over(
+            window.rowsBetween(Window.unboundedPreceding, -1 if fold.before else Window.currentRow))
+        for name, fold in folds.items()
+    }

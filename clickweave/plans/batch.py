@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from clickweave.operators import activity, attribution, lateness, tables
 from clickweave.schemas import VIEW_TOPIC
 from clickweave.session import work_folder
 from clickweave.sources import changelog, records
-from clickweave.sources.tables import ARRIVAL_ORDER, events, with_offsets
+from clickweave.sources.tables import ARRIVAL_ORDER, events, row_bound, with_offsets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,36 +28,51 @@ SMALL_BLOCKS = {"rows_per_cut": 32}
 RUN_ENDS = [datetime(2024, 1, day) for day in (8, 15, 22)]
 
 
+def bounded(spark: SparkSession, sf_dir: str, **scan) -> dict:
+    """Options for running folds over the table: its row count and what else is given."""
+    return {"at_most": row_bound(spark, sf_dir), **scan}
+
+
 def judged(spark: SparkSession, sf_dir: str, **scan) -> DataFrame:
-    return lateness.judge(events(spark, sf_dir), order=ARRIVAL_ORDER, **scan)
+    return lateness.judge(events(spark, sf_dir), order=ARRIVAL_ORDER, **(scan or bounded(spark, sf_dir)))
 
 
 def accepted(spark: SparkSession, sf_dir: str, **scan) -> DataFrame:
     return judged(spark, sf_dir, **scan).filter(~F.col("late")).drop("late", "watermark_before")
 
 
-def resolved(spark: SparkSession, sf_dir: str, window: timedelta) -> DataFrame:
+def strict(operator: Callable, window: timedelta, **scan) -> Query:
+    """An attribution operator over the accepted events."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        options = bounded(spark, sf_dir, **scan)
+        rows = accepted(spark, sf_dir, **options)
+        return operator(rows, window, ARRIVAL_ORDER, cuts_from=events(spark, sf_dir), **options)
+    return query
+
+
+def resolved(spark: SparkSession, sf_dir: str, window: timedelta, **scan) -> DataFrame:
     """All events, judged and attributed; late ones neither credit nor are credited."""
     rows = attribution.resolve(
-        judged(spark, sf_dir), window, ARRIVAL_ORDER, eligible=~F.col("late"), cuts_from=events(spark, sf_dir)
+        judged(spark, sf_dir, **scan), window, ARRIVAL_ORDER, eligible=~F.col("late"),
+        cuts_from=events(spark, sf_dir), **scan,
     )
     return rows.withColumn("click", F.when(~F.col("late"), F.col("click")))
 
 
 def attributed(window: timedelta, **scan) -> Query:
-    return lambda spark, sf_dir: attribution.attribute(events(spark, sf_dir), window, ARRIVAL_ORDER, **scan)
+    return lambda spark, sf_dir: attribution.attribute(
+        events(spark, sf_dir), window, ARRIVAL_ORDER, **bounded(spark, sf_dir, **scan)
+    )
 
 
 def attributed_strict(window: timedelta, **scan) -> Query:
-    return lambda spark, sf_dir: attribution.attribute(
-        accepted(spark, sf_dir, **scan), window, ARRIVAL_ORDER, cuts_from=events(spark, sf_dir), **scan
-    )
+    return strict(attribution.attribute, window, **scan)
 
 
 def stream_offsets(**scan) -> Query:
-    return lambda spark, sf_dir: with_offsets(events(spark, sf_dir), **scan).select(
-        topic().alias("topic"), "partition", "offset", "user_id", "event_time", "id"
-    )
+    return lambda spark, sf_dir: with_offsets(
+        events(spark, sf_dir), **bounded(spark, sf_dir, **scan)
+    ).select(topic().alias("topic"), "partition", "offset", "user_id", "event_time", "id")
 
 
 def merged_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +83,7 @@ def merged_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def watermark_history(**scan) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return judged(spark, sf_dir, **scan).select(
+        return judged(spark, sf_dir, **bounded(spark, sf_dir, **scan)).select(
             watermark_key().alias("wm_key"), "id", "event_time", "arrival", "watermark_before",
             F.greatest("watermark_before", "event_time").alias("watermark_after"), "late",
         )
@@ -118,13 +134,13 @@ def evictable_state(window: timedelta) -> Query:
 
 
 def click_reach(window: timedelta, **scan) -> Query:
-    return lambda spark, sf_dir: attribution.click_reach(events(spark, sf_dir), window, ARRIVAL_ORDER, **scan)
+    return lambda spark, sf_dir: attribution.click_reach(
+        events(spark, sf_dir), window, ARRIVAL_ORDER, **bounded(spark, sf_dir, **scan)
+    )
 
 
 def reattribution(window: timedelta) -> Query:
-    return lambda spark, sf_dir: attribution.corrected(
-        accepted(spark, sf_dir), window, ARRIVAL_ORDER, cuts_from=events(spark, sf_dir)
-    )
+    return strict(attribution.corrected, window)
 
 
 def latest_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,10 +149,8 @@ def latest_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def revision_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every run writes all views known to it, changed or not."""
-    return attribution.revisions(
-        accepted(spark, sf_dir), RUN_ENDS, HOURS_24, ARRIVAL_ORDER, only_changes=False,
-        cuts_from=events(spark, sf_dir),
-    )
+    operator = partial(attribution.revisions, boundaries=RUN_ENDS, only_changes=False)
+    return strict(operator, HOURS_24)(spark, sf_dir)
 
 
 def emission_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,8 +164,9 @@ def upsert_current(spark: SparkSession, sf_dir: str) -> DataFrame:
 def replay_from_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the accepted-event log, then rebuild the result from the log alone."""
     log = work_folder(spark, "accepted-log")
-    changelog.write_log(accepted(spark, sf_dir), log)
-    return attribution.attribute(changelog.read_log(spark, log), MIN_30, ARRIVAL_ORDER)
+    options = bounded(spark, sf_dir)
+    changelog.write_log(accepted(spark, sf_dir, **options), log)
+    return attribution.attribute(changelog.read_log(spark, log), MIN_30, ARRIVAL_ORDER, **options)
 
 
 def output_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,7 +182,7 @@ def attribution_by_campaign(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def audit_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return activity.audit_events(resolved(spark, sf_dir, HOURS_24))
+    return activity.audit_events(resolved(spark, sf_dir, HOURS_24, **bounded(spark, sf_dir)))
 
 
 def event_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,9 +194,11 @@ def recent_events_top500(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_timeline(**scan) -> Query:
-    return lambda spark, sf_dir: activity.user_timeline(
-        resolved(spark, sf_dir, HOURS_24), ARRIVAL_ORDER, cuts_from=events(spark, sf_dir), **scan
-    )
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        options = bounded(spark, sf_dir, **scan)
+        rows = resolved(spark, sf_dir, HOURS_24, **options)
+        return activity.user_timeline(rows, ARRIVAL_ORDER, cuts_from=events(spark, sf_dir), **options)
+    return query
 
 
 def timeline_range(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,10 +206,7 @@ def timeline_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def attribution_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    views = attribution.resolve_views(
-        accepted(spark, sf_dir), HOURS_24, ARRIVAL_ORDER, cuts_from=events(spark, sf_dir)
-    )
-    return activity.attribution_links(views)
+    return activity.attribution_links(strict(attribution.resolve_views, HOURS_24)(spark, sf_dir))
 
 
 def distinct_users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,7 +215,7 @@ def distinct_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dedup_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deliver every view twice and drop the repeats by source coordinates."""
-    rows = with_offsets(events(spark, sf_dir))
+    rows = with_offsets(events(spark, sf_dir), **bounded(spark, sf_dir))
     delivered = rows.withColumn(
         "copy", F.explode(F.when(F.col("is_view"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
     ).drop("copy")

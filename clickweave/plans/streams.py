@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweave.functions.columns import topic
-from clickweave.plans.batch import HOURS_24, MIN_30, RUN_ENDS, Query
+from clickweave.plans.batch import HOURS_24, MIN_30, RUN_ENDS, Query, bounded
 from clickweave.schemas import RECORD
 from clickweave.session import work_folder
 from clickweave.sources import records
@@ -19,7 +19,7 @@ from clickweave.streaming import journal
 
 def deliveries(spark: SparkSession, sf_dir: str, root: str) -> Iterator[str]:
     """Append the records of each delivery period to a landing folder, one period per step."""
-    numbered = with_offsets(events(spark, sf_dir)).select(
+    numbered = with_offsets(events(spark, sf_dir), **bounded(spark, sf_dir)).select(
         topic().alias("topic"), "partition", "offset", records.encode().alias("value"),
         sum((F.col("arrival") >= F.lit(end)).cast("int") for end in RUN_ENDS).alias("period"),
     )

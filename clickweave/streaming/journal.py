@@ -38,6 +38,7 @@ WATERMARKS = T.StructType([
 ])
 BATCHES = T.StructType([
     T.StructField("journal_batch", T.LongType()),
+    T.StructField("n_events", T.LongType()),
     T.StructField("last_click", T.TimestampType()),
     T.StructField("last_view", T.TimestampType()),
 ])
@@ -70,22 +71,25 @@ class Attribution:
         if self._state(spark, batch_id) is not None:
             return
         before = self._state(spark, batch_id - 1)
-        self._write_journal(batch, batch_id, before)
+        size = self._write_journal(batch, batch_id, before)
         after = self._next_state(spark, batch_id, before)
-        resolved = self._resolve(spark, before, batch_id)
+        resolved = self._resolve(spark, before, batch_id, size)
         self._write_revisions(resolved.filter(self._due(batch_id, before, after)), batch_id)
         self._write(after["batches"], f"state/batch_id={batch_id}/batches")
 
     # ---- steps of a batch ----
 
-    def _write_journal(self, batch: DataFrame, batch_id: int, before: dict | None) -> None:
+    def _write_journal(self, batch: DataFrame, batch_id: int, before: dict | None) -> int:
+        """Write the batch's events; returns how many records it had."""
         decoded = records.decode(batch).persist()
         try:
             self._write(records.quarantined(decoded), f"quarantine/batch_id={batch_id}")
+            size = decoded.count()
             events = tables.deduplicated(records.good(decoded))
             carried = before["watermarks"] if before else None
-            judged = lateness.judge(events, self.lateness, OFFSET_ORDER, carried, cuts_from=events, **self.scan)
+            judged = lateness.judge(events, self.lateness, OFFSET_ORDER, carried, at_most=size, **self.scan)
             self._write(judged, f"journal/batch_id={batch_id}", "late", "is_view")
+            return size
         finally:
             decoded.unpersist()
 
@@ -99,6 +103,7 @@ class Attribution:
 
         watermarks = self._read(spark, WATERMARKS, f"state/batch_id={batch_id}/watermarks")
         batches = accepted.groupBy(F.col("batch_id").alias("journal_batch")).agg(
+            F.count(F.lit(1)).alias("n_events"),
             F.max(F.when(~F.col("is_view"), F.col("event_time"))).alias("last_click"),
             F.max(F.when(F.col("is_view"), F.col("event_time"))).alias("last_view"),
         )
@@ -124,9 +129,13 @@ class Attribution:
             watermarks.agg((clicks - F.lit(self.lateness)).alias("at")).scalar(),
         )
 
-    def _resolve(self, spark: SparkSession, before: dict | None, batch_id: int | None) -> DataFrame:
+    def _resolve(
+        self, spark: SparkSession, before: dict | None, batch_id: int | None = None, size: int = 0
+    ) -> DataFrame:
         """Views of this batch and those still open from earlier ones, with the click they are credited to."""
-        batches = [] if before is None else sorted(row.journal_batch for row in before["batches"].collect())
+        needed = [] if before is None else before["batches"].collect()
+        batches = sorted(row.journal_batch for row in needed)
+        size += sum(row.n_events for row in needed)
         if batch_id is not None:
             batches.append(batch_id)
         accepted = self.journal(spark, batches).filter(~F.col("late"))
@@ -135,7 +144,8 @@ class Attribution:
             cutoff = F.when(F.col("is_view"), views_from).otherwise(clicks_from)
             kept = F.coalesce(F.col("event_time") >= cutoff, F.lit(True))
             accepted = accepted.filter(kept if batch_id is None else kept | (F.col("batch_id") == batch_id))
-        return attribution.resolve_views(accepted, self.window, OFFSET_ORDER, keep=("batch_id",), **self.scan)
+        return attribution.resolve_views(
+            accepted, self.window, OFFSET_ORDER, keep=("batch_id",), at_most=size, **self.scan)
 
     def _due(self, batch_id: int, before: dict | None, after: dict) -> Column:
         """Which resolved views this batch writes."""
@@ -154,7 +164,7 @@ class Attribution:
     def finish(self, spark: SparkSession, batch_id: int) -> None:
         """After the last batch of a finite input: write the views `once` still holds back."""
         state = self._state(spark, batch_id)
-        resolved = self._resolve(spark, state, None)
+        resolved = self._resolve(spark, state)
         self._write_revisions(resolved.filter(self._pending(state)), FINAL_BATCH)
 
     # ---- tables ----

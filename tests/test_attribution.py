@@ -170,10 +170,10 @@ def test_revisions_and_current(spark):
     events = events.withColumn(
         "arrival", F.coalesce(*(F.when(F.col("id") == id, F.lit(at(time))) for id, time in arrival.items())))
     ends = [at("12:11:30"), at("12:30:00")]
-    log = attribution.revisions(events, ends)
+    log = attribution.revisions(events, boundaries=ends)
     assert sorted((row.revision, row.page_view_id, row.attributed_click_id) for row in log.collect()) == [
         (0, "v", "c1"), (1, "v", "c2"), (1, "w", "c2")]
-    everything = attribution.revisions(events, ends, only_changes=False)
+    everything = attribution.revisions(events, boundaries=ends, only_changes=False)
     assert everything.count() == 5
     assert credited(tables.current(log, ["revision"])) == {"v": "c2", "w": "c2"}
     line = tables.json_lines(log.filter("revision = 0")).first().line
