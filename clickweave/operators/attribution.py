@@ -62,7 +62,7 @@ def resolve_views(
         "label": F.when(F.col("is_view"), F.col("label")),
     })
     by_time = ("event_time", "is_view", *order)
-    found = running(lean, ["user_id"], by_time, {"click": Fold("last", F.col("_click"))}, **scan)
+    found = running(lean, ["user_id"], by_time, {"click": Fold("last", "_click")}, **scan)
     return found.filter("is_view").withColumn("click", within("click", window)).drop("_click")
 
 

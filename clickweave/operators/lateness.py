@@ -41,7 +41,7 @@ def judge(
     source partition.
     """
     judged = running(
-        events, SOURCE, order, {"watermark_before": Fold("max", F.col("event_time"), before=True)}, **scan
+        events, SOURCE, order, {"watermark_before": Fold("max", "event_time", before=True)}, **scan
     )
     if carried is not None:
         judged = (

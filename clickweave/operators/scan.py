@@ -36,10 +36,13 @@ MAX_CUTS = (1 << 17) - 1
 
 @dataclass(frozen=True)
 class Fold:
-    """`kind` is last (latest non-null), max or sum; `before` leaves the current row out."""
+    """`kind` is last (latest non-null), max or sum; `before` leaves the current row out.
+
+    A value given by column name is used in place, which spares the shuffle a second copy of it.
+    """
 
     kind: str
-    value: Column
+    value: Column | str
     before: bool = False
 
     def whole(self, name: str, position: Column) -> Column:
@@ -48,7 +51,7 @@ class Fold:
             return F.max_by(name, F.when(F.col(name).isNotNull(), position))
         return {"max": F.max, "sum": F.sum}[self.kind](name)
 
-    def along(self, value: Column) -> Column:
+    def along(self, value: Column | str) -> Column:
         """The fold as a window function."""
         if self.kind == "last":
             return F.last(value, ignorenulls=True)
@@ -111,8 +114,9 @@ def running(
     if at_most is not None and at_most <= rows_per_cut:
         return rows.withColumns(_along(folds, {name: fold.value for name, fold in folds.items()}, keys, order))
 
-    inputs = {name: f"_in_{name}" for name in folds}
-    valued = rows.withColumns({inputs[name]: fold.value for name, fold in folds.items()})
+    computed = {f"_in_{name}": fold.value for name, fold in folds.items() if not isinstance(fold.value, str)}
+    inputs = {name: fold.value if isinstance(fold.value, str) else f"_in_{name}" for name, fold in folds.items()}
+    valued = rows.withColumns(computed) if computed else rows
     source = rows if cuts_from is None else cuts_from
     cuts = F.broadcast(cut_points(source, keys, order, rows_per_cut, max_cuts))
     placed = _in_blocks(valued.join(cuts, keys, "left"), order, max_cuts)
@@ -122,21 +126,21 @@ def running(
         placed.filter("_is_cut")
         .groupBy(*keys, "_block")
         .agg(*(fold.whole(inputs[name], F.struct(*order)).alias(inputs[name]) for name, fold in folds.items()))
-        .withColumns({inputs[name]: fold.along(F.col(inputs[name])).over(earlier_blocks)
-                      for name, fold in folds.items()})
+        .withColumns({inputs[name]: fold.along(inputs[name]).over(earlier_blocks) for name, fold in folds.items()})
     )
     return (
         placed.unionByName(carries, allowMissingColumns=True)
         .withColumns(_along(
-            folds, {name: F.col(column) for name, column in inputs.items()},
-            [*keys, "_block"], [F.col("_is_cut").isNotNull(), *order],
+            folds, inputs, [*keys, "_block"], [F.col("_is_cut").isNotNull(), *order],
         ))
         .filter(F.col("_is_cut").isNotNull())
-        .drop("_is_cut", "_block", *inputs.values())
+        .drop("_is_cut", "_block", *computed)
     )
 
 
-def _along(folds: Mapping[str, Fold], values: Mapping[str, Column], keys: list, order: list) -> dict[str, Column]:
+def _along(
+    folds: Mapping[str, Fold], values: Mapping[str, Column | str], keys: list, order: list
+) -> dict[str, Column]:
     window = Window.partitionBy(*keys).orderBy(*order)
     return {
         name: fold.along(values[name]).over(

@@ -11,6 +11,13 @@ from clickweave.schemas import CLICK_PAYLOAD, CLICK_TOPIC, RECORD, VIEW_PAYLOAD,
 
 CORRUPT = "_corrupt"
 
+# Both payloads in one, so that each record is parsed once whatever its topic.
+PAYLOAD = T.StructType([
+    *VIEW_PAYLOAD.fields,
+    *(field for field in CLICK_PAYLOAD.fields if field.name not in VIEW_PAYLOAD.names),
+    T.StructField(CORRUPT, T.StringType()),
+])
+
 
 def read_records(
     spark: SparkSession,
@@ -60,23 +67,20 @@ def decode(records: DataFrame) -> DataFrame:
     Unknown fields are ignored. A record is refused when its text is not a JSON object or one of the four
     payload fields is missing or unreadable.
     """
-    def with_corrupt(schema: T.StructType) -> T.StructType:
-        return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    # Generated rather than projected: a filter on the fields then cannot pull the parser in once per field.
+    parsed = records.select("*", F.inline(F.array(F.from_json(
+        "value", PAYLOAD, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    ))))
     is_view = F.col("topic") == VIEW_TOPIC
-    parsed = records.withColumns({
-        "is_view": is_view,
-        "_view": F.when(is_view, F.from_json("value", with_corrupt(VIEW_PAYLOAD), options)),
-        "_click": F.when(~is_view, F.from_json("value", with_corrupt(CLICK_PAYLOAD), options)),
-    })
-    fields = parsed.withColumns({
-        "user_id": F.coalesce("_view.user_id", "_click.user_id"),
-        "event_time": parse_time(F.coalesce("_view.event_time", "_click.event_time")),
-        "id": F.coalesce("_view.event_id", "_click.click_id"),
-        "label": F.coalesce("_view.url", "_click.campaign_id"),
-        CORRUPT: F.coalesce(f"_view.{CORRUPT}", f"_click.{CORRUPT}"),
-    }).drop("_view", "_click")
+    fields = parsed.select(
+        *records.columns,
+        is_view.alias("is_view"),
+        "user_id",
+        parse_time(F.col("event_time")).alias("event_time"),
+        F.when(is_view, F.col("event_id")).otherwise(F.col("click_id")).alias("id"),
+        F.when(is_view, F.col("url")).otherwise(F.col("campaign_id")).alias("label"),
+        CORRUPT,
+    )
     missing = [F.when(F.col(name).isNull(), F.lit(name)) for name in ("user_id", "event_time", "id", "label")]
     return fields.withColumn(
         "reason",

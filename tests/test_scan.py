@@ -37,7 +37,8 @@ def brute_force(before):
 @pytest.mark.parametrize("before", [False, True])
 @pytest.mark.parametrize("rows_per_cut, max_cuts", [(1 << 20, 1000), (100, 1000), (1, 5000), (2, 13)])
 def test_folds_do_not_depend_on_cuts(rows, before, rows_per_cut, max_cuts):
-    folds = {kind: Fold(kind, F.col("value"), before) for kind in ("last", "max", "sum")}
+    folds = {"last": Fold("last", "value", before), "max": Fold("max", F.col("value"), before),
+             "sum": Fold("sum", F.col("value"), before)}
     found = running(rows, ["key"], ["at", "seq"], folds, rows_per_cut=rows_per_cut, max_cuts=max_cuts)
     assert found.columns == ["key", "at", "seq", "value", "last", "max", "sum"]
     assert {row.seq: (row.last, row.max, row.sum) for row in found.collect()} == brute_force(before)

@@ -107,7 +107,7 @@ def test_older_click_after_the_better_one_left_the_views_horizon(spark, tmp_path
     assert feed.results()["v"] == ("b", "better")
 
 
-def random_arrivals(seed, n=120):
+def random_arrivals(seed, n=90):
     rng = random.Random(seed)
     users = ["hot"] * 5 + [f"u{i}" for i in range(6)]
     drafts = []
