@@ -22,44 +22,67 @@ FEED = {
 }
 
 
-def _entry(time_type: str, **fields: Column) -> Column:
+def _entry(time_type: str, kind: str, **fields: Column) -> Column:
+    fields["type"] = F.lit(kind)
     return F.struct(*(
-        fields.get(name, F.lit(None)).cast(kind or time_type).alias(name) for name, kind in FEED.items()
+        fields.get(name, F.lit(None)).cast(column_type or time_type).alias(name)
+        for name, column_type in FEED.items()
     ))
 
 
-def audit_events(resolved: DataFrame, arrival: str = "arrival", seq: str = "seq") -> DataFrame:
-    """What happened to each event: CLICK or PAGE_VIEW or LATE_EVENT, then ATTRIBUTION, then WATERMARK."""
-    time_type = resolved.schema["event_time"].dataType.simpleString()
-    is_view, late, click = F.col("is_view"), F.col("late"), F.col("click")
-    base = {
-        "event_ts": F.col("event_time"), "processed_at": F.col(arrival), "seq": F.col(seq),
-        "user_id": F.col("user_id"),
-    }
-    as_click = {"click_id": F.col("id"), "campaign_id": F.col("label")}
-    as_view = {"event_id": F.col("id"), "url": F.col("label")}
-
-    def entry(kind: str, **fields: Column) -> Column:
-        return _entry(time_type, type=F.lit(kind), **fields)
-
+def _arrival_entries(time_type: str, processed: Column, seq: Column) -> list[Column]:
+    """Entries a judged event gives rise to by itself: its arrival, and the watermark it moves."""
+    is_view, late = F.col("is_view"), F.col("late")
+    base = {"event_ts": F.col("event_time"), "processed_at": processed, "seq": seq}
+    as_click = {**base, "user_id": F.col("user_id"), "click_id": F.col("id"), "campaign_id": F.col("label")}
+    as_view = {**base, "user_id": F.col("user_id"), "event_id": F.col("id"), "url": F.col("label")}
     arrived = (
-        F.when(late & is_view, entry("LATE_EVENT", source_type=F.lit("PAGE_VIEW"), **base, **as_view))
-        .when(late, entry("LATE_EVENT", source_type=F.lit("CLICK"), **base, **as_click))
-        .when(is_view, entry("PAGE_VIEW", **base, **as_view))
-        .otherwise(entry("CLICK", **base, **as_click))
-    )
-    credited = F.when(
-        ~late & is_view,
-        entry("ATTRIBUTION", page_view_id=F.col("id"), attributed=click.isNotNull(),
-              click_id=click["id"], campaign_id=click["label"], **base),
+        F.when(late & is_view, _entry(time_type, "LATE_EVENT", source_type=F.lit("PAGE_VIEW"), **as_view))
+        .when(late, _entry(time_type, "LATE_EVENT", source_type=F.lit("CLICK"), **as_click))
+        .when(is_view, _entry(time_type, "PAGE_VIEW", **as_view))
+        .otherwise(_entry(time_type, "CLICK", **as_click))
     )
     moved = F.when(
         ~late & advances(),
-        entry("WATERMARK", wm_key=watermark_key(), watermark=F.col("event_time"),
-              **{name: value for name, value in base.items() if name != "user_id"}),
+        _entry(time_type, "WATERMARK", wm_key=watermark_key(), watermark=F.col("event_time"), **base),
+    )
+    return [arrived, moved]
+
+
+def _exploded(rows: DataFrame, entries: list[Column]) -> DataFrame:
+    written = F.filter(F.array(*entries), lambda entry: entry.isNotNull())
+    return rows.select(F.explode(written).alias("entry")).select("entry.*")
+
+
+def _time_type(rows: DataFrame) -> str:
+    return rows.schema["event_time"].dataType.simpleString()
+
+
+def audit_events(resolved: DataFrame, arrival: str = "arrival", seq: str = "seq") -> DataFrame:
+    """What happened to each event: CLICK or PAGE_VIEW or LATE_EVENT, then ATTRIBUTION, then WATERMARK."""
+    time_type, click = _time_type(resolved), F.col("click")
+    credited = F.when(
+        ~F.col("late") & F.col("is_view"),
+        _entry(
+            time_type, "ATTRIBUTION", event_ts=F.col("event_time"), processed_at=F.col(arrival), seq=F.col(seq),
+            user_id=F.col("user_id"), page_view_id=F.col("id"), attributed=click.isNotNull(),
+            click_id=click["id"], campaign_id=click["label"],
+        ),
+    )
+    return _exploded(resolved, [*_arrival_entries(time_type, F.col(arrival), F.col(seq)), credited])
+
+
+def audit_log(judged: DataFrame, written: DataFrame) -> DataFrame:
+    """The feed of a streaming run, from its journal and the result rows it wrote; `seq` is the batch."""
+    time_type, unknown = _time_type(judged), F.lit(None)
+    click_id = F.col("attributed_click_id")
+    credited = _entry(
+        time_type, "ATTRIBUTION", event_ts=F.col("event_time"), seq=F.col("batch_id"), user_id=F.col("user_id"),
+        page_view_id=F.col("page_view_id"), attributed=click_id.isNotNull(), click_id=click_id,
+        campaign_id=F.col("attributed_campaign_id"),
     )
-    entries = F.filter(F.array(arrived, credited, moved), lambda e: e.isNotNull())
-    return resolved.select(F.explode(entries).alias("entry")).select("entry.*")
+    return _exploded(judged, _arrival_entries(time_type, unknown, F.col("batch_id"))).unionByName(
+        _exploded(written, [credited]))
 
 
 def type_counts(audit: DataFrame) -> DataFrame:

@@ -7,13 +7,6 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-STATE_SETTINGS = {
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-}
-
-
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
     """A local session for tests and benchmarks; a cluster brings its own."""
     builder = (
@@ -25,17 +18,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
     )
-    for key, value in {**STATE_SETTINGS, **conf}.items():
+    for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
-def use_rocksdb_state(spark: SparkSession) -> None:
-    """Keep streaming state on executor disks with incremental checkpoints instead of on the heap."""
-    for key, value in STATE_SETTINGS.items():
-        spark.conf.set(key, value)
-
-
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder every executor can reach.
 

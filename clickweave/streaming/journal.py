@@ -8,20 +8,22 @@ still matter, and writes three folders that are all keyed by the batch:
     state/batch_id=N        watermarks per source partition, and which journal batches are still needed
 
 A batch that is run again after a failure overwrites its own folders, so the result is the same as if
-it had run once; a finished one is skipped. Nothing is held on the heap between batches, hot users and
+it had run once; a finished one is skipped. Nothing is held on a heap between batches, hot users and
 hot source partitions are cut up by the running folds, and events leave the working set once the
 slowest partition of the other topic has passed them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass, field
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickweave.operators import attribution, lateness, tables
+from clickweave.operators import activity, attribution, lateness, tables
 from clickweave.schemas import ATTRIBUTED, EVENT, OFFSET_ORDER
 from clickweave.sources import records
 
@@ -31,27 +33,61 @@ JOURNAL = T.StructType([
     T.StructField("late", T.BooleanType()),
     T.StructField("batch_id", T.LongType()),
 ])
-WATERMARKS = T.StructType([
-    T.StructField("is_view", T.BooleanType()),
-    T.StructField("partition", T.IntegerType()),
-    T.StructField("watermark", T.TimestampType()),
-])
-BATCHES = T.StructType([
-    T.StructField("journal_batch", T.LongType()),
-    T.StructField("n_events", T.LongType()),
-    T.StructField("last_click", T.TimestampType()),
-    T.StructField("last_view", T.TimestampType()),
-])
 REVISIONS = T.StructType([*ATTRIBUTED.fields, T.StructField("batch_id", T.LongType())])
 
+WATERMARKS = "is_view boolean, partition int, micros bigint"
+STATE = f"{WATERMARKS}, journal_batch bigint, n_events bigint, last_click bigint, last_view bigint"
+
 FINAL_BATCH = (1 << 31) - 1
 
+Sink = Callable[[DataFrame, int], None]
+
+
+def _micros(span: timedelta) -> int:
+    return span // timedelta(microseconds=1)
+
+
+@dataclass
+class JournalBatch:
+    """A journal batch: its accepted events and the latest of them, in microseconds."""
+
+    batch: int
+    n_events: int
+    last_click: int | None
+    last_view: int | None
+
+
+@dataclass
+class State:
+    """What batches leave to later ones: a row per source partition and per journal batch still needed."""
+
+    watermarks: dict[tuple[bool, int], int] = field(default_factory=dict)
+    batches: list[JournalBatch] = field(default_factory=list)
+
+    def slowest(self, of_views: bool) -> int | None:
+        return min((at for (is_view, _), at in self.watermarks.items() if is_view == of_views), default=None)
+
+    def views_from(self, allowed: timedelta) -> int | None:
+        """The earliest time a click still to be accepted can have; None while the click topic is silent."""
+        clicks = self.slowest(of_views=False)
+        return None if clicks is None else clicks - _micros(allowed)
+
+    def clicks_from(self, window: timedelta, allowed: timedelta) -> int | None:
+        """The earliest click needed by views still to come and by views a late click could reopen."""
+        views, clicks = self.slowest(of_views=True), self.slowest(of_views=False)
+        if views is None or clicks is None:
+            return None
+        return min(views, clicks) - _micros(window + allowed)
+
 
 class Attribution:
     """The work of one micro-batch, to be passed to `foreachBatch`.
 
     `emit="update"` writes a view when it arrives and again when a later click changes it.
     `emit="once"` holds a view until no click that could still be accepted can precede it.
+
+    `sink` is "table" (parquet) or "jsonl", where `current` reads the result back, or a function that is
+    given each batch's result rows and the batch number and must be idempotent in the latter.
     """
 
     def __init__(
@@ -60,149 +96,166 @@ class Attribution:
         window: timedelta = attribution.WINDOW,
         allowed_lateness: timedelta = lateness.LATENESS,
         emit: str = "update",
+        sink: str | Sink = "table",
         **scan,
     ) -> None:
         if emit not in ("update", "once"):
             raise ValueError("emit must be 'update' or 'once'")
-        self.root, self.window, self.lateness, self.emit, self.scan = root, window, allowed_lateness, emit, scan
+        if not callable(sink) and sink not in ("table", "jsonl"):
+            raise ValueError("sink must be 'table', 'jsonl' or a function")
+        self.root, self.window, self.lateness = root, window, allowed_lateness
+        self.emit, self.sink, self.scan = emit, sink, scan
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if self._state(spark, batch_id) is not None:
+        if self.state(spark, batch_id) is not None:
             return
-        before = self._state(spark, batch_id - 1)
-        size = self._write_journal(batch, batch_id, before)
+        before = self.state(spark, batch_id - 1) or State()
+        self._write_journal(batch, batch_id, before)
         after = self._next_state(spark, batch_id, before)
-        resolved = self._resolve(spark, before, batch_id, size)
-        self._write_revisions(resolved.filter(self._due(batch_id, before, after)), batch_id)
-        self._write(after["batches"], f"state/batch_id={batch_id}/batches")
+        resolved = self._resolve(spark, before, [*before.batches, *(b for b in after.batches if b.batch == batch_id)])
+        self._write_results(resolved.filter(self._due(batch_id, before, after)), batch_id)
+        self._write_state(spark, self._trimmed(after), batch_id)
+
+    def finish(self, spark: SparkSession, batch_id: int) -> None:
+        """After the last batch of a finite input: write the views `once` still holds back."""
+        state = self.state(spark, batch_id)
+        resolved = self._resolve(spark, state, state.batches)
+        self._write_results(resolved.filter(self._open(state)), FINAL_BATCH)
 
     # ---- steps of a batch ----
 
-    def _write_journal(self, batch: DataFrame, batch_id: int, before: dict | None) -> int:
-        """Write the batch's events; returns how many records it had."""
+    def _write_journal(self, batch: DataFrame, batch_id: int, before: State) -> None:
+        spark = batch.sparkSession
         decoded = records.decode(batch).persist()
         try:
-            self._write(records.quarantined(decoded), f"quarantine/batch_id={batch_id}")
-            size = decoded.count()
+            size, refused = decoded.agg(F.count(F.lit(1)), F.count("reason")).first()
+            if refused:
+                self._write(records.quarantined(decoded), f"quarantine/batch_id={batch_id}")
             events = tables.deduplicated(records.good(decoded))
-            carried = before["watermarks"] if before else None
+            rows = [(is_view, partition, at) for (is_view, partition), at in before.watermarks.items()]
+            carried = spark.createDataFrame(rows, WATERMARKS).select(
+                *lateness.SOURCE, F.timestamp_micros("micros").alias("watermark"))
             judged = lateness.judge(events, self.lateness, OFFSET_ORDER, carried, at_most=size, **self.scan)
             self._write(judged, f"journal/batch_id={batch_id}", "late", "is_view")
-            return size
         finally:
             decoded.unpersist()
 
-    def _next_state(self, spark: SparkSession, batch_id: int, before: dict | None) -> dict:
-        accepted = self.journal(spark, [batch_id]).filter(~F.col("late"))
-        seen = lateness.final_watermarks(accepted)
-        if before:
-            seen = before["watermarks"].unionByName(seen).groupBy(*lateness.SOURCE).agg(
-                F.max("watermark").alias("watermark"))
-        self._write(seen, f"state/batch_id={batch_id}/watermarks")
-
-        watermarks = self._read(spark, WATERMARKS, f"state/batch_id={batch_id}/watermarks")
-        batches = accepted.groupBy(F.col("batch_id").alias("journal_batch")).agg(
-            F.count(F.lit(1)).alias("n_events"),
-            F.max(F.when(~F.col("is_view"), F.col("event_time"))).alias("last_click"),
-            F.max(F.when(F.col("is_view"), F.col("event_time"))).alias("last_view"),
-        )
-        if before:
-            batches = batches.unionByName(before["batches"])
-        clicks_from, views_from = self._cutoffs(watermarks)
-        needed = batches.filter(
-            F.coalesce(F.col("last_click") >= clicks_from, F.col("last_click").isNotNull())
-            | F.coalesce(F.col("last_view") >= views_from, F.col("last_view").isNotNull())
+    def _next_state(self, spark: SparkSession, batch_id: int, before: State) -> State:
+        """State after the batch, with all batches `before` has. One row per source partition is collected."""
+        seen = (
+            self.journal(spark, [batch_id]).filter(~F.col("late")).groupBy(*lateness.SOURCE)
+            .agg(F.max(F.unix_micros("event_time")).alias("last"), F.count(F.lit(1)).alias("n_events"))
+            .collect()
         )
-        return {"watermarks": watermarks, "batches": needed}
-
-    def _cutoffs(self, watermarks: DataFrame) -> tuple[Column, Column]:
-        """From which event time on clicks and views can still matter; null while a topic is silent."""
-        def slowest(of_views: bool) -> Column:
-            return F.min(F.when(F.col("is_view") == of_views, F.col("watermark")))
-
-        views, clicks = slowest(True), slowest(False)
-        # A click is needed by views still to come and by views a late click could still make look back.
-        slowest_view = F.when(views.isNotNull(), F.least(views, clicks))
-        return (
-            watermarks.agg((slowest_view - F.lit(self.window + self.lateness)).alias("at")).scalar(),
-            watermarks.agg((clicks - F.lit(self.lateness)).alias("at")).scalar(),
-        )
-
-    def _resolve(
-        self, spark: SparkSession, before: dict | None, batch_id: int | None = None, size: int = 0
-    ) -> DataFrame:
-        """Views of this batch and those still open from earlier ones, with the click they are credited to."""
-        needed = [] if before is None else before["batches"].collect()
-        batches = sorted(row.journal_batch for row in needed)
-        size += sum(row.n_events for row in needed)
-        if batch_id is not None:
-            batches.append(batch_id)
-        accepted = self.journal(spark, batches).filter(~F.col("late"))
-        if before is not None:
-            clicks_from, views_from = self._cutoffs(before["watermarks"])
-            cutoff = F.when(F.col("is_view"), views_from).otherwise(clicks_from)
-            kept = F.coalesce(F.col("event_time") >= cutoff, F.lit(True))
-            accepted = accepted.filter(kept if batch_id is None else kept | (F.col("batch_id") == batch_id))
+        after = State(dict(before.watermarks), list(before.batches))
+        for row in seen:
+            source = (row.is_view, row.partition)
+            after.watermarks[source] = max(row.last, after.watermarks.get(source, row.last))
+        if seen:
+            last = {of_views: max((row.last for row in seen if row.is_view == of_views), default=None)
+                    for of_views in (False, True)}
+            after.batches.append(
+                JournalBatch(batch_id, sum(row.n_events for row in seen), last[False], last[True]))
+        return after
+
+    def _trimmed(self, state: State) -> State:
+        """Without the journal batches no later batch can need."""
+        views_from = state.views_from(self.lateness)
+        clicks_from = state.clicks_from(self.window, self.lateness)
+
+        def needed(last: int | None, since: int | None) -> bool:
+            return last is not None and (since is None or last >= since)
+
+        return State(state.watermarks, [
+            batch for batch in state.batches
+            if needed(batch.last_click, clicks_from) or needed(batch.last_view, views_from)
+        ])
+
+    def _resolve(self, spark: SparkSession, before: State, batches: list[JournalBatch]) -> DataFrame:
+        """Views of these journal batches with the click they are credited to.
+
+        From batches `before` knows, only events that can still matter are read.
+        """
+        accepted = self.journal(spark, [batch.batch for batch in batches]).filter(~F.col("late"))
+        cutoffs = {True: before.views_from(self.lateness), False: before.clicks_from(self.window, self.lateness)}
+        past = F.col("batch_id").isin([batch.batch for batch in before.batches])
+        for is_view, since in cutoffs.items():
+            if since is not None:
+                gone = past & (F.col("is_view") == is_view) & (F.col("event_time") < F.timestamp_micros(F.lit(since)))
+                accepted = accepted.filter(~gone)
         return attribution.resolve_views(
-            accepted, self.window, OFFSET_ORDER, keep=("batch_id",), at_most=size, **self.scan)
+            accepted, self.window, OFFSET_ORDER, keep=("batch_id",),
+            at_most=sum(batch.n_events for batch in batches), **self.scan,
+        )
 
-    def _due(self, batch_id: int, before: dict | None, after: dict) -> Column:
+    def _due(self, batch_id: int, before: State, after: State) -> Column:
         """Which resolved views this batch writes."""
         arrived = F.col("batch_id") == batch_id
         if self.emit == "update":
             return arrived | F.coalesce(F.col("click.batch_id") == batch_id, F.lit(False))
-        settled = F.coalesce(F.col("event_time") < self._cutoffs(after["watermarks"])[1], F.lit(False))
-        return settled & (arrived | self._pending(before))
-
-    def _pending(self, state: dict | None) -> Column:
-        """Whether a view was still held back in `state`."""
-        if state is None:
-            return F.lit(True)
-        return F.coalesce(F.col("event_time") >= self._cutoffs(state["watermarks"])[1], F.lit(True))
+        return ~self._open(after) & (arrived | self._open(before))
 
-    def finish(self, spark: SparkSession, batch_id: int) -> None:
-        """After the last batch of a finite input: write the views `once` still holds back."""
-        state = self._state(spark, batch_id)
-        resolved = self._resolve(spark, state)
-        self._write_revisions(resolved.filter(self._pending(state)), FINAL_BATCH)
+    def _open(self, state: State) -> Column:
+        """Whether a click that could still be accepted may precede a view."""
+        since = state.views_from(self.lateness)
+        return F.lit(True) if since is None else F.col("event_time") >= F.timestamp_micros(F.lit(since))
 
     # ---- tables ----
 
     def journal(self, spark: SparkSession, batches: list[int] | None = None) -> DataFrame:
         """Judged events of the given batches, or of all."""
+        if batches == []:
+            return spark.createDataFrame([], JOURNAL)
         paths = ["journal"] if batches is None else [f"journal/batch_id={batch}" for batch in batches]
         reader = spark.read.schema(JOURNAL).option("basePath", f"{self.root}/journal")
         return reader.parquet(*(f"{self.root}/{path}" for path in paths))
 
     def revisions(self, spark: SparkSession) -> DataFrame:
-        return self._read(spark, REVISIONS, "revisions")
+        """Every result row written, with its batch."""
+        reader = spark.read.schema(REVISIONS)
+        return reader.json(f"{self.root}/revisions") if self.sink == "jsonl" else reader.parquet(f"{self.root}/revisions")
 
     def current(self, spark: SparkSession) -> DataFrame:
         """The result table: the last write of every view."""
         return tables.current(self.revisions(spark), ["batch_id"])
 
-    def _write_revisions(self, due: DataFrame, batch_id: int) -> None:
+    def audit(self, spark: SparkSession) -> DataFrame:
+        """Everything that happened, in the audit feed's columns; batches stand in for processing time."""
+        return activity.audit_log(self.journal(spark), self.revisions(spark))
+
+    def _write_results(self, due: DataFrame, batch_id: int) -> None:
         # An id sent twice in one batch with different content keeps its latest coordinates.
         latest = tables.current(
             due.select(*attribution.result_columns(), "partition", "offset"), ["offset", "partition"])
-        self._write(latest, f"revisions/batch_id={batch_id}")
-
-    def _state(self, spark: SparkSession, batch_id: int) -> dict | None:
+        if callable(self.sink):
+            self.sink(latest, batch_id)
+        elif self.sink == "jsonl":
+            latest.write.mode("overwrite").option("ignoreNullFields", "false").json(
+                f"{self.root}/revisions/batch_id={batch_id}")
+        else:
+            self._write(latest, f"revisions/batch_id={batch_id}")
+
+    def state(self, spark: SparkSession, batch_id: int) -> State | None:
         """What a finished batch left behind; None if it did not finish."""
-        folder = f"state/batch_id={batch_id}"
-        # The list of batches is written last, so its success marker stands for the whole batch.
-        done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folder}/batches/_SUCCESS")
+        path = f"{self.root}/state/batch_id={batch_id}"
+        # The state is written last, so its success marker stands for the whole batch.
+        done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
         if not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
             return None
-        return {
-            "watermarks": self._read(spark, WATERMARKS, f"{folder}/watermarks"),
-            # Journal batches still needed: as many as fall into the retention time.
-            "batches": self._read(spark, BATCHES, f"{folder}/batches"),
-        }
-
-    def _read(self, spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
-        return spark.read.schema(schema).parquet(f"{self.root}/{path}")
+        rows = spark.read.schema(STATE).parquet(path).collect()
+        return State(
+            {(row.is_view, row.partition): row.micros for row in rows if row.journal_batch is None},
+            sorted((JournalBatch(row.journal_batch, row.n_events, row.last_click, row.last_view)
+                    for row in rows if row.journal_batch is not None), key=lambda batch: batch.batch),
+        )
+
+    def _write_state(self, spark: SparkSession, state: State, batch_id: int) -> None:
+        rows = [(is_view, partition, at, None, None, None, None)
+                for (is_view, partition), at in state.watermarks.items()]
+        rows += [(None, None, None, batch.batch, batch.n_events, batch.last_click, batch.last_view)
+                 for batch in state.batches]
+        self._write(spark.createDataFrame(rows, STATE).coalesce(1), f"state/batch_id={batch_id}")
 
     def _write(self, rows: DataFrame, path: str, *partition_by: str) -> None:
         rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{self.root}/{path}")

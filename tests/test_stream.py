@@ -78,7 +78,7 @@ def test_unfinished_batch_is_redone(spark, tmp_path):
     batch = events.select(
         F.when(F.col("is_view"), "page_views").otherwise("ad_clicks").alias("topic"), "partition", "offset",
         records.encode().alias("value"))
-    before = feed.work._state(spark, 0)
+    before = feed.work.state(spark, 0) or journal.State()
     feed.work._write_journal(batch, 1, before)  # crash after the journal
     feed.work(batch, 1)
     assert feed.results() == EXPECTED
@@ -148,13 +148,36 @@ def test_old_batches_leave_the_working_set(spark, tmp_path):
     feed = Feed(spark, tmp_path)
     for n, hour in enumerate((8, 10, 12)):
         feed.deliver([(False, n, "u", f"{hour:02d}:00:00", f"c{n}", "x"), (True, n, "u", f"{hour:02d}:05:00", f"v{n}", "/x")])
-    state = feed.work._state(spark, feed.last)
-    assert [row.journal_batch for row in state["batches"].collect()] == [feed.last]
+    assert [batch.batch for batch in feed.work.state(spark, feed.last).batches] == [feed.last]
 
 
-def test_emit_must_be_known(tmp_path):
-    with pytest.raises(ValueError):
-        journal.Attribution(str(tmp_path), emit="twice")
+def test_settings_must_be_known(tmp_path):
+    for setting in ({"emit": "twice"}, {"sink": "database"}):
+        with pytest.raises(ValueError):
+            journal.Attribution(str(tmp_path), **setting)
+
+
+def test_sinks(spark, tmp_path):
+    lines = Feed(spark, tmp_path / "lines", sink="jsonl")
+    lines.deliver([row[:6] for row in ARRIVALS[:3]])
+    lines.deliver([row[:6] for row in ARRIVALS[3:]])
+    assert lines.results() == EXPECTED
+    text = [line for path in (tmp_path / "lines" / "tables" / "revisions").rglob("*.json")
+            for line in path.read_text().splitlines()]
+    assert len(text) == 7 and all('"attributed_click_id"' in line for line in text)
+
+    taken = {}
+    own = Feed(spark, tmp_path / "own", sink=lambda rows, batch_id: taken.update({batch_id: rows.count()}))
+    own.deliver([row[:6] for row in ARRIVALS])
+    assert taken == {0: 6}
+
+
+def test_audit_of_a_run(spark, tmp_path):
+    feed = Feed(spark, tmp_path)
+    feed.deliver([row[:6] for row in ARRIVALS[:3]])
+    feed.deliver([row[:6] for row in ARRIVALS[3:]])
+    counts = {row.type: row["count"] for row in feed.work.audit(spark).groupBy("type").count().collect()}
+    assert counts == {"CLICK": 6, "PAGE_VIEW": 6, "ATTRIBUTION": 7, "LATE_EVENT": 1, "WATERMARK": 12}
 
 
 def test_source_must_be_named(spark):
