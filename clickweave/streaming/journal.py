@@ -15,6 +15,7 @@ slowest partition of the other topic has passed them.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import timedelta
@@ -35,14 +36,27 @@ JOURNAL = T.StructType([
 ])
 REVISIONS = T.StructType([*ATTRIBUTED.fields, T.StructField("batch_id", T.LongType())])
 
-WATERMARKS = "is_view boolean, partition int, micros bigint"
-STATE = f"{WATERMARKS}, journal_batch bigint, n_events bigint, last_click bigint, last_view bigint"
+WATERMARKS = T.StructType([
+    T.StructField("is_view", T.BooleanType()),
+    T.StructField("partition", T.IntegerType()),
+    T.StructField("micros", T.LongType()),
+])
+STATE = T.StructType([
+    *WATERMARKS.fields,
+    *(T.StructField(name, T.LongType()) for name in ("journal_batch", "n_events", "last_click", "last_view")),
+])
 
 FINAL_BATCH = (1 << 31) - 1
 
 Sink = Callable[[DataFrame, int], None]
 
 
+def _table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A few rows as a DataFrame, made without starting Python workers."""
+    text = json.dumps([dict(zip(schema.names, row)) for row in rows])
+    return spark.range(0, 1, 1, 1).select(F.inline(F.from_json(F.lit(text), T.ArrayType(schema))))
+
+
 def _micros(span: timedelta) -> int:
     return span // timedelta(microseconds=1)
 
@@ -134,7 +148,7 @@ class Attribution:
                 self._write(records.quarantined(decoded), f"quarantine/batch_id={batch_id}")
             events = tables.deduplicated(records.good(decoded))
             rows = [(is_view, partition, at) for (is_view, partition), at in before.watermarks.items()]
-            carried = spark.createDataFrame(rows, WATERMARKS).select(
+            carried = _table(spark, rows, WATERMARKS).select(
                 *lateness.SOURCE, F.timestamp_micros("micros").alias("watermark"))
             judged = lateness.judge(events, self.lateness, OFFSET_ORDER, carried, at_most=size, **self.scan)
             self._write(judged, f"journal/batch_id={batch_id}", "late", "is_view")
@@ -206,7 +220,7 @@ class Attribution:
     def journal(self, spark: SparkSession, batches: list[int] | None = None) -> DataFrame:
         """Judged events of the given batches, or of all."""
         if batches == []:
-            return spark.createDataFrame([], JOURNAL)
+            return _table(spark, [], JOURNAL)
         paths = ["journal"] if batches is None else [f"journal/batch_id={batch}" for batch in batches]
         reader = spark.read.schema(JOURNAL).option("basePath", f"{self.root}/journal")
         return reader.parquet(*(f"{self.root}/{path}" for path in paths))
@@ -255,7 +269,7 @@ class Attribution:
                 for (is_view, partition), at in state.watermarks.items()]
         rows += [(None, None, None, batch.batch, batch.n_events, batch.last_click, batch.last_view)
                  for batch in state.batches]
-        self._write(spark.createDataFrame(rows, STATE).coalesce(1), f"state/batch_id={batch_id}")
+        self._write(_table(spark, rows, STATE), f"state/batch_id={batch_id}")
 
     def _write(self, rows: DataFrame, path: str, *partition_by: str) -> None:
         rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{self.root}/{path}")
