@@ -42,6 +42,7 @@ WATERMARKS = T.StructType([
     T.StructField("micros", T.LongType()),
 ])
 STATE = T.StructType([
+    T.StructField("run", T.StringType()),
     *WATERMARKS.fields,
     *(T.StructField(name, T.LongType()) for name in ("journal_batch", "n_events", "last_click", "last_view")),
 ])
@@ -52,7 +53,7 @@ Sink = Callable[[DataFrame, int], None]
 
 
 def _table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
-    """A few rows as a DataFrame, made without starting Python workers."""
+    """A few rows (short ones end in nulls) as a DataFrame, made without starting Python workers."""
     text = json.dumps([dict(zip(schema.names, row)) for row in rows])
     return spark.range(0, 1, 1, 1).select(F.inline(F.from_json(F.lit(text), T.ArrayType(schema))))
 
@@ -75,6 +76,7 @@ class JournalBatch:
 class State:
     """What batches leave to later ones: a row per source partition and per journal batch still needed."""
 
+    run: str
     watermarks: dict[tuple[bool, int], int] = field(default_factory=dict)
     batches: list[JournalBatch] = field(default_factory=list)
 
@@ -122,9 +124,13 @@ class Attribution:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if self.state(spark, batch_id) is not None:
+        # The query keeps its id across restarts, in its checkpoint.
+        run = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+        if self._checked(self.state(spark, batch_id), run) is not None:
             return
-        before = self.state(spark, batch_id - 1) or State()
+        before = State(run) if batch_id == 0 else self._checked(self.state(spark, batch_id - 1), run)
+        if before is None:
+            raise ValueError(f"{self.root} lacks the batch before {batch_id}; it does not belong to this checkpoint")
         self._write_journal(batch, batch_id, before)
         after = self._next_state(spark, batch_id, before)
         resolved = self._resolve(spark, before, [*before.batches, *(b for b in after.batches if b.batch == batch_id)])
@@ -137,6 +143,11 @@ class Attribution:
         resolved = self._resolve(spark, state, state.batches)
         self._write_results(resolved.filter(self._open(state)), FINAL_BATCH)
 
+    def _checked(self, state: State | None, run: str) -> State | None:
+        if state is not None and state.run != run:
+            raise ValueError(f"{self.root} holds the tables of another query; use a new folder or its checkpoint")
+        return state
+
     # ---- steps of a batch ----
 
     def _write_journal(self, batch: DataFrame, batch_id: int, before: State) -> None:
@@ -162,7 +173,7 @@ class Attribution:
             .agg(F.max(F.unix_micros("event_time")).alias("last"), F.count(F.lit(1)).alias("n_events"))
             .collect()
         )
-        after = State(dict(before.watermarks), list(before.batches))
+        after = State(before.run, dict(before.watermarks), list(before.batches))
         for row in seen:
             source = (row.is_view, row.partition)
             after.watermarks[source] = max(row.last, after.watermarks.get(source, row.last))
@@ -181,7 +192,7 @@ class Attribution:
         def needed(last: int | None, since: int | None) -> bool:
             return last is not None and (since is None or last >= since)
 
-        return State(state.watermarks, [
+        return State(state.run, state.watermarks, [
             batch for batch in state.batches
             if needed(batch.last_click, clicks_from) or needed(batch.last_view, views_from)
         ])
@@ -259,15 +270,16 @@ class Attribution:
             return None
         rows = spark.read.schema(STATE).parquet(path).collect()
         return State(
-            {(row.is_view, row.partition): row.micros for row in rows if row.journal_batch is None},
+            rows[0].run,
+            {(row.is_view, row.partition): row.micros for row in rows if row.partition is not None},
             sorted((JournalBatch(row.journal_batch, row.n_events, row.last_click, row.last_view)
                     for row in rows if row.journal_batch is not None), key=lambda batch: batch.batch),
         )
 
     def _write_state(self, spark: SparkSession, state: State, batch_id: int) -> None:
-        rows = [(is_view, partition, at, None, None, None, None)
-                for (is_view, partition), at in state.watermarks.items()]
-        rows += [(None, None, None, batch.batch, batch.n_events, batch.last_click, batch.last_view)
+        rows = [(state.run,)]
+        rows += [(state.run, is_view, partition, at) for (is_view, partition), at in state.watermarks.items()]
+        rows += [(state.run, None, None, None, batch.batch, batch.n_events, batch.last_click, batch.last_view)
                  for batch in state.batches]
         self._write(_table(spark, rows, STATE), f"state/batch_id={batch_id}")
 

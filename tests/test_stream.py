@@ -33,6 +33,15 @@ class Feed:
         run = journal.start(stream, self.work, f"{self.folder}/checkpoint", available_now=True)
         run.awaitTermination()
         self.last = run.lastProgress["batchId"]
+        self.run = str(run.id)
+
+    def redo(self, batch, batch_id):
+        """Hand the work a batch as the query would after a failure."""
+        self.spark.sparkContext.setLocalProperty("sql.streaming.queryId", self.run)
+        try:
+            self.work(batch, batch_id)
+        finally:
+            self.spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
 
     def results(self):
         return {row.page_view_id: (row.attributed_campaign_id, row.attributed_click_id)
@@ -67,7 +76,7 @@ def test_batch_run_again_is_a_no_op(spark, tmp_path):
     before = set(feed.work.revisions(spark).collect())
     # A failure after the tables were written, before the batch was committed.
     sent = spark.read.parquet(f"{tmp_path}/landing")
-    feed.work(sent.limit(0), 1)
+    feed.redo(sent.limit(0), 1)
     assert set(feed.work.revisions(spark).collect()) == before
 
 
@@ -78,9 +87,9 @@ def test_unfinished_batch_is_redone(spark, tmp_path):
     batch = events.select(
         F.when(F.col("is_view"), "page_views").otherwise("ad_clicks").alias("topic"), "partition", "offset",
         records.encode().alias("value"))
-    before = feed.work.state(spark, 0) or journal.State()
+    before = feed.work.state(spark, 0)
     feed.work._write_journal(batch, 1, before)  # crash after the journal
-    feed.work(batch, 1)
+    feed.redo(batch, 1)
     assert feed.results() == EXPECTED
     assert feed.work.journal(spark).count() == 13
 
@@ -134,8 +143,8 @@ def test_any_batching_gives_the_batch_result(spark, tmp_path, seed, emit, rows_p
     rows = random_arrivals(seed)
     window = timedelta(minutes=30)
     feed = Feed(spark, tmp_path, window=window, emit=emit, rows_per_cut=rows_per_cut)
-    for start in range(0, len(rows), 30):
-        feed.deliver(rows[start:start + 30])
+    for start in range(0, len(rows), 45):
+        feed.deliver(rows[start:start + 45])
     if emit == "once":
         held_back = len(feed.results())
         feed.work.finish(spark, feed.last)
@@ -157,6 +166,24 @@ def test_settings_must_be_known(tmp_path):
             journal.Attribution(str(tmp_path), **setting)
 
 
+def test_tables_of_another_run_are_refused(spark, tmp_path):
+    feed = Feed(spark, tmp_path)
+    feed.deliver([row[:6] for row in ARRIVALS[:3]])
+    sent = spark.read.parquet(f"{tmp_path}/landing")
+    with pytest.raises(ValueError, match="another query"):
+        feed.work(sent, 0)
+    with pytest.raises(ValueError, match="lacks the batch"):
+        feed.redo(sent, 7)
+
+
+def test_batch_of_refused_records_only(spark, tmp_path):
+    feed = Feed(spark, tmp_path)
+    feed.send(spark.createDataFrame(
+        [("ad_clicks", 0, 0, "{")], "topic string, partition int, offset bigint, value string"))
+    feed.deliver([row[:6] for row in ARRIVALS])
+    assert feed.results() == EXPECTED
+
+
 def test_sinks(spark, tmp_path):
     lines = Feed(spark, tmp_path / "lines", sink="jsonl")
     lines.deliver([row[:6] for row in ARRIVALS[:3]])
