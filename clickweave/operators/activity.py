@@ -6,14 +6,11 @@ has everything the audit feed needs, so the feed is a projection rather than a u
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickweave.functions.columns import topic, watermark_key
 from clickweave.operators.lateness import advances
-from clickweave.operators.scan import Fold, running
 
 FEED = {
     "type": "string", "event_ts": None, "processed_at": None, "seq": "bigint", "user_id": "string",
@@ -99,16 +96,11 @@ def newest(audit: DataFrame, n: int = 500) -> DataFrame:
     )
 
 
-def user_timeline(
-    resolved: DataFrame, order: Sequence[str], user_id: str | None = None, **scan
-) -> DataFrame:
+def user_timeline(resolved: DataFrame, user_id: str | None = None) -> DataFrame:
     """Each user's clicks and views in time order, dropped ones marked, views with their credited click."""
     if user_id is not None:
         resolved = resolved.filter(F.col("user_id") == user_id)
-    numbered = running(
-        resolved, ["user_id"], ("event_time", "is_view", *order), {"position": Fold("sum", F.lit(1))}, **scan
-    )
-    return numbered.select(
+    return resolved.select(
         "user_id", "position", topic().alias("topic"), "id", "event_time", "label",
         F.col("late").alias("dropped"), F.col("click.id").alias("attributed_click_id"),
     )

@@ -38,13 +38,15 @@ def resolve(
     keep: Sequence[str] = (),
     **scan,
 ) -> DataFrame:
-    """All events with `click`, the click each view is credited to (null when there is none).
+    """All events with `click`, the click each view is credited to (null when there is none), and
+    `position`, their number in the user's time order.
 
     Only clicks meeting `eligible` are candidates. `click` is a struct of the click's `event_time`, `id`,
     `label` and the columns named in `keep`; it is filled on view rows only.
     """
     by_time = ("event_time", "is_view", *order)
-    found = running(events, ["user_id"], by_time, {"click": Fold("last", click_value(eligible, keep))}, **scan)
+    folds = {"click": Fold("last", click_value(eligible, keep)), "position": Fold("sum", F.lit(1))}
+    found = running(events, ["user_id"], by_time, folds, **scan)
     return found.withColumn("click", F.when(F.col("is_view"), within("click", window)))
 
 

@@ -6,8 +6,8 @@ block starts from the fold of everything before it:
 
 1. *Cut points.* Rows whose hash falls into one of `rows_per_cut` slots, at most `max_cuts` of them
    (those with the smallest hashes), become block starts. A group gets about one cut per
-   `rows_per_cut` rows, so small groups stay whole and cost nothing extra. Cut points only decide
-   where work is divided; every row takes part in the result, wherever the cuts fall.
+   `rows_per_cut` rows; groups that get fewer than two stay whole and cost nothing extra. Cut points
+   only decide where work is divided; every row takes part in the result, wherever the cuts fall.
 2. *Blocks.* Each row finds its block by binary search in its group's sorted cut points. The cut
    table has at most `max_cuts` rows by construction, which is what makes broadcasting it safe.
 3. *Carries.* Per block of a cut group, the fold of its rows is aggregated (map side first), then
@@ -73,6 +73,7 @@ def cut_points(
         .limit(max_cuts)
         .groupBy(*keys)
         .agg(F.sort_array(F.collect_set("_at")).alias("_cuts"))
+        .filter(F.size("_cuts") > 1)
     )
 
 

@@ -195,11 +195,9 @@ def recent_events_top500(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_timeline(**scan) -> Query:
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        options = bounded(spark, sf_dir, **scan)
-        rows = resolved(spark, sf_dir, HOURS_24, **options)
-        return activity.user_timeline(rows, ARRIVAL_ORDER, cuts_from=events(spark, sf_dir), **options)
-    return query
+    return lambda spark, sf_dir: activity.user_timeline(
+        resolved(spark, sf_dir, HOURS_24, **bounded(spark, sf_dir, **scan))
+    )
 
 
 def timeline_range(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -200,7 +200,7 @@ def test_audit_feed(spark):
 
 def test_user_views(spark):
     resolved = audited(spark)
-    timeline = activity.user_timeline(resolved, ("seq",), "user_5").orderBy("position").collect()
+    timeline = activity.user_timeline(resolved, "user_5").orderBy("position").collect()
     assert [(row.id, row.dropped) for row in timeline] == [
         ("click_5_b", True), ("pv_5", False), ("click_5_a", False)]
     links = {(row.click_id, row.page_view_id) for row in activity.attribution_links(resolved).collect()}

@@ -47,8 +47,8 @@ def test_folds_do_not_depend_on_cuts(rows, before, rows_per_cut, max_cuts):
 def test_cut_points_are_bounded_and_follow_group_size(rows):
     assert cut_points(rows, ["key"], ["at", "seq"], rows_per_cut=1 << 20).count() == 0
     sizes = {row.key: len(row._cuts) for row in cut_points(rows, ["key"], ["at", "seq"], 1, 60).collect()}
-    assert sum(sizes.values()) == 60
-    assert sizes["hot"] > 10
+    assert 30 < sum(sizes.values()) <= 60
+    assert sizes["hot"] > 10 and min(sizes.values()) > 1
 
 
 def test_blocks_of_a_hot_group_are_small(rows):
