@@ -1,5 +1,6 @@
 """Attribution, lateness and result tables on hand-made events."""
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -27,12 +28,16 @@ def credited(results):
     return {row.page_view_id: row.attributed_click_id for row in results.collect()}
 
 
-def strict(events, **kwargs):
-    accepted = lateness.judge(events).filter(~F.col("late")).drop("late", "watermark_before")
-    return attribution.attribute(accepted, **kwargs)
+# The plain window, and every group cut at every row.
+PLAIN, CUT = {"at_most": 5000}, {"rows_per_cut": 1, "max_cuts": 5000}
 
 
-@pytest.mark.parametrize("rows_per_cut", [1 << 20, 1])
+def strict(events, scan=PLAIN):
+    accepted = lateness.judge(events, **scan).filter(~F.col("late")).drop("late", "watermark_before")
+    return attribution.attribute(accepted, **scan)
+
+
+@pytest.mark.parametrize("scan", [PLAIN, CUT], ids=["plain", "cut"])
 @pytest.mark.parametrize("name, rows, expected", [
     ("click before view", [click(0, "u", "12:05:00", "c"), view(0, "u", "12:10:00", "v")], {"v": "c"}),
     ("latest of several",
@@ -47,8 +52,8 @@ def strict(events, **kwargs):
     ("equal times: higher offset",
      [click(7, "u", "12:05:00", "c7"), click(3, "u", "12:05:00", "c3"), view(0, "u", "12:10:00", "v")], {"v": "c7"}),
 ])
-def test_cases(spark, name, rows, expected, rows_per_cut):
-    assert credited(attribution.attribute(frame(spark, *rows), rows_per_cut=rows_per_cut)) == expected
+def test_cases(spark, name, rows, expected, scan):
+    assert credited(attribution.attribute(frame(spark, *rows), **scan)) == expected
 
 
 def test_scenario(spark):
@@ -118,8 +123,8 @@ def test_one_hot_user(spark):
         start = datetime(2024, 1, 1, 12) + timedelta(minutes=2 * i)
         rows.append(click(i, "hot", start.strftime("%H:%M:%S"), f"c{i}"))
         rows.append(view(i, "hot", (start + timedelta(minutes=1)).strftime("%H:%M:%S"), f"v{i}"))
-    for rows_per_cut in (1 << 20, 4, 1):
-        found = credited(strict(frame(spark, *rows), rows_per_cut=rows_per_cut))
+    for scan in (PLAIN, {"rows_per_cut": 4}, CUT):
+        found = credited(strict(frame(spark, *rows), scan))
         assert found == {f"v{i}": f"c{i}" for i in range(20)}
 
 
@@ -137,6 +142,53 @@ def test_partitions_and_layout_do_not_matter(spark):
         assert credited(strict(layout)) == expected
 
 
+def simulate(arrivals):
+    """Events one by one, as they arrive: late ones dropped, views written, clicks rewriting earlier views."""
+    watermarks, clicks, views, result = {}, [], [], {}
+    minute = timedelta(minutes=1)
+
+    def write(seen):
+        _, _, user, time, id, _, _ = seen
+        fitting = [c for c in clicks if c[2] == user and at(time) - 30 * minute <= at(c[3]) <= at(time)]
+        result[id] = max(fitting, key=lambda c: (c[3], c[1]))[4] if fitting else None
+
+    for event in arrivals:
+        is_view, _, user, time, _, _, partition = event
+        watermark = watermarks.get((is_view, partition), at(time))
+        if at(time) < watermark - 15 * minute:
+            continue
+        watermarks[is_view, partition] = max(watermark, at(time))
+        if is_view:
+            views.append(event)
+            write(event)
+        else:
+            clicks.append(event)
+            for earlier in views:
+                if earlier[2] == user and at(time) <= at(earlier[3]) <= at(time) + 30 * minute:
+                    write(earlier)
+    return result
+
+
+def test_random_arrivals_against_event_by_event_simulation(spark):
+    """Coarse times make ties and exact edges common; each run has a source partition of its own."""
+    arrivals, expected = [], {}
+    for run in range(60):
+        rng, offsets, own = random.Random(run), {False: -1, True: -1}, []
+        for n in range(30):
+            minutes = max(0, 2 * n + rng.choice([0, 0, 5, -10, -15, -16, -30]))
+            is_view = rng.random() < 0.5
+            offsets[is_view] += 1
+            time = f"{10 + minutes // 60:02d}:{minutes % 60:02d}:00"
+            make = view if is_view else click
+            own.append(make(offsets[is_view], f"{run}_{rng.randrange(2)}", time, f"{run}_{n}", run))
+        arrivals += own
+        expected |= simulate(own)
+    events = frame(spark, *arrivals)
+    assert sum(click is not None for click in expected.values()) > 300 and len(expected) < 900
+    assert credited(strict(events)) == expected
+    assert credited(strict(events, CUT)) == expected
+
+
 def test_redelivered_records_change_nothing(spark):
     events = scenario(spark)
     twice = tables.deduplicated(events.unionByName(events))
@@ -148,9 +200,9 @@ def test_reach_holds_all_pairs(spark):
     events = frame(
         spark, view(0, "u", "12:00:00", "v0"), click(0, "u", "12:00:00", "c0"), view(1, "u", "12:30:00", "v1"),
         view(2, "u", "12:30:01", "v2"), click(1, "u", "12:20:00", "c1"), click(2, "w", "12:00:00", "c2"))
-    for rows_per_cut in (1 << 20, 1):
+    for scan in (PLAIN, CUT):
         reach = {row.click_id: (row.views_before, row.n_views)
-                 for row in attribution.click_reach(events, rows_per_cut=rows_per_cut).collect()}
+                 for row in attribution.click_reach(events, **scan).collect()}
         assert reach == {"c0": (1, 1), "c1": (1, 2), "c2": (0, 0)}
 
 
@@ -182,8 +234,9 @@ def test_revisions_and_current(spark):
 
 
 def audited(spark):
-    rows = lateness.judge(scenario(spark)).withColumns({"arrival": F.col("event_time"), "seq": F.col("offset")})
-    resolved = attribution.resolve(rows, eligible=~F.col("late"))
+    rows = lateness.judge(scenario(spark), **PLAIN)
+    rows = rows.withColumns({"arrival": F.col("event_time"), "seq": F.col("offset")})
+    resolved = attribution.resolve(rows, eligible=~F.col("late"), **PLAIN)
     return resolved.withColumn("click", F.when(~F.col("late"), F.col("click")))
 
 
