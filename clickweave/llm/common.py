@@ -115,3 +115,8 @@ def steps(values: np.ndarray) -> bytes:
 
 def sums(packed: bytes) -> np.ndarray:
     return np.cumsum(unpack(packed, np.int64))
+
+
+def plain_texts(texts: pa.Array) -> pa.Array:
+    """Large strings without nulls in memory of their own: pyarrow's lower-casing misreads slices."""
+    return pa.array(["" if text is None else text for text in texts.to_pylist()], pa.large_string())

@@ -49,7 +49,7 @@ def hashed(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
     A-Z are lower-cased, words end at ASCII white space, and each text ends with the end token.
     """
-    stream, sizes = common.hashed_words(pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))))
+    stream, sizes = common.hashed_words(pc.ascii_split_whitespace(pc.ascii_lower(common.plain_texts(texts))))
     return np.insert(stream, np.cumsum(sizes), END), sizes + 1
 
 

@@ -35,12 +35,13 @@ SKETCHES, MINIMA = 16, 3
 SIMILARITY = 0.8
 ALIKE = 0.5  # least share of equal minima for a pair to be verified
 BLOCK = 2048
-PROPOSALS = 3
+PROPOSALS = 64  # pairs that a text proposes at once
+ROWS = 4096
 _FACTORS = np.random.default_rng(8).integers(1, 1 << 63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    return common.hashed_words(pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))))
+    return common.hashed_words(pc.utf8_split_whitespace(pc.utf8_lower(common.plain_texts(texts))))
 
 
 def shingles(words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -248,26 +249,33 @@ def _proposals(texts: DataFrame, members: DataFrame, labels: DataFrame, tested:
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.select("band", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "key", "component", "n", "minima", "failed")
 
-    def proposed(group: pd.DataFrame) -> pd.DataFrame:
+    # many small buckets share a call; a call gets about `ROWS` rows
+    slots = max(1, members.count() // ROWS)
+    rows = rows.withColumn("slot", F.pmod(F.xxhash64("band", "low", "high"), F.lit(slots)))
+
+    def proposed(slot: pd.DataFrame) -> pd.DataFrame:
+        order = np.lexsort((slot["high"], slot["low"], slot["band"]))
+        slot = slot.iloc[order]
+        cuts = np.flatnonzero(np.any([np.diff(slot[x].to_numpy()) != 0 for x in ("band", "low", "high")], axis=0)) + 1
+        minima = np.frombuffer(b"".join(slot["minima"]), dtype=np.uint32).reshape(len(slot), SKETCHES, MINIMA)
+        component, keys, size = pd.factorize(slot["component"])[0], slot["key"].to_numpy(), slot["n"].to_numpy()
+        block, across, failed = slot["block"].to_numpy(), (slot["low"] != slot["high"]).to_numpy(), slot["failed"].to_numpy()
         found = []
-        minima = np.frombuffer(b"".join(group["minima"]), dtype=np.uint32).reshape(len(group), SKETCHES, MINIMA)
-        keys, size = group["key"].to_numpy(), group["n"].to_numpy()
-        component, block = pd.factorize(group["component"])[0], group["block"].to_numpy()
-        across = group["low"].iloc[0] != group["high"].iloc[0]
-        for i in range(len(group)):
-            open_ = (component != component[i]) & _near(size, size[i])
-            if across:
-                open_ &= block != block[i]
-            others = np.flatnonzero(open_)
-            if not len(others):
-                continue
-            share = alike(minima[i], minima[others])
-            known = set(group["failed"].iloc[i]) if group["failed"].iloc[i] is not None else ()
-            best = [j for j in np.argsort(-share, kind="stable") if share[j] >= ALIKE and keys[others[j]] not in known][:PROPOSALS]
-            found += [(min(keys[i], keys[others[j]]), max(keys[i], keys[others[j]])) for j in best]
+        for start, end in zip([0, *cuts], [*cuts, len(slot)], strict=True):
+            for i in range(start, end - 1):
+                open_ = (component[i + 1 : end] != component[i]) & _near(size[i + 1 : end], size[i])
+                if across[i]:
+                    open_ &= block[i + 1 : end] != block[i]
+                others = i + 1 + np.flatnonzero(open_)
+                if not len(others):
+                    continue
+                share = alike(minima[i], minima[others])
+                known = set(failed[i]) if failed[i] is not None else ()
+                best = [j for j in others[np.argsort(-share, kind="stable")][: int((share >= ALIKE).sum())] if keys[j] not in known][:PROPOSALS]
+                found += [(min(keys[i], keys[j]), max(keys[i], keys[j])) for j in best]
         return pd.DataFrame(found, columns=["a", "b"])
 
-    return rows.groupBy("band", "low", "high").applyInPandas(proposed, "a binary, b binary").distinct()
+    return rows.groupBy("slot").applyInPandas(proposed, "a binary, b binary").distinct()
 
 
 def classes(rows: DataFrame) -> DataFrame:
@@ -285,17 +293,13 @@ def classes(rows: DataFrame) -> DataFrame:
             yield batch.loc[[_share(*pair) >= ALIKE for pair in zip(batch["left"], batch["right"], strict=True)], ["a", "b"]]
 
     pairs = common.written(pairs.mapInPandas(look_alike, "a binary, b binary"), "pairs")
-    keys = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
-    streams = common.written(_streams(rows).join(keys, "key", "left_semi").dropDuplicates(["key"]), "streams")
+    streams = common.written(_streams(rows).join(members.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"]), "streams")
     tested = common.written(_verified(pairs, streams), "tested")
     while True:
         labels = components(tested.filter("linked"))
         pairs = common.written(_proposals(texts, members, labels, tested), "pairs")
         if pairs.isEmpty():
             return labels
-        keys = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
-        missing = keys.join(streams, "key", "left_anti")
-        streams = streams.union(common.written(_streams(rows).join(missing, "key", "left_semi").dropDuplicates(["key"]), "streams"))
         tested = tested.union(common.written(_verified(pairs, streams), "tested"))
 
 

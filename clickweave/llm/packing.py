@@ -95,7 +95,7 @@ class Encoder:
         """All ids one text after the other, each with the end token, and how many each text has."""
         if len(self.words) > MOST_KEPT:
             self.forget()
-        texts = pc.fill_null(pa.array(texts, pa.string()), "")
+        texts = pa.array([text or "" for text in texts], pa.string())
         split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         coded = split.flatten().dictionary_encode()
         rows = pc.index_in(coded.dictionary, value_set=self.words)
@@ -211,7 +211,7 @@ def pack(rows: DataFrame, path: str = TOKENIZER, key: str = "doc_id", text: str
             keys, texts = batch.column(0), batch.column(1)
             pa_kind = keys.type
             for i in range(0, len(texts), 4000):
-                ids, sizes = encoder.encode(texts[i : i + 4000])
+                ids, sizes = encoder.encode(texts[i : i + 4000].to_pylist())
                 for document, end, size in zip(keys[i : i + 4000].to_pylist(), np.cumsum(sizes), sizes, strict=True):
                     packer.add(document, ids[end - size : end])
                 packer.pack()

@@ -36,7 +36,7 @@ DIGITS = 6
 
 
 def term_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    return common.hashed_words(pc.ascii_split_whitespace(pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))))
+    return common.hashed_words(pc.ascii_split_whitespace(pc.utf8_lower(common.plain_texts(texts))))
 
 
 def _counted(stream: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
