@@ -58,8 +58,17 @@ def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32), lengths
 
 
+BATCH_ROWS = 2000
+
+
 def importable(spark: SparkSession) -> SparkSession:
-    """Lets Python workers that share this machine's disk import the package; a cluster ships it with --py-files."""
+    """Readies a session for operators that run Python.
+
+    Workers that share this machine's disk can import the package; a cluster ships it with --py-files. Arrow
+    batches get at most `BATCH_ROWS` rows, which bounds a worker's memory also where texts are long.
+    """
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) == 10_000:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):

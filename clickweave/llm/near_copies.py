@@ -35,6 +35,7 @@ SKETCHES, MINIMA = 16, 3
 SIMILARITY = 0.8
 ALIKE = 0.5  # least share of equal minima for a pair to be verified
 BLOCK = 2048
+SLICE = 500  # texts handled at once
 PROPOSALS = 64  # pairs that a text proposes at once
 ROWS = 4096
 _FACTORS = np.random.default_rng(8).integers(1, 1 << 63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -148,40 +149,39 @@ def numbered(rows: DataFrame, text: str = "text") -> DataFrame:
     return rows.mapInArrow(named, StructType([*rows.schema.fields, StructField("__row", LongType()), StructField("__text", BinaryType())]))
 
 
-def _sketched(rows: DataFrame) -> DataFrame:
-    """Each row of (doc_id, text, __row, __text) with its shingles' number, keys and minima instead of the text."""
+def _sketched(texts: DataFrame) -> DataFrame:
+    """Each text with words as its digest, its shingles' number, keys and minima."""
 
     def made(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                some = batch.slice(at, 1000)
-                words, sizes = word_hashes(some.column("text"))
-                some, sizes = some.filter(pa.array(sizes > 0)), sizes[sizes > 0]
+            for at in range(0, batch.num_rows, SLICE):
+                words, sizes = word_hashes(batch.column(0).slice(at, SLICE))
+                sizes = sizes[sizes > 0]
                 labelled, n = shingles(words, sizes)
                 keys, minima = sketches(labelled, n) if len(n) else (np.zeros((0, SKETCHES), np.uint64), np.zeros((0, SKETCHES, MINIMA), np.uint32))
                 yield pa.RecordBatch.from_arrays(
-                    [some.column("__text"), pa.array(n.astype(np.int64)), pa.array(list(keys.view(np.int64)), pa.list_(pa.int64())), pa.array([x.tobytes() for x in minima], pa.binary())],
+                    [pa.array(_digests(words, sizes), pa.binary()), pa.array(n.astype(np.int64)), pa.array(list(keys.view(np.int64)), pa.list_(pa.int64())), pa.array([x.tobytes() for x in minima], pa.binary())],
                     ["key", "n", "bands", "minima"],
                 )
 
-    return rows.mapInArrow(made, "key binary, n long, bands array<long>, minima binary")
+    return texts.mapInArrow(made, "key binary, n long, bands array<long>, minima binary")
 
 
-def _streams(rows: DataFrame) -> DataFrame:
+def _streams(texts: DataFrame) -> DataFrame:
     """Each text's word hashes, three bytes a word: enough, as shingles of five are compared."""
 
     def made(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                some = batch.slice(at, 1000)
-                words, sizes = word_hashes(some.column("text"))
+            for at in range(0, batch.num_rows, SLICE):
+                words, sizes = word_hashes(batch.column(0).slice(at, SLICE))
+                sizes = sizes[sizes > 0]
                 low = np.ascontiguousarray((words & 0xFFFFFF).astype("<u4")).view(np.uint8).reshape(-1, 4)[:, :3]
                 ends = np.cumsum(sizes)
                 yield pa.RecordBatch.from_arrays(
-                    [some.column("__text"), pa.array([low[e - n : e].tobytes() for e, n in zip(ends, sizes, strict=True)], pa.binary())], ["key", "words"]
+                    [pa.array(_digests(words, sizes), pa.binary()), pa.array([low[e - n : e].tobytes() for e, n in zip(ends, sizes, strict=True)], pa.binary())], ["key", "words"]
                 )
 
-    return rows.mapInArrow(made, "key binary, words binary")
+    return texts.mapInArrow(made, "key binary, words binary")
 
 
 def _labelled(packed: bytes) -> np.ndarray:
@@ -279,7 +279,7 @@ def _proposals(texts: DataFrame, members: DataFrame, labels: DataFrame, tested:
 
 
 def classes(rows: DataFrame) -> DataFrame:
-    """key and component for the texts of `numbered` rows (doc_id, text, __row, __text) that are linked to another one."""
+    """key and component for those of the texts (one column) that are linked to another one."""
     texts = common.written(_sketched(rows).groupBy("key").agg(F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("minima").alias("minima")), "sketches")
     exploded = texts.select("key", "n", F.explode("bands").alias("band"))
     shared = exploded.groupBy("band").agg(F.count("*").alias("members"), F.min(F.struct("n", "key")).alias("least")).filter("members > 1")
@@ -310,8 +310,8 @@ def _share(left: bytes, right: bytes) -> float:
 
 def deduplicate(rows: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, class_id (the smallest doc_id of the class), n_docs (its rows) and kept (one row of each class) for every row."""
+    labels = classes(common.columns(rows, text=text))
     named = numbered(common.columns(rows, doc_id=key, text=text))
-    labels = classes(named)
     rows = named.drop("text")
     by_text = rows.groupBy("__text").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row")).alias("first"))
     by_text = by_text.join(labels, by_text["__text"] == labels["key"], "left").select("__text", "least", "n", "first", F.coalesce("component", "__text").alias("component"))
@@ -323,8 +323,8 @@ def deduplicate(rows: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 def kept(rows: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each class, the one with the smallest key, with all its columns."""
     named = numbered(rows, text)
-    own = named.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), "__row", "__text")
-    labels = classes(own)
+    own = named.select(F.col(f"`{key}`").alias("doc_id"), "__row", "__text")
+    labels = classes(common.columns(rows, text=text))
     by_text = own.groupBy("__text").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row")).alias("first"))
     by_text = by_text.join(labels, by_text["__text"] == labels["key"], "left").select("first", F.coalesce("component", "__text").alias("component"))
     chosen = by_text.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.__row").alias("__row"))
