@@ -17,6 +17,7 @@ shingle. Equal rows are one class. A class is named by its smallest key, null if
 
 from __future__ import annotations
 
+import itertools
 from bisect import bisect_left
 
 import numpy as np
@@ -36,7 +37,7 @@ SIMILARITY = 0.8
 ALIKE = 0.5  # least share of equal minima for a pair to be verified
 BLOCK = 2048
 SLICE = 500  # texts handled at once
-PROPOSALS = 64  # pairs that a text proposes at once
+PROPOSALS = 4  # pairs that a text proposes in the first round; four times as many in each later one
 ROWS = 4096
 _FACTORS = np.random.default_rng(8).integers(1, 1 << 63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -235,7 +236,7 @@ def components(links: DataFrame) -> DataFrame:
         labels = after
 
 
-def _proposals(texts: DataFrame, members: DataFrame, labels: DataFrame, tested: DataFrame) -> DataFrame:
+def _proposals(texts: DataFrame, members: DataFrame, labels: DataFrame, tested: DataFrame, most: int) -> DataFrame:
     """Pairs of unlike component that share a bucket, look alike and were not tested."""
     now = members.join(labels, "key", "left").select("band", "key", F.coalesce("component", "key").alias("component"))
     open_bands = now.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members")).filter("low <> high")
@@ -271,7 +272,7 @@ def _proposals(texts: DataFrame, members: DataFrame, labels: DataFrame, tested:
                     continue
                 share = alike(minima[i], minima[others])
                 known = set(failed[i]) if failed[i] is not None else ()
-                best = [j for j in others[np.argsort(-share, kind="stable")][: int((share >= ALIKE).sum())] if keys[j] not in known][:PROPOSALS]
+                best = [j for j in others[np.argsort(-share, kind="stable")][: int((share >= ALIKE).sum())] if keys[j] not in known][:most]
                 found += [(min(keys[i], keys[j]), max(keys[i], keys[j])) for j in best]
         return pd.DataFrame(found, columns=["a", "b"])
 
@@ -295,9 +296,10 @@ def classes(rows: DataFrame) -> DataFrame:
     pairs = common.written(pairs.mapInPandas(look_alike, "a binary, b binary"), "pairs")
     streams = common.written(_streams(rows).join(members.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"]), "streams")
     tested = common.written(_verified(pairs, streams), "tested")
-    while True:
+    for turn in itertools.count():
         labels = components(tested.filter("linked"))
-        pairs = common.written(_proposals(texts, members, labels, tested), "pairs")
+        # few at first: most large groups come together then, and no longer propose anything
+        pairs = common.written(_proposals(texts, members, labels, tested, PROPOSALS * 4**turn), "pairs")
         if pairs.isEmpty():
             return labels
         tested = tested.union(common.written(_verified(pairs, streams), "tested"))
