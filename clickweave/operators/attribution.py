@@ -136,7 +136,7 @@ def revisions(
 
 def click_reach(
     events: DataFrame, window: timedelta = WINDOW, order: Sequence[str] = OFFSET_ORDER,
-    at_most: int | None = None, **scan,
+    **scan,
 ) -> DataFrame:
     """For every click, which of its user's views lie in the `window` after it: `(click, click + window]`.
 
@@ -158,7 +158,7 @@ def click_reach(
     counted = running(
         marks, ["user_id"], ("at", "kind", *order),
         {"views": Fold("sum", F.when(F.col("kind") == 0, 1).otherwise(0))},
-        at_most=None if at_most is None else 2 * at_most, **scan,
+        **scan,
     )
     at_start = F.max(F.when(F.col("kind") == 1, F.col("views")))
     at_end = F.max(F.when(F.col("kind") == 2, F.col("views")))

@@ -4,19 +4,20 @@ A plain window puts each group into one task. That breaks down when one user or
 holds a large share of all rows. Here large groups are cut into blocks along the sort order, and each
 block starts from the fold of everything before it:
 
-1. *Cut points.* Rows whose hash falls into one of `rows_per_cut` slots, at most `max_cuts` of them
-   (those with the smallest hashes), become block starts. A group gets about one cut per
-   `rows_per_cut` rows; groups that get fewer than two stay whole and cost nothing extra. Cut points
-   only decide where work is divided; every row takes part in the result, wherever the cuts fall.
+1. *Cut points.* Rows whose hash falls into one of `rows_per_cut` slots become block starts. They are
+   counted, and if there are more than `max_cuts`, a second hash thins them to about that many, so
+   nothing is sorted or gathered in one task. A group gets about one cut per `rows_per_cut` rows;
+   groups that get fewer than two stay whole and cost nothing extra. Cut points only decide where
+   work is divided; every row takes part in the result, wherever the cuts fall.
 2. *Blocks.* Each row finds its block by binary search in its group's sorted cut points. The cut
-   table has at most `max_cuts` rows by construction, which is what makes broadcasting it safe.
+   table has about `max_cuts` rows at most, whatever the input, which makes broadcasting it safe.
 3. *Carries.* Per block of a cut group, the fold of its rows is aggregated (map side first), then
-   folded across the group's blocks, of which there are at most `max_cuts + 1`.
+   folded across the group's blocks, of which there is one more than it has cut points.
 4. *Window.* Carries join the rows as the first row of their block; one shuffle and sort on
    (keys, block) then yields the running values.
 
-An input known to have at most `rows_per_cut` rows needs none of this and gets the plain window. In a
-larger one without cut points, steps 2 and 3 see an empty table and adaptive execution removes them.
+The plan is the same for every input size. Without cut points, steps 2 and 3 see an empty table and
+adaptive execution removes them.
 
 The cut table is computed from the input, so it is the same on every evaluation and a lost executor
 cannot shift a block boundary between the two places where blocks are used.
@@ -65,12 +66,14 @@ def cut_points(
     rows_per_cut: int = ROWS_PER_CUT,
     max_cuts: int = MAX_CUTS,
 ) -> DataFrame:
-    """Sorted block starts per group: `keys..., _cuts array<struct<order...>>`, at most `max_cuts` in all."""
-    return (
+    """Sorted block starts per group: `keys..., _cuts array<struct<order...>>`, about `max_cuts` in all at most."""
+    candidates = (
         rows.select(*keys, F.struct(*order).alias("_at"), F.xxhash64(*keys, *order).alias("_hash"))
         .filter(F.pmod("_hash", F.lit(rows_per_cut)) == 0)
-        .orderBy("_hash", "_at")
-        .limit(max_cuts)
+    )
+    keep_one_in = F.greatest(F.lit(1), F.ceil(candidates.agg(F.count(F.lit(1))).scalar() / max_cuts))
+    return (
+        candidates.filter(F.pmod(F.xxhash64("_hash"), keep_one_in) == 0)
         .groupBy(*keys)
         .agg(F.sort_array(F.collect_set("_at")).alias("_cuts"))
         .filter(F.size("_cuts") > 1)
@@ -81,12 +84,12 @@ def _in_blocks(rows: DataFrame, order: Sequence[str], max_cuts: int) -> DataFram
     """Replace `_cuts` by `_block`, the number of cut points at or before the row (0 without any), and
     `_is_cut`, whether the group has any.
 
-    A binary search in halving steps, each its own projection: these stay in one generated function, which
+    A binary search in halving steps (one more than `max_cuts` needs, as it is met on average only), each its own projection: these stay in one generated function, which
     reads the broadcast array in place. A higher-order function would be handed a copy of it per row.
     """
     position = ", ".join(f"`{name}`" for name in order)
     columns, found = [f"struct({position}) AS _at"], "0"
-    for step in (1 << bit for bit in reversed(range(max_cuts.bit_length()))):
+    for step in (1 << bit for bit in reversed(range(max_cuts.bit_length() + 1))):
         columns.append(f"{found} + if(get(_cuts, {found} + {step - 1}) <= _at, {step}, 0) AS _found{step}")
         found = f"_found{step}"
     kept = [name for name in rows.columns if name != "_cuts"]
@@ -100,21 +103,16 @@ def running(
     order: Sequence[str],
     folds: Mapping[str, Fold],
     *,
-    at_most: int | None = None,
     cuts_from: DataFrame | None = None,
     rows_per_cut: int = ROWS_PER_CUT,
     max_cuts: int = MAX_CUTS,
 ) -> DataFrame:
     """Add one column per fold, its value along `order` within `keys`.
 
-    `order` must be free of nulls and unique within a group. `at_most` is an upper bound on the number of
-    rows, where one is known. `cuts_from` may name a cheaper frame with about the same rows (say, the same
-    data before a filter) to take cut points from.
+    `order` must be free of nulls and unique within a group. `cuts_from` may name a cheaper frame with about
+    the same rows (say, the same data before a filter) to take cut points from.
     """
     keys, order = list(keys), list(order)
-    if at_most is not None and at_most <= rows_per_cut:
-        return rows.withColumns(_along(folds, {name: fold.value for name, fold in folds.items()}, keys, order))
-
     computed = {f"_in_{name}": fold.value for name, fold in folds.items() if not isinstance(fold.value, str)}
     inputs = {name: fold.value if isinstance(fold.value, str) else f"_in_{name}" for name, fold in folds.items()}
     valued = rows.withColumns(computed) if computed else rows

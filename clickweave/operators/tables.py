@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.functions.columns import format_time
+from clickweave.functions.columns import format_time, parse_time
 from clickweave.schemas import ATTRIBUTED
 
 RESULT = [field.name for field in ATTRIBUTED]
@@ -33,3 +33,13 @@ def json_lines(rows: DataFrame) -> DataFrame:
     time = format_time(F.col("event_time"))
     shown = F.struct(*(time.alias(name) if name == "event_time" else name for name in RESULT))
     return rows.withColumn("line", F.to_json(shown, {"ignoreNullFields": "false"}))
+
+
+def from_json_lines(rows: DataFrame, line: str = "line") -> DataFrame:
+    """The result rows that `json_lines` wrote, beside the columns given."""
+    schema = ", ".join(f"{name} string" for name in RESULT)
+    parsed = rows.withColumn("_row", F.from_json(line, schema))
+    return parsed.select(
+        *(name for name in rows.columns if name != line),
+        *((parse_time(F.col("_row.event_time")) if name == "event_time" else F.col("_row")[name]).alias(name) for name in RESULT),
+    )

@@ -14,7 +14,7 @@ from clickweave.operators import activity, attribution, lateness, tables
 from clickweave.schemas import VIEW_TOPIC
 from clickweave.session import work_folder
 from clickweave.sources import changelog, records
-from clickweave.sources.tables import ARRIVAL_ORDER, events, row_bound, with_offsets
+from clickweave.sources.tables import ARRIVAL_ORDER, events, with_offsets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,13 +28,8 @@ SMALL_BLOCKS = {"rows_per_cut": 32}
 RUN_ENDS = [datetime(2024, 1, day) for day in (8, 15, 22)]
 
 
-def bounded(spark: SparkSession, sf_dir: str, **scan) -> dict:
-    """Options for running folds over the table: its row count and what else is given."""
-    return {"at_most": row_bound(spark, sf_dir), **scan}
-
-
 def judged(spark: SparkSession, sf_dir: str, **scan) -> DataFrame:
-    return lateness.judge(events(spark, sf_dir), order=ARRIVAL_ORDER, **(scan or bounded(spark, sf_dir)))
+    return lateness.judge(events(spark, sf_dir), order=ARRIVAL_ORDER, **scan)
 
 
 def accepted(spark: SparkSession, sf_dir: str, **scan) -> DataFrame:
@@ -44,9 +39,8 @@ def accepted(spark: SparkSession, sf_dir: str, **scan) -> DataFrame:
 def strict(operator: Callable, window: timedelta, **scan) -> Query:
     """An attribution operator over the accepted events."""
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        options = bounded(spark, sf_dir, **scan)
-        rows = accepted(spark, sf_dir, **options)
-        return operator(rows, window, ARRIVAL_ORDER, cuts_from=events(spark, sf_dir), **options)
+        rows = accepted(spark, sf_dir, **scan)
+        return operator(rows, window, ARRIVAL_ORDER, cuts_from=events(spark, sf_dir), **scan)
     return query
 
 
@@ -61,7 +55,7 @@ def resolved(spark: SparkSession, sf_dir: str, window: timedelta, **scan) -> Dat
 
 def attributed(window: timedelta, **scan) -> Query:
     return lambda spark, sf_dir: attribution.attribute(
-        events(spark, sf_dir), window, ARRIVAL_ORDER, **bounded(spark, sf_dir, **scan)
+        events(spark, sf_dir), window, ARRIVAL_ORDER, **scan
     )
 
 
@@ -69,9 +63,17 @@ def attributed_strict(window: timedelta, **scan) -> Query:
     return strict(attribution.attribute, window, **scan)
 
 
+def attributed_ties(window: timedelta) -> Query:
+    """Times cut to the hour, so that many clicks of a user share theirs."""
+    return lambda spark, sf_dir: attribution.attribute(
+        events(spark, sf_dir).withColumn("event_time", F.date_trunc("hour", "event_time").cast("timestamp_ntz")),
+        window, ARRIVAL_ORDER,
+    )
+
+
 def stream_offsets(**scan) -> Query:
     return lambda spark, sf_dir: with_offsets(
-        events(spark, sf_dir), **bounded(spark, sf_dir, **scan)
+        events(spark, sf_dir), **scan
     ).select(topic().alias("topic"), "partition", "offset", "user_id", "event_time", "id")
 
 
@@ -83,7 +85,7 @@ def merged_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def watermark_history(**scan) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return judged(spark, sf_dir, **bounded(spark, sf_dir, **scan)).select(
+        return judged(spark, sf_dir, **scan).select(
             watermark_key().alias("wm_key"), "id", "event_time", "arrival", "watermark_before",
             F.greatest("watermark_before", "event_time").alias("watermark_after"), "late",
         )
@@ -108,7 +110,7 @@ def watermark_final(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def watermark_views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lateness.named(lateness.final_watermarks(events(spark, sf_dir)), VIEW_TOPIC)
+    return lateness.named(lateness.final_watermarks(events(spark, sf_dir).filter("is_view")), VIEW_TOPIC)
 
 
 def watermark_min(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,7 +137,7 @@ def evictable_state(window: timedelta) -> Query:
 
 def click_reach(window: timedelta, **scan) -> Query:
     return lambda spark, sf_dir: attribution.click_reach(
-        events(spark, sf_dir), window, ARRIVAL_ORDER, **bounded(spark, sf_dir, **scan)
+        events(spark, sf_dir), window, ARRIVAL_ORDER, **scan
     )
 
 
@@ -164,9 +166,8 @@ def upsert_current(spark: SparkSession, sf_dir: str) -> DataFrame:
 def replay_from_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the accepted-event log, then rebuild the result from the log alone."""
     log = work_folder(spark, "accepted-log")
-    options = bounded(spark, sf_dir)
-    changelog.write_log(accepted(spark, sf_dir, **options), log)
-    return attribution.attribute(changelog.read_log(spark, log), MIN_30, ARRIVAL_ORDER, **options)
+    changelog.write_log(accepted(spark, sf_dir), log)
+    return attribution.attribute(changelog.read_log(spark, log), MIN_30, ARRIVAL_ORDER)
 
 
 def output_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,7 +184,7 @@ def attribution_by_campaign(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def audit_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return activity.audit_events(resolved(spark, sf_dir, HOURS_24, **bounded(spark, sf_dir)))
+    return activity.audit_events(resolved(spark, sf_dir, HOURS_24))
 
 
 def event_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,10 +197,14 @@ def recent_events_top500(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def user_timeline(**scan) -> Query:
     return lambda spark, sf_dir: activity.user_timeline(
-        resolved(spark, sf_dir, HOURS_24, **bounded(spark, sf_dir, **scan))
+        resolved(spark, sf_dir, HOURS_24, **scan)
     )
 
 
+def user_timeline_one_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return activity.user_timeline(resolved(spark, sf_dir, HOURS_24), user_id="7")
+
+
 def timeline_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return activity.timeline_ranges(judged(spark, sf_dir))
 
@@ -214,7 +219,7 @@ def distinct_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dedup_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deliver every view twice and drop the repeats by source coordinates."""
-    rows = with_offsets(events(spark, sf_dir), **bounded(spark, sf_dir))
+    rows = with_offsets(events(spark, sf_dir))
     delivered = rows.withColumn(
         "copy", F.explode(F.when(F.col("is_view"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
     ).drop("copy")
@@ -257,6 +262,7 @@ QUERIES: dict[str, Query] = {
     "attributed_6h": attributed(HOURS_6),
     "attributed_24h": attributed(HOURS_24),
     "attributed_24h_small_blocks": attributed(HOURS_24, **SMALL_BLOCKS),
+    "attributed_ties": attributed_ties(HOURS_24),
     "attributed_strict_30m": attributed_strict(MIN_30),
     "attributed_strict_6h": attributed_strict(HOURS_6),
     "attributed_strict_24h": attributed_strict(HOURS_24),
@@ -291,6 +297,7 @@ QUERIES: dict[str, Query] = {
     "recent_events_top500": recent_events_top500,
     "user_timeline": user_timeline(),
     "user_timeline_small_blocks": user_timeline(**SMALL_BLOCKS),
+    "user_timeline_one_user": user_timeline_one_user,
     "timeline_range": timeline_range,
     "attribution_links": attribution_links,
     "distinct_users": distinct_users,

@@ -44,7 +44,7 @@ def _joined(source: str, window: str, name: str = "hit", condition: str = "true"
   FROM (SELECT * FROM {source} WHERE is_view) v
   LEFT JOIN (SELECT * FROM {source} WHERE NOT is_view AND {condition}) c
     ON c.user_id = v.user_id AND c.event_time BETWEEN v.event_time - INTERVAL {window} AND v.event_time
-  QUALIFY row_number() OVER (PARTITION BY v.seq ORDER BY c.event_time DESC, c.seq DESC) = 1
+  QUALIFY row_number() OVER (PARTITION BY v.seq ORDER BY c.event_time DESC, c.arrival DESC, c.seq DESC) = 1
 )"""
 
 
@@ -131,6 +131,9 @@ ORACLE: dict[str, str] = {
     "attributed_6h": _attributed("6 HOUR"),
     "attributed_24h": _attributed("24 HOUR"),
     "attributed_24h_small_blocks": _attributed("24 HOUR"),
+    "attributed_ties": f"""WITH {EVENTS.replace("ev AS", "exact AS")},
+        ev AS (SELECT * REPLACE (date_trunc('hour', event_time) AS event_time) FROM exact),
+        {_joined('ev', '24 HOUR')} SELECT {RESULT} FROM hit""",
     "attributed_strict_30m": _strict("30 MINUTE"),
     "attributed_strict_6h": _strict("6 HOUR"),
     "attributed_strict_24h": _strict("24 HOUR"),
@@ -183,6 +186,7 @@ ORACLE: dict[str, str] = {
     "stream_update_30m": _strict("30 MINUTE"),
     "stream_update_24h": _strict("24 HOUR"),
     "stream_emit_once_24h": _strict("24 HOUR"),
+    "stream_emit_once_resumed": _strict("24 HOUR"),
     "output_table": _strict("6 HOUR"),
     "attribution_summary": _strict(
         "24 HOUR", "count(*) AS n_views, count(click_id) AS n_attributed, count(*) - count(click_id) AS n_unattributed"),
@@ -193,6 +197,8 @@ ORACLE: dict[str, str] = {
     "recent_events_top500": AUDIT + """ SELECT * FROM feed WHERE type <> 'WATERMARK'
         ORDER BY processed_at DESC, seq DESC, type LIMIT 500""",
     "user_timeline": TIMELINE,
+    "user_timeline_one_user": f"SELECT * FROM ({TIMELINE}) WHERE user_id = '7'",
+    "stream_jsonl_24h": _strict("24 HOUR"),
     "user_timeline_small_blocks": TIMELINE,
     "timeline_range": f"""WITH {JUDGED},
         moves AS (SELECT min(epoch_us(event_time) // 1000) AS first, max(epoch_us(event_time) // 1000) AS last FROM acc WHERE advances),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweave.functions.columns import topic
-from clickweave.plans.batch import HOURS_24, MIN_30, RUN_ENDS, Query, bounded
+from clickweave.plans.batch import HOURS_24, MIN_30, RUN_ENDS, Query
 from clickweave.schemas import RECORD
 from clickweave.session import work_folder
 from clickweave.sources import records
@@ -19,7 +19,7 @@ from clickweave.streaming import journal
 
 def deliveries(spark: SparkSession, sf_dir: str, root: str) -> Iterator[str]:
     """Append the records of each delivery period to a landing folder, one period per step."""
-    numbered = with_offsets(events(spark, sf_dir), **bounded(spark, sf_dir)).select(
+    numbered = with_offsets(events(spark, sf_dir)).select(
         topic().alias("topic"), "partition", "offset", records.encode().alias("value"),
         sum((F.col("arrival") >= F.lit(end)).cast("int") for end in RUN_ENDS).alias("period"),
     )
@@ -30,17 +30,22 @@ def deliveries(spark: SparkSession, sf_dir: str, root: str) -> Iterator[str]:
         yield f"{root}/landing"
 
 
-def journaled(emit: str, window: timedelta) -> Query:
-    """Run the stream one delivery at a time, stopping and restarting in between, and read the result."""
+def journaled(emit: str, window: timedelta, sink: str = "table", finish_early: bool = False) -> Query:
+    """Run the stream one delivery at a time, stopping and restarting in between, and read the result.
+
+    With `finish_early` every delivery is finished as if it were the last.
+    """
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         root = work_folder(spark, f"stream-{emit}")
-        work = journal.Attribution(f"{root}/tables", window, emit=emit)
+        work = journal.Attribution(f"{root}/tables", window, emit=emit, sink=sink)
         last = None
         for landing in deliveries(spark, sf_dir, root):
             run = journal.start(
                 records.read_records(spark, path=landing), work, f"{root}/checkpoint", available_now=True)
             run.awaitTermination()
             last = run.lastProgress["batchId"]
+            if finish_early:
+                work.finish(spark, last)
         if emit == "once":
             work.finish(spark, last)
         return work.current(spark).withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
@@ -51,4 +56,6 @@ STREAMS: dict[str, Query] = {
     "stream_update_30m": journaled("update", MIN_30),
     "stream_update_24h": journaled("update", HOURS_24),
     "stream_emit_once_24h": journaled("once", HOURS_24),
+    "stream_emit_once_resumed": journaled("once", HOURS_24, finish_early=True),
+    "stream_jsonl_24h": journaled("update", HOURS_24, sink="jsonl"),
 }

@@ -6,7 +6,7 @@ clicks and views together:
     is_view, partition, user_id, event_time, id, label, <arrival order columns>
 
 `id` is the click or view id, `label` the campaign or url. The arrival order columns order the rows of
-one source partition: `offset` where a log supplies it, or any other unique ascending columns.
+a topic: `offset` and then `partition` where a log supplies them, or any other unique ascending columns.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 CLICK_TOPIC = "ad_clicks"
 VIEW_TOPIC = "page_views"
 
-OFFSET_ORDER = ("offset",)
+OFFSET_ORDER = ("offset", "partition")
 
 CLICK_PAYLOAD = T.StructType([
     T.StructField("user_id", T.StringType()),

@@ -29,11 +29,6 @@ def _arrival() -> Column:
     return F.col("ts") + F.make_dt_interval(secs=delay)
 
 
-def row_bound(spark: SparkSession, sf_dir: str) -> int:
-    """Rows in the table, read from the file footers."""
-    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet").count()
-
-
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clicks and views as event rows, in one pushed-down scan."""
     is_view = F.col("event_type") == "view"

@@ -47,7 +47,7 @@ STATE = T.StructType([
     *(T.StructField(name, T.LongType()) for name in ("journal_batch", "n_events", "last_click", "last_view")),
 ])
 
-FINAL_BATCH = (1 << 31) - 1
+COORDINATES = ("is_view", "partition", "offset")
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -133,15 +133,23 @@ class Attribution:
             raise ValueError(f"{self.root} lacks the batch before {batch_id}; it does not belong to this checkpoint")
         self._write_journal(batch, batch_id, before)
         after = self._next_state(spark, batch_id, before)
-        resolved = self._resolve(spark, before, [*before.batches, *(b for b in after.batches if b.batch == batch_id)])
+        touched = self.journal(spark, [batch_id]).select("user_id").distinct() if self.emit == "update" else None
+        resolved = self._resolve(
+            spark, before, [*before.batches, *(b for b in after.batches if b.batch == batch_id)], touched)
         self._write_results(resolved.filter(self._due(batch_id, before, after)), batch_id)
         self._write_state(spark, self._trimmed(after), batch_id)
 
     def finish(self, spark: SparkSession, batch_id: int) -> None:
-        """After the last batch of a finite input: write the views `once` still holds back."""
+        """After the last batch of a finite input: write the views `once` still holds back.
+
+        They go to a folder of their own, `tail`, which counts as long as no later batch has finished. If the
+        stream goes on after all, later batches write these views when they are due, once.
+        """
         state = self.state(spark, batch_id)
+        if state is None:
+            raise ValueError(f"{self.root} has no finished batch {batch_id}")
         resolved = self._resolve(spark, state, state.batches)
-        self._write_results(resolved.filter(self._open(state)), FINAL_BATCH)
+        self._write_results(resolved.filter(self._open(state)), batch_id, "tail")
 
     def _checked(self, state: State | None, run: str) -> State | None:
         if state is not None and state.run != run:
@@ -154,14 +162,17 @@ class Attribution:
         spark = batch.sparkSession
         decoded = records.decode(batch).persist()
         try:
-            size, refused = decoded.agg(F.count(F.lit(1)), F.count("reason")).first()
+            refused = decoded.agg(F.count("reason")).first()[0]
             if refused:
                 self._write(records.quarantined(decoded), f"quarantine/batch_id={batch_id}")
             events = tables.deduplicated(records.good(decoded))
+            if before.batches:  # and without what an earlier batch brought
+                known = self.journal(spark, [batch.batch for batch in before.batches]).select(*COORDINATES)
+                events = events.join(known, list(COORDINATES), "left_anti")
             rows = [(is_view, partition, at) for (is_view, partition), at in before.watermarks.items()]
             carried = _table(spark, rows, WATERMARKS).select(
                 *lateness.SOURCE, F.timestamp_micros("micros").alias("watermark"))
-            judged = lateness.judge(events, self.lateness, OFFSET_ORDER, carried, at_most=size, **self.scan)
+            judged = lateness.judge(events, self.lateness, OFFSET_ORDER, carried, **self.scan)
             self._write(judged, f"journal/batch_id={batch_id}", "late", "is_view")
         finally:
             decoded.unpersist()
@@ -197,8 +208,10 @@ class Attribution:
             if needed(batch.last_click, clicks_from) or needed(batch.last_view, views_from)
         ])
 
-    def _resolve(self, spark: SparkSession, before: State, batches: list[JournalBatch]) -> DataFrame:
-        """Views of these journal batches with the click they are credited to.
+    def _resolve(
+        self, spark: SparkSession, before: State, batches: list[JournalBatch], users: DataFrame | None = None,
+    ) -> DataFrame:
+        """Views of these journal batches, or of some users in them, with the click they are credited to.
 
         From batches `before` knows, only events that can still matter are read.
         """
@@ -209,9 +222,10 @@ class Attribution:
             if since is not None:
                 gone = past & (F.col("is_view") == is_view) & (F.col("event_time") < F.timestamp_micros(F.lit(since)))
                 accepted = accepted.filter(~gone)
+        if users is not None:
+            accepted = accepted.join(users, "user_id", "left_semi")
         return attribution.resolve_views(
-            accepted, self.window, OFFSET_ORDER, keep=("batch_id",),
-            at_most=sum(batch.n_events for batch in batches), **self.scan,
+            accepted, self.window, OFFSET_ORDER, keep=("batch_id",), **self.scan,
         )
 
     def _due(self, batch_id: int, before: State, after: State) -> Column:
@@ -238,35 +252,43 @@ class Attribution:
 
     def revisions(self, spark: SparkSession) -> DataFrame:
         """Every result row written, with its batch."""
-        reader = spark.read.schema(REVISIONS)
-        return reader.json(f"{self.root}/revisions") if self.sink == "jsonl" else reader.parquet(f"{self.root}/revisions")
+        return self._results(spark, "revisions")
+
+    def _results(self, spark: SparkSession, folder: str) -> DataFrame:
+        if self.sink != "jsonl":
+            return spark.read.schema(REVISIONS).parquet(f"{self.root}/{folder}")
+        lines = spark.read.schema("value string, batch_id bigint").text(f"{self.root}/{folder}")
+        return tables.from_json_lines(lines, "value").select(*ATTRIBUTED.names, "batch_id")
 
     def current(self, spark: SparkSession) -> DataFrame:
-        """The result table: the last write of every view."""
-        return tables.current(self.revisions(spark), ["batch_id"])
+        """The result table: the last write of every view, with the tail of the last batch if it has one."""
+        written = self.revisions(spark)
+        last = spark.read.schema("batch_id bigint").parquet(f"{self.root}/state").agg(F.max("batch_id")).first()[0]
+        if last is not None and self._exists(spark, f"tail/batch_id={last}/_SUCCESS"):
+            written = written.unionByName(self._results(spark, "tail").filter(F.col("batch_id") == last))
+        return tables.current(written, ["batch_id"])
 
     def audit(self, spark: SparkSession) -> DataFrame:
         """Everything that happened, in the audit feed's columns; batches stand in for processing time."""
         return activity.audit_log(self.journal(spark), self.revisions(spark))
 
-    def _write_results(self, due: DataFrame, batch_id: int) -> None:
+    def _write_results(self, due: DataFrame, batch_id: int, folder: str = "revisions") -> None:
         # An id sent twice in one batch with different content keeps its latest coordinates.
         latest = tables.current(
             due.select(*attribution.result_columns(), "partition", "offset"), ["offset", "partition"])
         if callable(self.sink):
             self.sink(latest, batch_id)
         elif self.sink == "jsonl":
-            latest.write.mode("overwrite").option("ignoreNullFields", "false").json(
-                f"{self.root}/revisions/batch_id={batch_id}")
+            tables.json_lines(latest).select("line").write.mode("overwrite").text(
+                f"{self.root}/{folder}/batch_id={batch_id}")
         else:
-            self._write(latest, f"revisions/batch_id={batch_id}")
+            self._write(latest, f"{folder}/batch_id={batch_id}")
 
     def state(self, spark: SparkSession, batch_id: int) -> State | None:
         """What a finished batch left behind; None if it did not finish."""
         path = f"{self.root}/state/batch_id={batch_id}"
         # The state is written last, so its success marker stands for the whole batch.
-        done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-        if not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
+        if not self._exists(spark, f"state/batch_id={batch_id}/_SUCCESS"):
             return None
         rows = spark.read.schema(STATE).parquet(path).collect()
         return State(
@@ -276,6 +298,10 @@ class Attribution:
                     for row in rows if row.journal_batch is not None), key=lambda batch: batch.batch),
         )
 
+    def _exists(self, spark: SparkSession, path: str) -> bool:
+        found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{path}")
+        return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found)
+
     def _write_state(self, spark: SparkSession, state: State, batch_id: int) -> None:
         rows = [(state.run,)]
         rows += [(state.run, is_view, partition, at) for (is_view, partition), at in state.watermarks.items()]

@@ -29,7 +29,7 @@ def credited(results):
 
 
 # The plain window, and every group cut at every row.
-PLAIN, CUT = {"at_most": 5000}, {"rows_per_cut": 1, "max_cuts": 5000}
+PLAIN, CUT = {}, {"rows_per_cut": 1, "max_cuts": 5000}
 
 
 def strict(events, scan=PLAIN):
