@@ -72,9 +72,8 @@ class Batch:
 
     def embedded(self, model: "Network", words: np.ndarray | None = None) -> np.ndarray:
         """A row per word (of all, or of `words`), then one of zeros."""
-        words = np.arange(len(self.words)) if words is None else words
-        out = np.zeros((len(words) + 1, SIZE), dtype=np.float32)
-        out[:-1] = model.p["word"][self.word[words]]
+        out = np.zeros((len(self.words if words is None else words) + 1, SIZE), dtype=np.float32)
+        out[:-1] = model.p["word"][self.word if words is None else self.word[words]]
         for k in range(len(ORDERS)):
             gram, per_word = self.grams_of(k, words)
             has = np.flatnonzero(per_word)
@@ -85,10 +84,10 @@ class Batch:
                 out[has[i:j]] += np.add.reduceat(model.p["char"][gram[begin[i] : begin[j]]], begin[i:j] - begin[i]) * damp[i:j]
         return out
 
-    def grams_of(self, k: int, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def grams_of(self, k: int, words: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
         """The n-gram buckets of the kth order, word after word, and how many each word has."""
         gram, starts = self.grams[k]
-        if len(words) == len(self.words):
+        if words is None:
             return gram, np.diff(starts)
         per_word = np.diff(starts)[words]
         shift = starts[words] - (np.cumsum(per_word) - per_word)
@@ -211,27 +210,37 @@ class Constant:
         return np.full(len(texts), self.share)
 
 
-def _log_odds(features: np.ndarray, texts: np.ndarray, toxic: np.ndarray, size: int) -> np.ndarray:
-    pairs = np.unique(texts.astype(np.int64) * size + features)
-    seen = [np.bincount(pairs[toxic[pairs // size] == k] % size, minlength=size) for k in (0, 1)]
+def _log_odds(seen: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """`seen` counts, by class and feature, the texts that hold it."""
     share = [(seen[k] + 5.0) / ((toxic == k).sum() + 5.0) for k in (0, 1)]  # five more texts: rare features say little
     return np.log(share[1] / share[0]).astype(np.float32)
 
 
+def _count(seen: np.ndarray, features: np.ndarray, texts: np.ndarray, toxic: np.ndarray) -> None:
+    pairs = np.unique(texts * seen.shape[1] + features)
+    for k in (0, 1):
+        seen[k] += np.bincount(pairs[toxic[pairs // seen.shape[1]] == k] % seen.shape[1], minlength=seen.shape[1])
+
+
 def train(texts: list[str], toxic: np.ndarray, share: float | None = None, rounds: int = 4, rate: float = 0.01, seed: int = 7) -> Network:
     """`share`: of toxic texts among all labelled ones, if the given texts don't show it."""
     model, batch, rng = Network(seed), Batch(texts), np.random.default_rng(seed)
     owner = np.repeat(batch.owner, WINDOW)
     inside = batch.windows.ravel() < len(batch.words)
     occurs = np.unique(owner[inside].astype(np.int64) * len(batch.words) + batch.windows.ravel()[inside])
-    text_of, word_of = occurs // len(batch.words), occurs % len(batch.words)
-    model.p["word"][:, 0] = np.clip(_log_odds(batch.word[word_of], text_of, toxic, WORDS), -1, 5)
-    grams, owners = [], []
-    for k in range(len(ORDERS)):
-        found, per_word = batch.grams_of(k, word_of)
-        grams.append(found)
-        owners.append(np.repeat(text_of, per_word))
-    model.p["char"][:, 1] = np.clip(_log_odds(np.concatenate(grams), np.concatenate(owners), toxic, CHARS), -0.5, 4) / 2
+    text_of, word_of = occurs // max(1, len(batch.words)), occurs % max(1, len(batch.words))
+    by_word, by_gram = np.zeros((2, WORDS), np.int64), np.zeros((2, CHARS), np.int64)
+    for start in range(0, len(texts), 100):  # some texts at a time, to bound the memory
+        some = slice(*np.searchsorted(text_of, [start, start + 100]))
+        _count(by_word, batch.word[word_of[some]], text_of[some], toxic)
+        grams, owners = [], []
+        for k in range(len(ORDERS)):
+            found, per_word = batch.grams_of(k, word_of[some])
+            grams.append(found)
+            owners.append(np.repeat(text_of[some], per_word))
+        _count(by_gram, np.concatenate(grams), np.concatenate(owners), toxic)
+    model.p["word"][:, 0] = np.clip(_log_odds(by_word, toxic), -1, 5)
+    model.p["char"][:, 1] = np.clip(_log_odds(by_gram, toxic), -0.5, 4) / 2
     first, second = ({k: np.zeros_like(v) for k, v in model.p.items()} for _ in range(2))
     step = 0
     for _ in range(rounds):
