@@ -128,6 +128,8 @@ class Shard:
         found = []
         for d in chosen:
             own = slice(self.doc_at[d], self.doc_end[d])
+            if own.start == own.stop:
+                continue
             spot = np.searchsorted(self.doc_term[own], at)
             spot = np.minimum(spot, self.doc_end[d] - self.doc_at[d] - 1)
             same = self.doc_term[own][spot] == at
