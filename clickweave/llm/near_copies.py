@@ -37,6 +37,7 @@ SIMILARITY = 0.8
 ALIKE = 0.5  # least share of equal minima for a pair to be verified
 BLOCK = 2048
 SLICE = 500  # texts handled at once
+BYTES = 1 << 19  # of word hashes in the pairs verified at once
 PROPOSALS = 4  # pairs that a text proposes in the first round; four times as many in each later one
 ROWS = 4096
 _FACTORS = np.random.default_rng(8).integers(1, 1 << 63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -93,30 +94,47 @@ def sketches(labelled: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys, minima
 
 
-def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
-    """Shared labelled shingles in the same order over all of both; 0 if surely below `least`.
+def similarities(a: np.ndarray, size_a: np.ndarray, b: np.ndarray, size_b: np.ndarray, least: float = SIMILARITY) -> np.ndarray:
+    """For each pair of texts, their labelled shingles one text after the other: the share of those that both hold in the
+    same order over all of both; 0 if surely below `least`.
 
     Labelled shingles occur once per text, so the longest common subsequence is a longest increasing run of
     places. With `least` reached, at most (1 - least) / (1 + least) of both are unmatched, which bounds the offsets.
     """
-    if min(len(a), len(b)) < least * max(len(a), len(b)):
-        return 0.0
-    _, at, bt = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    band = int((1 - least) / (1 + least) * (len(a) + len(b))) + 1
-    near = np.abs(at - bt) <= band
-    at, bt = at[near], bt[near]
-    if len(at) < least / (1 + least) * (len(a) + len(b)) - 1e-9:
-        return 0.0
-    bt = bt[np.argsort(at)]
-    if (np.diff(bt) > 0).all():
-        run = len(bt)
-    else:
+    sizes = size_a + size_b
+    owner_a, place_a = _places(size_a)
+    owner_b, place_b = _places(size_b)
+    both = np.concatenate([a ^ common.mixed(owner_a.astype(np.uint64) + np.uint64(1)), b ^ common.mixed(owner_b.astype(np.uint64) + np.uint64(1))])
+    order = np.argsort(both)
+    hits = np.flatnonzero(both[order[1:]] == both[order[:-1]])
+    in_a = np.minimum(order[hits], order[hits + 1])
+    in_b = np.maximum(order[hits], order[hits + 1]) - len(a)
+    band = ((1 - least) / (1 + least) * sizes).astype(np.int64) + 1
+    near = np.abs(place_a[in_a] - place_b[in_b]) <= band[owner_a[in_a]]
+    in_a, in_b = in_a[near], in_b[near]
+    order = np.argsort(in_a)
+    owner, place = owner_a[in_a[order]], place_b[in_b[order]]
+    run = np.bincount(owner, minlength=len(sizes))
+    able = (np.minimum(size_a, size_b) >= least * np.maximum(size_a, size_b)) & (run >= least / (1 + least) * sizes - 1e-9)
+    falls = (np.diff(owner) == 0) & (np.diff(place) < 0)
+    crossed = np.bincount(owner[1:][falls], minlength=len(sizes)) > 0
+    for pair in np.flatnonzero(able & crossed):
         tails: list[int] = []
-        for place in bt.tolist():
-            k = bisect_left(tails, place)
-            tails[k : k + 1] = [place]
-        run = len(tails)
-    return run / (len(a) + len(b) - run)
+        for spot in place[np.searchsorted(owner, pair) : np.searchsorted(owner, pair, "right")].tolist():
+            k = bisect_left(tails, spot)
+            tails[k : k + 1] = [spot]
+        run[pair] = len(tails)
+    return np.where(able, run / np.maximum(sizes - run, 1), 0.0)
+
+
+def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
+    return float(similarities(a, np.array([len(a)]), b, np.array([len(b)]), least)[0])
+
+
+def _places(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of all items of some lists, one list after the other: the list and the place in it."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    return owner, np.arange(len(owner)) - (np.cumsum(sizes) - sizes)[owner]
 
 
 def _digests(words: np.ndarray, sizes: np.ndarray) -> list[bytes]:
@@ -185,10 +203,14 @@ def _streams(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(made, "key binary, words binary")
 
 
-def _labelled(packed: bytes) -> np.ndarray:
-    low = np.frombuffer(packed, dtype=np.uint8).reshape(-1, 3)
+def _labelled(packed: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """Labelled shingles of all texts, and how many each has; repeated texts are worked out once."""
+    code, distinct = pd.factorize(packed)
+    low = np.frombuffer(b"".join(distinct), dtype=np.uint8).reshape(-1, 3)
     words = np.pad(low, ((0, 0), (0, 1))).view("<u4").ravel().astype(np.int64)
-    return shingles(words, np.array([len(words)]))[0]
+    value, n = shingles(words, np.array([len(x) // 3 for x in distinct], dtype=np.int64))
+    owner, place = _places(n[code])
+    return value[(np.cumsum(n) - n)[code][owner] + place], n[code]
 
 
 def alike(x: np.ndarray, others: np.ndarray) -> np.ndarray:
@@ -210,14 +232,11 @@ def _verified(pairs: DataFrame, streams: DataFrame) -> DataFrame:
     both = first.join(streams.select(F.col("key").alias("b"), F.col("words").alias("right")), "b").select("a", "b", "left", "right")
 
     def tested(batches):
-        last, labelled = None, None
         for batch in batches:
-            linked = []
-            for left, right in zip(batch["left"], batch["right"], strict=True):
-                if right != last:
-                    last, labelled = right, _labelled(right)
-                linked.append(similarity(_labelled(left), labelled) >= SIMILARITY)
-            yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "linked": linked})
+            # some pairs at a time; a pair of long texts is one by itself
+            slot = (batch["left"].str.len() + batch["right"].str.len()).cumsum() // BYTES
+            linked = [similarities(*_labelled(some["left"]), *_labelled(some["right"])) >= SIMILARITY for _, some in batch.groupby(slot)]
+            yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "linked": np.concatenate(linked) if linked else []})
 
     return both.mapInPandas(tested, "a binary, b binary, linked boolean")
 
