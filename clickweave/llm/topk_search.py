@@ -105,7 +105,8 @@ class Shard:
         rare, frequent = at[column < 0], column[column >= 0]
         size = self.rare_at[rare + 1] - self.rare_at[rare]
         spots = np.repeat(self.rare_at[rare] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        known = np.bincount(self.rare_doc[spots], weights=self.rare_impact[spots] * np.repeat(weights[column < 0], size), minlength=n)
+        # numpy gives integers where there are no postings, which cannot hold the -inf below
+        known = np.bincount(self.rare_doc[spots], weights=self.rare_impact[spots] * np.repeat(weights[column < 0], size), minlength=n).astype(np.float64)
         known[self.ids == query_id] = -np.inf
         weight = weights[column >= 0].astype(np.float32)
         starts = np.arange(0, n, BLOCK)

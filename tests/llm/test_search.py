@@ -55,6 +55,11 @@ def test_bm25_awkward_rows(awkward):
     check(awkward, lambda i: i % 2 == 0, F.col("doc_id") % 2 == 0, 3)
 
 
+def test_bm25_queries_without_rare_terms(spark):
+    rows = [(i, "all of these words are frequent" + " these" * (i % 5)) for i in range(30)]
+    check(spark.createDataFrame(rows, "doc_id long, text string"), lambda i: i % 10 == 0, F.col("doc_id") % 10 == 0)
+
+
 def test_bm25_empty_table(empty):
     assert topk_search.search(empty, F.lit(True)).collect() == []
 
