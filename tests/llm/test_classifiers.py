@@ -30,6 +30,35 @@ def test_languages_of_held_out_texts(larger):
     assert np.mean([r.rejected for r in rows]) < 0.01
 
 
+FOREIGN = """talvi on pitkä ja pimeä mutta kesällä aurinko paistaa yöllä ja ihmiset menevät mökille järven rannalle saunomaan
+w trzcinie chrząszcz brzmi dzisiaj jest piękna pogoda więc pójdziemy wszyscy nad jezioro żeby popływać""".split("\n")
+
+
+def strange(n=5):
+    rng = np.random.default_rng(1)
+    words = [["".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(3, 10))) for _ in range(k)] for k in rng.integers(5, 300, n)]
+    return [" ".join(x) for x in words] + FOREIGN
+
+
+def test_strange_texts_are_rejected(spark, larger):
+    # the model is fitted on the rows that it filters, as in the pipeline
+    rows = larger.select("doc_id", "text", "lang").union(spark.createDataFrame([(-1 - i, x, "en") for i, x in enumerate(strange(3))], "doc_id long, text string, lang string"))
+    model = language_id.fit(rows)
+    kept = {r.doc_id for r in language_id.kept(rows, model).select("doc_id").collect()}
+    assert not any(i < 0 for i in kept)
+    assert len(kept) > 0.98 * larger.count()
+    assert model.judge(strange(20))["rejected"].all()
+
+
+def test_outliers_form_no_cluster():
+    rng = np.random.default_rng(2)
+    rows = np.abs(rng.standard_normal((100, 12))) * ([1] * 10 + [0, 0])
+    rows[[7, 50]] = np.eye(12)[[10, 11]]
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    found = language_id._clustered(rows.astype(np.float32), 4)
+    assert len(found) == 4 and (found[:, 10:] < 0.5).all()
+
+
 def test_language_awkward_rows(awkward, empty):
     model = language_id.fit(awkward)
     rows = language_id.predict(awkward, model).collect()
