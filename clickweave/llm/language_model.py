@@ -309,11 +309,20 @@ def _scored(block: Block, keys: list, answers: pd.DataFrame, distinct: int, toke
 def _hot_contexts(rows: DataFrame) -> np.ndarray:
     """The contexts that hold a large share of a sample's tokens, and the start."""
     n = rows.count()
-    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    texts = rows.filter(draw < min(1.0, HOT_ROWS / max(1, n))).select("text").toPandas()["text"]
-    stream, _ = hashed(pa.array(texts.tolist(), pa.string()))
-    known, count = np.unique(stream, return_counts=True)
-    return np.unique(np.append(known[count >= HOT_SHARE * max(1, len(stream))], START) >> 63 - PAIR_BITS)
+    # copies of a text are drawn one by one, by their keys
+    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+
+    def counted(batches):
+        for batch in batches:
+            stream, _ = hashed(batch.column(0))
+            context, count = np.unique(stream >> 63 - PAIR_BITS, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(context, -1)), pa.array(np.append(count, len(stream)))], ["context", "n"])
+
+    found = rows.filter(draw < min(1.0, HOT_ROWS / max(1, n))).select("text").mapInArrow(counted, "context long, n long")
+    # -1 stands for all tokens, of which 1/HOT_SHARE contexts at most have that share
+    top = found.groupBy("context").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "context").limit(int(1 / HOT_SHARE) + 2).collect()
+    total = sum(r.n for r in top if r.context == -1)
+    return np.unique(np.array([START >> 63 - PAIR_BITS] + [r.context for r in top if r.context >= 0 and r.n >= HOT_SHARE * max(1, total)], dtype=np.int64))
 
 
 def score(rows: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 10, chars: int = BLOCK_CHARS) -> DataFrame:

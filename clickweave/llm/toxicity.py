@@ -5,7 +5,8 @@ words start every `STRIDE` words; every window of every text is scored, and a te
 window's, calibrated on the training texts. Labels mark texts, not windows, so training takes, round by round,
 each toxic text's strongest window and, of each other text, the strongest and another one.
 
-Fitted on at most about `SAMPLE` toxic and twice as many other labelled rows, chosen by a hash of the text. Embeddings start from the
+Fitted on at most about `SAMPLE` toxic and twice as many other labelled rows, chosen by a hash of the text; copies are
+collapsed before they are collected. Embeddings start from the
 class log-odds of their feature in that sample.
 
 Defined cases: null and empty texts are scored as one window of no words. Without labelled rows of both
@@ -294,8 +295,8 @@ def fit(rows: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         n[r.toxic] = r.n
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     limit = F.when(F.col("toxic") > 0, F.lit(min(1.0, sample / max(1, n[1])))).otherwise(F.lit(min(1.0, 2 * sample / max(1, n[0]))))
-    found = joined.filter(draw < limit).select("text", (F.col("toxic") > 0).cast("int").alias("toxic"), draw.alias("draw")).toPandas()
-    found = found.sort_values(["draw", "text", "toxic"]).drop_duplicates(["text", "toxic"])
+    found = joined.filter(draw < limit).select("text", (F.col("toxic") > 0).cast("int").alias("toxic")).dropDuplicates(["text", "toxic"])
+    found = found.withColumn("draw", draw).toPandas().sort_values(["draw", "text", "toxic"])
     found = pd.concat([found[found["toxic"] == k][: (4 - 2 * k) * sample] for k in (0, 1)])
     if found["toxic"].nunique() < 2:
         return Constant(float(found["toxic"].mean()) if len(found) else 0.0)

@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from clickweave.llm import language_model as lm
@@ -94,3 +95,13 @@ def test_empty_table(empty):
 def test_model_beats_its_base_on_held_out_texts(documents):
     rows = lm.score(documents).filter("held_out").agg({"score": "sum", "base_score": "sum"}).first()
     assert rows["sum(score)"] > rows["sum(base_score)"]
+
+
+def test_hot_contexts_are_counted_without_collecting_texts(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    monkeypatch.setattr(DataFrame, "toPandas", lambda self: pytest.fail("texts are collected"))
+    rows = spark.range(400).selectExpr("id AS doc_id", "concat('often ', repeat(concat('w', id, ' '), 3), if(id < 133, ' copied', '')) AS text")
+    hot = set(lm._hot_contexts(rows).tolist())
+    known = lambda word: int(lm.hashed(pa.array([word]))[0][0] >> 63 - lm.PAIR_BITS)
+    assert {known("often"), known("copied"), 0} <= hot and known("w7") in hot and len(hot) <= 1001
