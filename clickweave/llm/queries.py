@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweave.llm import (
-    common, language_id, language_model, near_copies, neighbours, packing, piece_sampling, secret_scan, topk_search, toxicity, url_filter,
+    common, decontamination, language_id, language_model, near_copies, neighbours, packing, piece_sampling, secret_scan, strata_search,
+    topk_search, toxicity, url_filter,
 )
 
 
@@ -62,11 +63,21 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(documents, secret_scan.fit(documents)))
 
 
+def op12_strata_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = common.table(common.importable(spark), sf_dir, "documents")
+    return strata_search.search(documents, common.table(spark, sf_dir, "benchmark")).withColumnRenamed("query_id", "item_id")
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = common.table(common.importable(spark), sf_dir, "documents")
+    return decontamination.digest(decontamination.contaminated(documents, common.table(spark, sf_dir, "benchmark")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_language_id, op2_topk_search, op3_piece_sampling, op4_language_model, op5_toxicity, op6_neighbours, op7_url_filter,
-        op8_near_copies, op9_packing, op10_secret_scan,
+        op8_near_copies, op9_packing, op10_secret_scan, op12_strata_search, op13_decontamination,
     )
 }
 
@@ -74,6 +85,8 @@ _HOST = "coalesce(translate(regexp_extract({rest}, '^[^/?#]*', 0), 'ABCDEFGHIJKL
 _REST = "CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END"
 
 ORACLE = {
+    "op12_strata_search": strata_search.ORACLE,
+    "op13_decontamination": decontamination.ORACLE,
     "op2_topk_search": r"""
 WITH words AS (
   SELECT doc_id, word FROM (SELECT doc_id, unnest(string_split_regex(lower(text), '[ \t\n\x0B\f\r]+')) AS word FROM documents) WHERE word <> ''
