@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clickweave.llm import (
     common, decontamination, language_id, language_model, near_copies, neighbours, packing, piece_sampling, secret_scan, strata_search,
-    topk_search, toxicity, url_filter,
+    token_alignment, topk_search, toxicity, url_filter,
 )
 
 
@@ -63,6 +63,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(documents, secret_scan.fit(documents)))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(common.table(common.importable(spark), sf_dir, "documents"))
+
+
 def op12_strata_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = common.table(common.importable(spark), sf_dir, "documents")
     return strata_search.search(documents, common.table(spark, sf_dir, "benchmark")).withColumnRenamed("query_id", "item_id")
@@ -77,7 +81,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_language_id, op2_topk_search, op3_piece_sampling, op4_language_model, op5_toxicity, op6_neighbours, op7_url_filter,
-        op8_near_copies, op9_packing, op10_secret_scan, op12_strata_search, op13_decontamination,
+        op8_near_copies, op9_packing, op10_secret_scan, op11_token_alignment, op12_strata_search, op13_decontamination,
     )
 }
 
