@@ -33,13 +33,17 @@ from clickweave.llm import common, words
 
 TOKENIZER_A = public_tokenizers.path("byte_bpe_50k.json")
 TOKENIZER_B = public_tokenizers.path("piece_bpe_32k.model")
-BLOCK_CHARS = 6_000_000
-#: Characters of the fragments a worker remembers at most.
-MOST_KEPT = 24_000_000
+BLOCK_CHARS = 4_000_000
+#: Fragments, and words of a text, that a worker remembers at most.
+MOST_KEPT = 800_000
 _MARKS = ".,;:!?"
 #: Without white space but for a line break in front.
-_SIMPLE = re.compile(r"\n?\S+")
+_SIMPLE = r"^\n?[^\s\x0b\x1c-\x1f\x{85}\p{Z}]+$"
+_LETTERS = r"^\n?\pL+$"
 _BEFORE_SPACES = re.compile(r"(?<=[!-~])(?= )")
+_SPACE, _EMPTY = pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string())
+#: Fragments that are tokenised as one text.
+_TOGETHER = 500
 
 
 def byte_of_character() -> dict[str, int]:
@@ -74,18 +78,42 @@ class Vocabularies:
         self.same = np.array([by_bytes.get(x, -1) for x in self.bytes_a], dtype=np.int64)
         if any("\n" in piece or "▁" in piece.lstrip("▁") for piece in pieces):
             raise ValueError("B must not merge across spaces and line breaks")
-        self.bound = {piece[i : i + 2] for piece in pieces for i in range(len(piece) - 1) if piece[i + 1] in _MARKS}
+        bound = {re.escape(piece[i : i + 2]) for piece in pieces for i in range(len(piece) - 1) if piece[i + 1] in _MARKS and piece[i].isalpha()}
+        self.bound = f"(?:{'|'.join(sorted(bound))})[{_MARKS}]*$" if bound else None
+        self.starts_a, self.starts_b = (np.array([x.startswith(b" ") for x in found]) for found in (self.bytes_a, self.bytes_b))
 
-    def encode(self, fragments: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of fragments that start as they do in a text: with a space, a line break, or marks."""
+    def _each(self, fragments: list[str]) -> tuple[list[int], list[int], list[int], list[int]]:
         a = [e.ids for e in self.a.encode_batch_fast(fragments, add_special_tokens=False)]
         # behind a line break, which is two ids with the space that B puts in front
-        b = self.b.encode(["\n" + fragment for fragment in fragments], num_threads=1)
-        return a, [ids[2:] for ids in b]
+        b = [ids[2:] for ids in self.b.encode(["\n" + fragment for fragment in fragments], num_threads=1)]
+        return [i for x in a for i in x], [len(x) for x in a], [i for x in b for i in x], [len(x) for x in b]
+
+    def _together(self, fragments: list[str]) -> tuple | None:
+        """As one text, if every fragment begins where a token begins with a space, and nowhere else."""
+        text, sizes = "".join(fragments), []
+        a, b = self.a.encode(text, add_special_tokens=False).ids, self.b.encode("\n" + text, num_threads=1)[2:]
+        for ids, starts in ((a, self.starts_a), (b, self.starts_b)):
+            at = np.flatnonzero(starts[ids])
+            if len(at) != len(fragments) or at[0]:
+                return None
+            sizes.append(np.diff(np.concatenate([at, [len(ids)]])).tolist())
+        return a, sizes[0], b, sizes[1]
+
+    def encode(self, fragments: list[str], words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of fragments by A and by B, each with how many every fragment has.
+
+        They start as they do in a text: with a space, a line break, or marks. The first `words` ones are a space and no other white space.
+        """
+        found: tuple = ([], [], [], [])
+        parts = [fragments[i : min(words, i + _TOGETHER)] for i in range(0, words, _TOGETHER)]
+        for part, make in [*((part, self._together) for part in parts), (fragments[words:], self._each)]:
+            for all_, new in zip(found, make(part) or self._each(part), strict=True):
+                all_ += new
+        return tuple(np.array(x, dtype=np.int64) for x in found)
 
 
 class Aligner:
-    """Fragments known so far, by number: their tokens, groups and links."""
+    """Fragments known so far, by number: their tokens, groups and links. A text's words are one or two fragments each."""
 
     def __init__(self, path_a: str = TOKENIZER_A, path_b: str = TOKENIZER_B):
         self.of = Vocabularies(path_a, path_b)
@@ -97,81 +125,88 @@ class Aligner:
         self.forget()
 
     def forget(self) -> None:
-        """Fragment 0 is empty."""
-        self.keys: dict[str, tuple[int, int] | None] = {}
-        self.fragments: dict[str, int] = {}
-        self.good, self.n_a, self.n_b, self.n_groups = (np.array([x]) for x in (True, 0, 0, 0))
+        """Fragment 0 is empty; words that are not cut by themselves have fragment -1."""
+        self.words = pa.array([], pa.large_string())
+        self.first, self.second = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.fragments = pa.array([""], pa.large_string())
+        self.good, self.n_a, self.n_b, self.n_groups = np.array([True]), *(np.zeros(1, np.int32) for _ in range(3))
         self.link = np.zeros(0, dtype=np.int64)  # A id * 2^32 + B id
-        self.kept = 0
-        self.texts = pa.array([""])
-        self._number([""])
-
-    def _number(self, fragments: list[str]) -> None:
-        for fragment in fragments:
-            self.fragments.setdefault(fragment, len(self.fragments))
-
-    def _learn(self, fragments: list[str]) -> None:
-        """Tokenises new fragments together and cuts them into groups."""
-        ids_a, ids_b = self.of.encode(fragments)
-        good = np.array([
-            b"".join(map(self.of.bytes_a.__getitem__, a)) == b"".join(map(self.of.bytes_b.__getitem__, b)) == text.encode("utf-8", "surrogatepass")
-            for text, a, b in zip(fragments, ids_a, ids_b, strict=True)
-        ], dtype=bool)
-        n_a, n_b = (np.array([len(x) if ok else 0 for x, ok in zip(ids, good, strict=True)], dtype=np.int64) for ids in (ids_a, ids_b))
-        a, b = (np.array([i for x, ok in zip(ids, good, strict=True) if ok for i in x], dtype=np.int64) for ids in (ids_a, ids_b))
+        self.texts = pa.array([""], pa.large_string())
+
+    def _good(self, fragments: list[str], a, n_a, b, n_b) -> np.ndarray:
+        """Whether both tokenizers reproduce a fragment."""
+        whole = "".join(fragments).encode("utf-8", "surrogatepass")
+        size = np.array([len(x.encode("utf-8", "surrogatepass")) for x in fragments], dtype=np.int64)
+        spelt = [b"".join(map(names.__getitem__, ids.tolist())) for names, ids in ((self.of.bytes_a, a), (self.of.bytes_b, b))]
+        sizes = [_sums(each[ids], n) for each, ids, n in ((self.size_a, a, n_a), (self.size_b, b, n_b))]
+        if spelt[0] == spelt[1] == whole and (sizes[0] == size).all() and (sizes[1] == size).all():
+            return np.ones(len(fragments), dtype=bool)
+        ends = [np.cumsum(x).tolist() for x in (size, *sizes)]
+        cut = lambda text, ends, i: text[ends[i - 1] if i else 0 : ends[i]]
+        return np.array([cut(whole, ends[0], i) == cut(spelt[0], ends[1], i) == cut(spelt[1], ends[2], i) for i in range(len(fragments))], dtype=bool)
+
+    def _learn(self, fragments: pa.Array) -> None:
+        """Tokenises new fragments and cuts them into groups."""
+        alone = pc.match_substring_regex(fragments, _SIMPLE.replace(r"\n?", " "))
+        fragments = pa.concat_arrays([fragments.filter(alone), fragments.filter(pc.invert(alone))])
+        plain = fragments.to_pylist()
+        a, n_a, b, n_b = self.of.encode(plain, pc.sum(alone).as_py() or 0)
+        good = self._good(plain, a, n_a, b, n_b)
+        a, b, n_a, n_b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)], n_a * good, n_b * good
         ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
         last_a, last_b = np.isin(ends_a, ends_b, assume_unique=True), np.isin(ends_b, ends_a, assume_unique=True)
         # each group's A tokens, then its B tokens
         group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
         in_a, in_b = np.bincount(group_a, minlength=last_a.sum()), np.bincount(group_b, minlength=last_a.sum())
-        place_a = np.arange(len(a)) + (np.cumsum(in_b) - in_b)[group_a]
-        place_b = np.arange(len(b)) + np.cumsum(in_a)[group_b]
         token = np.empty(len(a) + len(b), dtype=np.int64)
-        token[place_a] = a + last_a * len(self.size_a)
-        token[place_b] = b + last_b * len(self.size_b) + len(self.text_a)
+        token[np.arange(len(a)) + (np.cumsum(in_b) - in_b)[group_a]] = a + last_a * len(self.size_a)
+        token[np.arange(len(b)) + np.cumsum(in_a)[group_b]] = b + last_b * len(self.size_b) + len(self.text_a)
         texts = pa.concat_arrays([self.text_a, self.text_b]).take(pa.array(token))
-        owner = np.repeat(np.arange(len(fragments)), n_a)
-        self.texts = pa.concat_arrays([self.texts, pc.binary_join(_lists(texts, n_a + n_b), "")])
-        self.good, self.n_a, self.n_b = (np.concatenate(x) for x in ((self.good, good), (self.n_a, n_a), (self.n_b, n_b)))
-        self.n_groups = np.concatenate([self.n_groups, np.bincount(owner[last_a], minlength=len(fragments))])
+        owner = np.repeat(np.arange(len(plain)), n_a)
+        self.texts = pa.concat_arrays([self.texts, pc.binary_join(_lists(texts, n_a + n_b), "").cast(pa.large_string())])
+        new = good, n_a, n_b, np.bincount(owner[last_a], minlength=len(plain))
+        self.good, self.n_a, self.n_b, self.n_groups = (
+            np.concatenate([old, x.astype(old.dtype)]) for old, x in zip((self.good, self.n_a, self.n_b, self.n_groups), new, strict=True))
         self.link = np.concatenate([self.link, a[last_a] << 32 | b[last_b]])
-        self._number(fragments)
-
-    def _parts(self, key: str) -> tuple[str, str] | None:
-        """A key's fragments; None if what is around it matters. Keys that start with white space stand as they are, others after a space."""
-        if key.startswith(" "):
-            return key, ""
-        if not _SIMPLE.fullmatch(key):
-            return None
-        head = key.rstrip(_MARKS)
-        tail = key[len(head) :]
-        if tail and (not head.lstrip("\n").isalpha() or head[-1] + tail[0] in self.of.bound):
-            head, tail = key, ""
-        return (head if head.startswith("\n") else " " + head), tail
-
-    def _known(self, keys: list[str]) -> None:
-        parts = {key: self._parts(key) for key in keys if key not in self.keys}
-        new = dict.fromkeys(part for found in parts.values() if found for part in found if part not in self.fragments)
-        if new:
-            self._learn(list(new))
-            self.kept += sum(map(len, new))
-        for key, found in parts.items():
-            self.keys[key] = found and (self.fragments[found[0]], self.fragments[found[1]])
+        self.fragments = pa.concat_arrays([self.fragments, fragments])
+
+    def _numbers(self, fragments: pa.Array) -> np.ndarray:
+        """Numbers of fragments, new ones learnt."""
+        new = pc.unique(fragments.filter(pc.invert(pc.is_in(fragments, value_set=self.fragments))))
+        if len(new):
+            self._learn(new)
+        return pc.index_in(fragments, value_set=self.fragments).to_numpy(zero_copy_only=False).astype(np.int32)
+
+    def _add(self, words: pa.Array) -> None:
+        """New words: letters and the marks behind them are fragments of their own unless a piece of B holds both."""
+        simple = pc.match_substring_regex(words, _SIMPLE)
+        head = pc.utf8_rtrim(words, _MARKS)
+        cut = pc.match_substring_regex(head, _LETTERS)
+        if self.of.bound:
+            cut = pc.and_(cut, pc.invert(pc.match_substring_regex(words, self.of.bound)))
+        tail = pc.if_else(cut, pc.replace_substring_regex(words, f"(?s)^.*[^{_MARKS}]", ""), _EMPTY)
+        head = pc.if_else(cut, head, words)
+        # words stand behind a space, unless they begin with a line break
+        head = pc.if_else(pc.starts_with(head, "\n"), head, pc.binary_join_element_wise(_SPACE, head, _EMPTY))
+        numbers = self._numbers(pa.concat_arrays([pc.if_else(simple, head, _EMPTY), pc.if_else(simple, tail, _EMPTY)]))
+        first = np.where(simple.to_numpy(zero_copy_only=False), numbers[: len(words)], -1)
+        self.words = pa.concat_arrays([self.words, words])
+        self.first, self.second = np.concatenate([self.first, first.astype(np.int32)]), np.concatenate([self.second, numbers[len(words) :]])
 
     def cut(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the fragments of all texts, text after text, and how many each text has."""
-        if self.kept > MOST_KEPT:
+        if max(len(self.words), len(self.fragments)) > MOST_KEPT:
             self.forget()
         split = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " \n"), " ")
         coded = split.flatten().dictionary_encode()
-        keys = coded.dictionary.to_pylist()
-        self._known(keys)
-        pairs = np.array([self.keys[key] or (-1, -1) for key in keys], dtype=np.int64).reshape(-1, 2)
-        parts = pairs[coded.indices.to_numpy()]
-        counts = pc.list_value_length(split).to_numpy().astype(np.int64)
-        ends = np.cumsum(counts)
-        odd = np.unique(np.searchsorted(ends, np.flatnonzero(parts[:, 0] < 0), side="right"))
-        found, counts = parts.ravel(), 2 * counts
+        known = pc.index_in(coded.dictionary, value_set=self.words)
+        if known.null_count:
+            self._add(coded.dictionary.filter(pc.is_null(known)))
+            known = pc.index_in(coded.dictionary, value_set=self.words)
+        words = known.to_numpy()[coded.indices.to_numpy()]
+        found = np.stack([self.first[words], self.second[words]], axis=1).ravel()
+        counts = 2 * pc.list_value_length(split).to_numpy().astype(np.int64)
+        odd = np.unique(np.searchsorted(np.cumsum(counts), np.flatnonzero(found < 0), side="right"))
         if len(odd):
             found, counts = self._with_runs_of_white_space(texts, odd, found, counts)
         return found, counts
@@ -180,14 +215,14 @@ class Aligner:
         """Texts with longer runs of white space are cut before spaces that follow a visible character only."""
         rows = np.split(found, np.cumsum(counts)[:-1])
         own = [_BEFORE_SPACES.split(" " + texts[i]) for i in odd]
-        self._known(list(dict.fromkeys(key for keys in own for key in keys)))
-        for i, keys in zip(odd, own, strict=True):
-            rows[i] = np.array([self.keys[key][0] for key in keys], dtype=np.int64)
+        numbers = self._numbers(pa.array([fragment for fragments in own for fragment in fragments], pa.large_string()))
+        for i, row in zip(odd, np.split(numbers, np.cumsum([len(x) for x in own])[:-1]), strict=True):
+            rows[i] = row
         return np.concatenate(rows), np.array([len(row) for row in rows], dtype=np.int64)
 
     def links(self, fragments: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Links of these fragments, one after the other, and how many each has."""
-        first, size = (np.cumsum(self.n_groups) - self.n_groups)[fragments], self.n_groups[fragments]
+        first, size = (np.cumsum(self.n_groups, dtype=np.int64) - self.n_groups)[fragments], self.n_groups[fragments].astype(np.int64)
         return self.link[np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())], size
 
 
@@ -197,7 +232,7 @@ def _lists(flat: pa.Array, sizes: np.ndarray) -> pa.Array:
 
 def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Sum of each text's values."""
-    total = np.concatenate([[0], np.cumsum(values)])
+    total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
     ends = np.cumsum(sizes)
     return total[ends] - total[ends - sizes]
 
@@ -237,7 +272,7 @@ def blocks(documents: DataFrame, path_a: str = TOKENIZER_A, path_b: str = TOKENI
                 kept = np.repeat(good, counts)
                 counts = np.where(good, counts, 0)
                 found = found[kept]
-                spelt = pc.binary_join(_lists(aligner.texts.take(pa.array(found)), counts), "").to_pylist()
+                spelt = pc.binary_join(_lists(aligner.texts.take(pa.array(found)), counts), _EMPTY).to_pylist()
                 hashed = [hashlib.sha256(x[:-1].encode()).hexdigest() if x else "" for x in spelt]
                 distinct, codes = np.unique(found, return_inverse=True)
                 links, n_links = aligner.links(distinct)
