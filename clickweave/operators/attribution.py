@@ -30,6 +30,20 @@ def within(click: str, window: timedelta) -> Column:
     return F.when(F.col(click)["event_time"] >= F.col("event_time") - F.lit(window), F.col(click))
 
 
+def arrived_in(run: Column) -> Column:
+    """The time of a click that meets `run`, null on other rows; to be folded to its maximum."""
+    return F.when(~F.col("is_view") & run, F.col("event_time"))
+
+
+def touched(latest: str, window: timedelta) -> Column:
+    """Whether a look-back window holds any of the clicks whose latest time before the row is `latest`.
+
+    Of all clicks up to a view the latest one is the likeliest to lie in the window, so a fold over an unbounded range
+    answers for the bounded one, also where a group is cut into blocks.
+    """
+    return F.coalesce(F.col(latest) >= F.col("event_time") - F.lit(window), F.lit(False))
+
+
 def resolve(
     events: DataFrame,
     window: timedelta = WINDOW,
@@ -111,21 +125,27 @@ def revisions(
 ) -> DataFrame:
     """The rows an incremental run writes when it stops at each of `boundaries` and at the end.
 
-    A view is written by the run it arrives in, and again by later runs whose clicks change it (or, with
-    `only_changes=False`, by every later run). All runs are read off one pass over the data.
+    A view is written by the run it arrives in, and again by every later run in which a click arrived whose window holds
+    it: whatever that click changes, or with `only_changes` only if it changed the result. All runs are read off one pass
+    over the data, through which a row travels with the number of its run.
     """
-    runs = [F.col(arrival) < F.lit(end) for end in boundaries] + [F.lit(True)]
+    run_of = sum((F.col(arrival) >= F.lit(end)).cast("int") for end in boundaries) if boundaries else F.lit(0)
     by_time = ("event_time", "is_view", *order)
-    folds = {f"click_{run}": Fold("last", click_value(seen)) for run, seen in enumerate(runs)}
-    found = running(events, ["user_id"], by_time, folds, **scan).filter("is_view")
-    found = found.withColumns({name: within(name, window) for name in folds})
+    runs = range(len(boundaries) + 1)
+    folds = {f"click_{run}": Fold("last", click_value(F.col("_run") <= run)) for run in runs}
+    if not only_changes:
+        folds |= {f"touched_{run}": Fold("max", arrived_in(F.col("_run") == run)) for run in runs}
+    found = running(events.withColumn("_run", run_of), ["user_id"], by_time, folds, **scan).filter("is_view")
+    found = found.withColumns({f"click_{run}": within(f"click_{run}", window) for run in runs})
 
     written = []
-    for run, seen in enumerate(runs):
-        writes = seen
-        if run:
-            changed = F.lit(not only_changes) | ~F.col(f"click_{run}").eqNullSafe(F.col(f"click_{run - 1}"))
-            writes = seen & (~runs[run - 1] | changed)
+    for run in runs:
+        again = F.lit(False)
+        if run and only_changes:
+            again = ~F.col(f"click_{run}").eqNullSafe(F.col(f"click_{run - 1}"))
+        elif run:
+            again = touched(f"touched_{run}", window)
+        writes = (F.col("_run") == run) | ((F.col("_run") < run) & again)
         written.append(F.when(writes, F.struct(F.lit(run).alias("revision"), F.col(f"click_{run}").alias("click"))))
     return (
         found.withColumn("_write", F.explode(F.filter(F.array(*written), lambda w: w.isNotNull())))

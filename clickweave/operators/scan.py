@@ -39,18 +39,20 @@ MAX_CUTS = (1 << 17) - 1
 class Fold:
     """`kind` is last (latest non-null), max or sum; `before` leaves the current row out.
 
-    A value given by column name is used in place, which spares the shuffle a second copy of it.
+    A value is computed where it is needed, after the shuffle, so it takes no room in it. One given by column name is that
+    column, which then also brings the carries.
     """
 
     kind: str
     value: Column | str
     before: bool = False
 
-    def whole(self, name: str, position: Column) -> Column:
+    def whole(self, position: Column) -> Column:
         """The fold over all rows of a block."""
+        value = F.col(self.value) if isinstance(self.value, str) else self.value
         if self.kind == "last":
-            return F.max_by(name, F.when(F.col(name).isNotNull(), position))
-        return {"max": F.max, "sum": F.sum}[self.kind](name)
+            return F.max_by(value, F.when(value.isNotNull(), position))
+        return {"max": F.max, "sum": F.sum}[self.kind](value)
 
     def along(self, value: Column | str) -> Column:
         """The fold as a window function."""
@@ -113,27 +115,28 @@ def running(
     the same rows (say, the same data before a filter) to take cut points from.
     """
     keys, order = list(keys), list(order)
-    computed = {f"_in_{name}": fold.value for name, fold in folds.items() if not isinstance(fold.value, str)}
-    inputs = {name: fold.value if isinstance(fold.value, str) else f"_in_{name}" for name, fold in folds.items()}
-    valued = rows.withColumns(computed) if computed else rows
+    carried = {name: fold.value if isinstance(fold.value, str) else f"_carry_{name}" for name, fold in folds.items()}
     source = rows if cuts_from is None else cuts_from
     cuts = F.broadcast(cut_points(source, keys, order, rows_per_cut, max_cuts))
-    placed = _in_blocks(valued.join(cuts, keys, "left"), order, max_cuts)
+    placed = _in_blocks(rows.join(cuts, keys, "left"), order, max_cuts)
 
     earlier_blocks = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     carries = (
         placed.filter("_is_cut")
         .groupBy(*keys, "_block")
-        .agg(*(fold.whole(inputs[name], F.struct(*order)).alias(inputs[name]) for name, fold in folds.items()))
-        .withColumns({inputs[name]: fold.along(inputs[name]).over(earlier_blocks) for name, fold in folds.items()})
+        .agg(*(fold.whole(F.struct(*order)).alias(carried[name]) for name, fold in folds.items()))
+        .withColumns({carried[name]: fold.along(carried[name]).over(earlier_blocks) for name, fold in folds.items()})
     )
+    is_row = F.col("_is_cut").isNotNull()
+    inputs = {
+        name: fold.value if isinstance(fold.value, str) else F.when(is_row, fold.value).otherwise(F.col(carried[name]))
+        for name, fold in folds.items()
+    }
     return (
         placed.unionByName(carries, allowMissingColumns=True)
-        .withColumns(_along(
-            folds, inputs, [*keys, "_block"], [F.col("_is_cut").isNotNull(), *order],
-        ))
-        .filter(F.col("_is_cut").isNotNull())
-        .drop("_is_cut", "_block", *computed)
+        .withColumns(_along(folds, inputs, [*keys, "_block"], [is_row, *order]))
+        .filter(is_row)
+        .drop("_is_cut", "_block", *(set(carried.values()) - set(rows.columns)))
     )
 
 

@@ -14,7 +14,7 @@ from clickweave.operators import activity, attribution, lateness, tables
 from clickweave.schemas import VIEW_TOPIC
 from clickweave.session import work_folder
 from clickweave.sources import changelog, records
-from clickweave.sources.tables import ARRIVAL_ORDER, events, with_offsets
+from clickweave.sources.tables import ARRIVAL_FACTOR, ARRIVAL_ORDER, ARRIVAL_SPREAD_S, events, with_offsets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -150,11 +150,20 @@ def latest_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def revision_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every run writes all views known to it, changed or not."""
+    """A view is written on arrival, and again by each run with a click whose window holds it, changed or not."""
     operator = partial(attribution.revisions, boundaries=RUN_ENDS, only_changes=False)
     return strict(operator, HOURS_24)(spark, sf_dir)
 
 
+def rewrite_log(**scan) -> Query:
+    """Arrival spread over ten days, so that clicks of later runs reach many views that are written already."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spread = F.make_dt_interval(secs=(F.col("seq") * ARRIVAL_FACTOR) % ARRIVAL_SPREAD_S * 240)
+        slow = events(spark, sf_dir).withColumn("arrival", F.col("event_time") + spread)
+        return attribution.revisions(slow, HOURS_24, ARRIVAL_ORDER, boundaries=RUN_ENDS, only_changes=False, **scan)
+    return query
+
+
 def emission_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.json_lines(revision_log(spark, sf_dir)).select("revision", "line")
 
@@ -287,6 +296,8 @@ QUERIES: dict[str, Query] = {
     "reattribution_24h": reattribution(HOURS_24),
     "latest_clicks": latest_clicks,
     "emission_log": emission_log,
+    "rewrite_log": rewrite_log(),
+    "rewrite_log_small_blocks": rewrite_log(**SMALL_BLOCKS),
     "upsert_current": upsert_current,
     "replay_from_log": replay_from_log,
     "output_table": output_table,

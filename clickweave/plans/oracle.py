@@ -72,15 +72,19 @@ LEFT JOIN (SELECT * FROM ev WHERE is_view) v ON v.user_id = c.user_id
 GROUP BY c.user_id, c.id, c.event_time"""
 
 
-def _revisions() -> str:
+def _revisions(judged: str = JUDGED) -> str:
     ends = ["TIMESTAMP '2024-01-08'", "TIMESTAMP '2024-01-15'", "TIMESTAMP '2024-01-22'", "TIMESTAMP '9999-01-01'"]
-    parts = [JUDGED]
+    parts = [judged]
     selects = []
     for run, end in enumerate(ends):
         parts.append(_joined("acc", "24 HOUR", f"hit{run}", f"arrival < {end}"))
         columns = "h.id AS page_view_id, h.user_id, h.event_time, h.label AS url, " \
                   "h.campaign_id AS attributed_campaign_id, h.click_id AS attributed_click_id"
-        selects.append(f"SELECT {run} AS revision, {columns} FROM hit{run} h WHERE h.arrival < {end}")
+        begin = ends[run - 1] if run else "TIMESTAMP '0001-01-01'"
+        selects.append(f"""SELECT {run} AS revision, {columns} FROM hit{run} h
+          WHERE h.arrival < {end} AND (h.arrival >= {begin} OR EXISTS (
+            SELECT 1 FROM acc c WHERE NOT c.is_view AND c.user_id = h.user_id AND c.arrival >= {begin} AND c.arrival < {end}
+              AND c.event_time BETWEEN h.event_time - INTERVAL 24 HOUR AND h.event_time))""")
     parts.append(" log AS (" + " UNION ALL ".join(selects) + ")")
     return "WITH " + ",".join(parts)
 
@@ -126,7 +130,13 @@ OFFSETS = f"""
 WITH {NUMBERED}
 SELECT topic, part AS "partition", "offset", user_id, event_time, id FROM numbered"""
 
+REWRITES = _revisions(EVENTS.replace("ev AS", "timely AS") + """,
+acc AS (SELECT * REPLACE (event_time + to_seconds((seq * 7919) % 3600 * 240) AS arrival) FROM timely)""") + """
+SELECT * FROM log"""
+
 ORACLE: dict[str, str] = {
+    "rewrite_log": REWRITES,
+    "rewrite_log_small_blocks": REWRITES,
     "attributed_30m": _attributed("30 MINUTE"),
     "attributed_6h": _attributed("6 HOUR"),
     "attributed_24h": _attributed("24 HOUR"),

@@ -63,8 +63,11 @@ ATTRIBUTED = T.StructType([
 
 
 def as_events(clicks: DataFrame, views: DataFrame) -> DataFrame:
-    """Merge separate click and view tables into event rows; further columns (arrival order) are kept."""
-    return (
+    """Merge separate click and view tables into event rows; further columns (arrival order) are kept.
+
+    Tables without `partition` come from one source partition.
+    """
+    merged = (
         clicks.withColumnsRenamed({"click_id": "id", "campaign_id": "label"})
         .withColumn("is_view", F.lit(False))
         .unionByName(
@@ -72,3 +75,4 @@ def as_events(clicks: DataFrame, views: DataFrame) -> DataFrame:
             allowMissingColumns=True,
         )
     )
+    return merged if "partition" in merged.columns else merged.withColumn("partition", F.lit(0))

@@ -226,13 +226,35 @@ def test_revisions_and_current(spark):
     assert sorted((row.revision, row.page_view_id, row.attributed_click_id) for row in log.collect()) == [
         (0, "v", "c1"), (1, "v", "c2"), (1, "w", "c2")]
     everything = attribution.revisions(events, boundaries=ends, only_changes=False)
-    assert everything.count() == 5
+    assert sorted((row.revision, row.page_view_id, row.attributed_click_id) for row in everything.collect()) == [
+        (0, "v", "c1"), (1, "v", "c2"), (1, "w", "c2")]
     assert credited(tables.current(log, ["revision"])) == {"v": "c2", "w": "c2"}
     line = tables.json_lines(log.filter("revision = 0")).first().line
     assert line == ('{"page_view_id":"v","user_id":"u","event_time":"2024-01-01T12:10:00.000000",'
                     '"url":"https://example.com/v","attributed_campaign_id":"campaign_c1","attributed_click_id":"c1"}')
 
 
+@pytest.mark.parametrize("scan", [PLAIN, CUT], ids=["plain", "cut"])
+def test_runs_rewrite_the_views_their_clicks_reach(spark, scan):
+    """Also where nothing changes: an older click, one at either end of the window, several in one run."""
+    rows = [
+        (view(0, "u", "12:30:00", "v"), 0), (click(0, "u", "12:20:00", "best"), 0), (view(1, "w", "12:30:00", "other"), 0),
+        (click(1, "u", "12:10:00", "older"), 1), (click(2, "u", "12:00:00", "edge"), 2), (click(3, "u", "11:59:59", "before"), 3),
+        (click(4, "u", "12:30:01", "after"), 4), (click(5, "u", "12:30:00", "same"), 5), (click(6, "u", "12:05:00", "more"), 5),
+    ]
+    run_of = {row[4]: run for row, run in rows}
+    events = frame(spark, *(row for row, _ in rows))
+    minute = F.coalesce(*(F.when(F.col("id") == id, run) for id, run in run_of.items()))
+    events = events.withColumn("arrival", F.lit(at("12:00:00")) + F.make_dt_interval(mins=minute))
+    ends = [at(f"12:0{run}:00") for run in range(1, 6)]
+    log = attribution.revisions(events, boundaries=ends, only_changes=False, **scan).collect()
+    assert sorted((row.revision, row.page_view_id, row.attributed_click_id) for row in log) == [
+        (0, "other", None), (0, "v", "best"), (1, "v", "best"), (2, "v", "best"), (5, "v", "same")]
+    changes = attribution.revisions(events, boundaries=ends, **scan).collect()
+    assert sorted((row.revision, row.page_view_id, row.attributed_click_id) for row in changes) == [
+        (0, "other", None), (0, "v", "best"), (5, "v", "same")]
+
+
 def audited(spark):
     rows = lateness.judge(scenario(spark), **PLAIN)
     rows = rows.withColumns({"arrival": F.col("event_time"), "seq": F.col("offset")})
