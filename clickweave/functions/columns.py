@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +15,10 @@ TIME_PATTERN = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS][XXX]"
 LOG_SUFFIX = "-changelog"
 
 
+def micros(span: timedelta) -> int:
+    return span // timedelta(microseconds=1)
+
+
 def topic() -> Column:
     return F.when(F.col("is_view"), VIEW_TOPIC).otherwise(CLICK_TOPIC)
 

@@ -70,15 +70,18 @@ def audit_events(resolved: DataFrame, arrival: str = "arrival", seq: str = "seq"
 
 
 def audit_log(judged: DataFrame, written: DataFrame) -> DataFrame:
-    """The feed of a streaming run, from its journal and the result rows it wrote; `seq` is the batch."""
-    time_type, unknown = _time_type(judged), F.lit(None)
+    """The feed of a streaming run, from its journal and the result rows it wrote; `seq` is the batch.
+
+    Both carry the processing time of their batch, so the newest entries are those of the last batch.
+    """
+    time_type = _time_type(judged)
     click_id = F.col("attributed_click_id")
     credited = _entry(
-        time_type, "ATTRIBUTION", event_ts=F.col("event_time"), seq=F.col("batch_id"), user_id=F.col("user_id"),
+        time_type, "ATTRIBUTION", event_ts=F.col("event_time"), processed_at=F.col("processed_at"), seq=F.col("batch_id"), user_id=F.col("user_id"),
         page_view_id=F.col("page_view_id"), attributed=click_id.isNotNull(), click_id=click_id,
         campaign_id=F.col("attributed_campaign_id"),
     )
-    return _exploded(judged, _arrival_entries(time_type, unknown, F.col("batch_id"))).unionByName(
+    return _exploded(judged, _arrival_entries(time_type, F.col("processed_at"), F.col("batch_id"))).unionByName(
         _exploded(written, [credited]))
 
 

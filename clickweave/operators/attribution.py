@@ -7,7 +7,7 @@ window are included, and equal click times are decided by arrival order.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -69,16 +69,22 @@ def resolve_views(
     window: timedelta = WINDOW,
     order: Sequence[str] = OFFSET_ORDER,
     keep: Sequence[str] = (),
+    latest: Mapping[str, Column] | None = None,
     **scan,
 ) -> DataFrame:
-    """As `resolve`, but views only, which lets click rows travel as the click value alone."""
+    """As `resolve`, but views only, which lets click rows travel as the click value alone.
+
+    `latest` names columns to add: the maximum of a value over the clicks before the view, however long before.
+    """
     lean = events.withColumns({
         "_click": click_value(keep=keep),
         "id": F.when(F.col("is_view"), F.col("id")),
         "label": F.when(F.col("is_view"), F.col("label")),
     })
     by_time = ("event_time", "is_view", *order)
-    found = running(lean, ["user_id"], by_time, {"click": Fold("last", "_click")}, **scan)
+    folds = {"click": Fold("last", "_click")}
+    folds |= {name: Fold("max", F.when(~F.col("is_view"), value)) for name, value in (latest or {}).items()}
+    found = running(lean, ["user_id"], by_time, folds, **scan)
     return found.filter("is_view").withColumn("click", within("click", window)).drop("_click")
 
 

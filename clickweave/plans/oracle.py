@@ -209,6 +209,19 @@ ORACLE: dict[str, str] = {
     "user_timeline": TIMELINE,
     "user_timeline_one_user": f"SELECT * FROM ({TIMELINE}) WHERE user_id = '7'",
     "stream_jsonl_24h": _strict("24 HOUR"),
+    # one watermark per batch: the smaller of both topics' latest times in all batches before, less the lateness
+    "stream_outer_join_24h": f"""WITH {EVENTS},
+        timed AS (SELECT *, CAST(arrival >= TIMESTAMP '2024-01-08' AS INTEGER) + CAST(arrival >= TIMESTAMP '2024-01-15' AS INTEGER)
+                              + CAST(arrival >= TIMESTAMP '2024-01-22' AS INTEGER) AS batch FROM ev),
+        marks AS (SELECT b.batch, least(max(event_time) FILTER (WHERE is_view), max(event_time) FILTER (WHERE NOT is_view))
+                           - INTERVAL 15 MINUTE AS watermark
+                  FROM (SELECT DISTINCT batch FROM timed) b JOIN timed t ON t.batch < b.batch GROUP BY b.batch),
+        acc AS (SELECT timed.* FROM timed LEFT JOIN marks USING (batch) WHERE watermark IS NULL OR event_time > watermark),
+        {_joined('acc', '24 HOUR')} SELECT {RESULT} FROM hit""",
+    "stream_keyed_24h": _strict("24 HOUR"),
+    "stream_compacted_24h": _strict("24 HOUR"),
+    "stream_audit_counts": AUDIT + """ SELECT type, count(*) AS n_entries, count(processed_at) AS n_stamped,
+        count(*) FILTER (WHERE attributed) AS n_attributed FROM feed GROUP BY type""",
     "user_timeline_small_blocks": TIMELINE,
     "timeline_range": f"""WITH {JUDGED},
         moves AS (SELECT min(epoch_us(event_time) // 1000) AS first, max(epoch_us(event_time) // 1000) AS last FROM acc WHERE advances),
@@ -237,3 +250,4 @@ ORACLE: dict[str, str] = {
                  AS reason
         FROM ev WHERE seq % 5 < 3""",
 }
+ORACLE["stream_metrics"] = ORACLE["evictable_state"]

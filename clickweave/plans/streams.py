@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from clickweave.functions.columns import topic
 from clickweave.plans.batch import HOURS_24, MIN_30, RUN_ENDS, Query
-from clickweave.schemas import RECORD
+from clickweave.schemas import ATTRIBUTED, RECORD
 from clickweave.session import work_folder
 from clickweave.sources import records
 from clickweave.sources.tables import events, with_offsets
-from clickweave.streaming import journal
+from clickweave.streaming import journal, keyed, outer_join
 
 
 def deliveries(spark: SparkSession, sf_dir: str, root: str) -> Iterator[str]:
@@ -30,6 +30,81 @@ def deliveries(spark: SparkSession, sf_dir: str, root: str) -> Iterator[str]:
         yield f"{root}/landing"
 
 
+def _deliver(spark: SparkSession, work: journal.Attribution, landing: str, root: str) -> int:
+    """Run the journal over what has landed; the number of its last batch."""
+    run = journal.start(records.read_records(spark, path=landing), work, f"{root}/checkpoint", available_now=True)
+    run.awaitTermination()
+    return run.lastProgress["batchId"]
+
+
+def _plain_times(rows: DataFrame, *names: str) -> DataFrame:
+    return rows.withColumns({name: F.col(name).cast("timestamp_ntz") for name in names or ("event_time",)})
+
+
+def outer_joined(window: timedelta) -> Query:
+    """Spark's own streaming join, restarted for every delivery and closed in the end."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = work_folder(spark, "stream-join")
+
+        def run(landing: str) -> None:
+            streams = (records.read_records(spark, path=landing) for _ in range(2))
+            found = outer_join.attributed(*streams, window)
+            outer_join.start(found, f"{root}/result", f"{root}/checkpoint", available_now=True).awaitTermination()
+
+        for landing in deliveries(spark, sf_dir, root):
+            run(landing)
+        outer_join.closing_records(spark).write.mode("append").parquet(f"{root}/landing")
+        run(f"{root}/landing")
+        return _plain_times(spark.read.schema(ATTRIBUTED).parquet(f"{root}/result"))
+    return query
+
+
+def keyed_state(window: timedelta) -> Query:
+    """The log of accepted events, attributed by keyed state with timers after every delivery."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = work_folder(spark, "stream-keyed")
+        work = journal.Attribution(f"{root}/tables", window, emit="log")
+        for landing in deliveries(spark, sf_dir, root):
+            _deliver(spark, work, landing, root)
+            stream = keyed.changes(keyed.accepted_log(spark, work.root), window, buckets=4)
+            keyed.start(stream, f"{root}/changes", f"{root}/keyed-checkpoint", available_now=True).awaitTermination()
+        return _plain_times(keyed.current(spark, f"{root}/changes"))
+    return query
+
+
+def audit_counts(window: timedelta) -> Query:
+    """The feed of an emit-once run, its tail included: entries by type, and whether all have a processing time."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = work_folder(spark, "stream-audit")
+        work = journal.Attribution(f"{root}/tables", window, emit="once")
+        last = [_deliver(spark, work, landing, root) for landing in deliveries(spark, sf_dir, root)][-1]
+        work.finish(spark, last)
+        return work.audit(spark).groupBy("type").agg(
+            F.count(F.lit(1)).alias("n_entries"), F.count("processed_at").alias("n_stamped"), F.count_if("attributed").alias("n_attributed"))
+    return query
+
+
+def running_metrics(window: timedelta) -> Query:
+    """What a run reports after its last batch."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = work_folder(spark, "stream-metrics")
+        work = journal.Attribution(f"{root}/tables", window)
+        last = [_deliver(spark, work, landing, root) for landing in deliveries(spark, sf_dir, root)][-1]
+        return _plain_times(work.metrics(spark, last).drop("batch_id", "watermark"), "cutoff")
+    return query
+
+
+def compacted(window: timedelta) -> Query:
+    """Update mode with every second batch compacted."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = work_folder(spark, "stream-compacted")
+        work = journal.Attribution(f"{root}/tables", window, compact_every=2, only_changes=False)
+        for landing in deliveries(spark, sf_dir, root):
+            _deliver(spark, work, landing, root)
+        return _plain_times(work.current(spark))
+    return query
+
+
 def journaled(emit: str, window: timedelta, sink: str = "table", finish_early: bool = False) -> Query:
     """Run the stream one delivery at a time, stopping and restarting in between, and read the result.
 
@@ -40,10 +115,7 @@ def journaled(emit: str, window: timedelta, sink: str = "table", finish_early: b
         work = journal.Attribution(f"{root}/tables", window, emit=emit, sink=sink)
         last = None
         for landing in deliveries(spark, sf_dir, root):
-            run = journal.start(
-                records.read_records(spark, path=landing), work, f"{root}/checkpoint", available_now=True)
-            run.awaitTermination()
-            last = run.lastProgress["batchId"]
+            last = _deliver(spark, work, landing, root)
             if finish_early:
                 work.finish(spark, last)
         if emit == "once":
@@ -58,4 +130,9 @@ STREAMS: dict[str, Query] = {
     "stream_emit_once_24h": journaled("once", HOURS_24),
     "stream_emit_once_resumed": journaled("once", HOURS_24, finish_early=True),
     "stream_jsonl_24h": journaled("update", HOURS_24, sink="jsonl"),
+    "stream_outer_join_24h": outer_joined(HOURS_24),
+    "stream_keyed_24h": keyed_state(HOURS_24),
+    "stream_audit_counts": audit_counts(HOURS_24),
+    "stream_metrics": running_metrics(MIN_30),
+    "stream_compacted_24h": compacted(HOURS_24),
 }

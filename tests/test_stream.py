@@ -157,7 +157,7 @@ def test_old_batches_leave_the_working_set(spark, tmp_path):
     feed = Feed(spark, tmp_path)
     for n, hour in enumerate((8, 10, 12)):
         feed.deliver([(False, n, "u", f"{hour:02d}:00:00", f"c{n}", "x"), (True, n, "u", f"{hour:02d}:05:00", f"v{n}", "/x")])
-    assert [batch.batch for batch in feed.work.state(spark, feed.last).batches] == [feed.last]
+    assert list(feed.work.state(spark, feed.last).batches) == [feed.last]
 
 
 def test_settings_must_be_known(tmp_path):
