@@ -174,9 +174,35 @@ def upsert_current(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def replay_from_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the accepted-event log, then rebuild the result from the log alone."""
-    log = work_folder(spark, "accepted-log")
-    changelog.write_log(accepted(spark, sf_dir), log)
-    return attribution.attribute(changelog.read_log(spark, log), MIN_30, ARRIVAL_ORDER)
+    log, rows = work_folder(spark, "accepted-log"), accepted(spark, sf_dir)
+    changelog.write_log(rows, log)
+    return attribution.attribute(changelog.read_log(spark, log, rows.schema), MIN_30, ARRIVAL_ORDER)
+
+
+def _landed(spark: SparkSession, sf_dir: str) -> tuple[str, dict]:
+    """Records in a folder, a fifth of them damaged, and where their partitions ended before the last week's were added."""
+    value = records.encode()
+    damaged = F.when(F.col("seq") % 5 == 0, F.substring(value, 1, 20)).otherwise(value)
+    rows = with_offsets(events(spark, sf_dir)).select(
+        topic().alias("topic"), "partition", "offset", damaged.alias("value"), (F.col("arrival") >= F.lit(RUN_ENDS[-1])).alias("later"))
+    landing = work_folder(spark, "landing")
+    rows.filter(~F.col("later")).drop("later").write.parquet(landing)
+    ends = changelog.captured(records.read_batch(spark, path=landing))
+    rows.filter("later").drop("later").write.mode("append").parquet(landing)
+    return landing, ends
+
+
+def replay_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rebuild the result from the records up to captured ends, while more arrive; unreadable ones are skipped."""
+    landing, ends = _landed(spark, sf_dir)
+    rows = records.good(records.decode(records.read_batch(spark, path=landing, ends=ends)))
+    found = attribution.attribute(rows, HOURS_24)
+    return found.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
+
+
+def replay_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landing, ends = _landed(spark, sf_dir)
+    return records.refused_counts(records.decode(records.read_batch(spark, path=landing, ends=ends)))
 
 
 def output_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -300,6 +326,8 @@ QUERIES: dict[str, Query] = {
     "rewrite_log_small_blocks": rewrite_log(**SMALL_BLOCKS),
     "upsert_current": upsert_current,
     "replay_from_log": replay_from_log,
+    "replay_bounded": replay_bounded,
+    "replay_refused": replay_refused,
     "output_table": output_table,
     "attribution_summary": attribution_summary,
     "attribution_by_campaign": attribution_by_campaign,

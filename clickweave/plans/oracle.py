@@ -193,6 +193,10 @@ ORACLE: dict[str, str] = {
         FROM log""",
     "upsert_current": _strict("24 HOUR"),
     "replay_from_log": _strict("30 MINUTE"),
+    "replay_bounded": f"""WITH {EVENTS}, acc AS (SELECT * FROM ev WHERE arrival < TIMESTAMP '2024-01-22' AND seq % 5 <> 0),
+        {_joined('acc', '24 HOUR')} SELECT {RESULT} FROM hit""",
+    "replay_refused": f"""WITH {EVENTS} SELECT topic, 'malformed' AS reason, count(*) AS n_refused FROM ev
+        WHERE arrival < TIMESTAMP '2024-01-22' AND seq % 5 = 0 GROUP BY topic""",
     "stream_update_30m": _strict("30 MINUTE"),
     "stream_update_24h": _strict("24 HOUR"),
     "stream_emit_once_24h": _strict("24 HOUR"),

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from clickweave.functions.columns import format_time, parse_time
 from clickweave.schemas import CLICK_PAYLOAD, CLICK_TOPIC, RECORD, VIEW_PAYLOAD, VIEW_TOPIC
+from clickweave.sources import changelog
 
 CORRUPT = "_corrupt"
 
@@ -53,6 +54,36 @@ def read_records(
     return reader.parquet(path).filter(F.col("topic").isin(*topics))
 
 
+def read_batch(
+    spark: SparkSession,
+    topics: tuple[str, ...] = (CLICK_TOPIC, VIEW_TOPIC),
+    *,
+    bootstrap_servers: str | None = None,
+    path: str | None = None,
+    ends: changelog.Ends | None = None,
+) -> DataFrame:
+    """Records from the start of the log up to `ends`, which `changelog.captured` finds, as a batch."""
+    if bootstrap_servers:
+        reader = (
+            spark.read.format("kafka")
+            .option("kafka.bootstrap.servers", bootstrap_servers)
+            .option("subscribe", ",".join(topics))
+            .option("startingOffsets", "earliest")
+            .option("kafka.isolation.level", "read_committed")
+        )
+        rows = reader.load().select("topic", "partition", "offset", F.col("value").cast("string").alias("value"))
+    elif path is None:
+        raise ValueError("name either bootstrap_servers or path")
+    else:
+        rows = spark.read.schema(RECORD).parquet(path).filter(F.col("topic").isin(*topics))
+    return rows if ends is None else changelog.up_to(rows, ends)
+
+
+def refused_counts(decoded: DataFrame) -> DataFrame:
+    """How many records of each topic are not processed, by reason."""
+    return decoded.filter("reason IS NOT NULL").groupBy("topic", "reason").agg(F.count(F.lit(1)).alias("n_refused"))
+
+
 def encode() -> Column:
     """An event row's payload as JSON text."""
     time = format_time(F.col("event_time")).alias("event_time")

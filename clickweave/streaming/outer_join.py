@@ -1,7 +1,8 @@
 """Emit-once attribution from Spark's own streaming operators: a watermarked left outer join, then the latest click per view.
 
 Coarser than the journal: there is one watermark for the whole query, the smaller of both topics' latest event times less the allowed
-lateness. It moves between batches, and an event on it or before it is dropped. A view is written when the watermark passes it.
+lateness. It moves between batches, and an event on it or before it is dropped. A view is written once the watermark is a
+window past it.
 
 The join's keys hold the time slice beside the user, so a user's state and work are spread over many keys: a click is sent to
 its own slice and to the next one, which together hold all views it can reach. The join lists the click-view pairs of a slice before they are

@@ -1,6 +1,7 @@
 """Streaming runs: restart, replay, out-of-order arrival, emit-once."""
 
 import random
+import time
 from datetime import timedelta
 
 import pytest
@@ -10,7 +11,7 @@ from clickweave.operators import attribution, lateness
 from clickweave.schemas import EVENT
 from clickweave.sources import records
 from clickweave.sources.scenario import ARRIVALS, EXPECTED, LATE, event_row
-from clickweave.streaming import journal
+from clickweave.streaming import journal, metrics
 
 
 class Feed:
@@ -210,3 +211,153 @@ def test_audit_of_a_run(spark, tmp_path):
 def test_source_must_be_named(spark):
     with pytest.raises(ValueError):
         records.read_records(spark)
+
+
+SIX = [row[:6] for row in ARRIVALS]
+
+
+def test_function_sink_keeps_its_last_batch_over_finish(spark, tmp_path):
+    taken = {}
+
+    def sink(rows, batch_id, tail=False):
+        taken[batch_id, tail] = {row.page_view_id for row in rows.collect()}
+
+    feed = Feed(spark, tmp_path, emit="once", sink=sink)
+    feed.deliver(SIX)
+    feed.work.finish(spark, feed.last)
+    assert taken[0, False] and taken[0, True] and not taken[0, False] & taken[0, True]
+    assert taken[0, False] | taken[0, True] == set(EXPECTED)
+    feed.work.sink = lambda rows, batch_id: None
+    with pytest.raises(ValueError, match="tail"):
+        feed.work.finish(spark, feed.last)
+
+
+def test_tables_agree_after_finish(spark, tmp_path):
+    feed = Feed(spark, tmp_path, emit="once")
+    feed.deliver(SIX)
+    feed.work.finish(spark, feed.last)
+    feed.work.finish(spark, feed.last)  # once more changes nothing
+    assert feed.results() == EXPECTED
+    assert {row.page_view_id for row in feed.work.revisions(spark).collect()} == set(EXPECTED)
+    audit = feed.work.audit(spark)
+    assert audit.filter("type = 'ATTRIBUTION'").count() == 6
+    assert audit.filter("processed_at IS NULL").count() == 0
+
+
+def test_other_settings_are_refused(spark, tmp_path):
+    feed = Feed(spark, tmp_path)
+    feed.deliver(SIX[:3])
+    for setting in ({"window": timedelta(minutes=31)}, {"allowed_lateness": timedelta(0)}, {"emit": "once"}, {"buckets": 2}):
+        feed.work = journal.Attribution(f"{tmp_path}/tables", **setting)
+        with pytest.raises(ValueError, match="other settings"):
+            feed.redo(spark.read.parquet(f"{tmp_path}/landing"), 1)
+
+
+def hourly(n):
+    return [(False, n, "u", f"{8 + 2 * n:02d}:00:00", f"c{n}", "x"), (True, n, "u", f"{8 + 2 * n:02d}:05:00", f"v{n}", "/x")]
+
+
+def test_redelivery_after_the_first_batch_was_let_go(spark, tmp_path):
+    feed = Feed(spark, tmp_path)
+    for n in range(3):
+        feed.deliver(hourly(n))
+    assert feed.work.state(spark, feed.last).first == 2
+    before = feed.results()
+    feed.deliver([*hourly(0), *hourly(1), *hourly(3)])
+    assert feed.work.journal(spark).count() == 8
+    assert feed.results() == before | {"v3": ("x", "c3")}
+
+
+def test_a_batch_reads_the_buckets_of_its_users(spark, tmp_path):
+    feed = Feed(spark, tmp_path)
+    feed.deliver([(True, n, f"user_{n}", "12:00:00", f"v{n}", "/x") for n in range(20)])
+    feed.deliver([(False, 0, "user_3", "12:00:00", "c", "x")])
+    before = feed.work.state(spark, 0)
+    own = feed.work.journal(spark, range(1, 2))
+    assert own.count() == 1 and list(before.batches) == [0]
+    plan = feed.work._resolve(spark, before, range(2), own, 1)._jdf.queryExecution().executedPlan().toString()
+    bucket = own.first().bucket
+    assert any("bucket" in line and f"= {bucket}" in line for line in plan.splitlines() if "PartitionFilters" in line)
+    assert feed.results() == {f"v{n}": ("x", "c") if n == 3 else (None, None) for n in range(20)}
+
+
+def test_compaction(spark, tmp_path):
+    feed = Feed(spark, tmp_path)
+    feed.deliver(SIX[:3])
+    feed.deliver(SIX[3:])
+    feed.work.compact(spark)
+    assert feed.results() == EXPECTED and feed.work.revisions(spark).count() == 6
+    assert spark.read.schema(journal.REVISIONS).parquet(f"{tmp_path}/tables/revisions").count() == 0
+    feed.deliver([(True, 90, "user_1", "13:10:00", "late_pv", "/x")])
+    # stopped before the manifest is written: the new base does not count
+    spark.createDataFrame([], journal.REVISIONS).write.parquet(f"{tmp_path}/tables/base-2")
+    assert feed.results() == EXPECTED | {"late_pv": (None, None)}
+    feed.work.compact(spark)
+    assert feed.work.generation(spark) == 2
+    assert feed.results() == EXPECTED | {"late_pv": (None, None)}
+    with pytest.raises(ValueError):
+        journal.Attribution(str(tmp_path), sink=print).compact(spark)
+
+
+def test_views_are_rewritten_by_clicks_that_change_nothing(spark, tmp_path):
+    batches = [
+        [(False, 0, "u", "12:20:00", "best", "b"), (True, 0, "u", "12:30:00", "v", "/x"), (True, 1, "w", "12:30:00", "w", "/x")],
+        [(False, 1, "u", "12:10:00", "older", "o")], [(False, 2, "u", "12:31:00", "after", "a")], [(False, 3, "u", "12:25:00", "new", "n")],
+    ]
+    for only_changes, expected in ((False, ["best", "best", "new"]), (True, ["best", "new"])):
+        feed = Feed(spark, tmp_path / str(only_changes), only_changes=only_changes)
+        for rows in batches:
+            feed.deliver(rows)
+        assert feed.writes("v") == expected and feed.writes("w") == [None]
+
+
+def test_processing_time_is_kept_by_a_batch_that_is_redone(spark, tmp_path):
+    feed = Feed(spark, tmp_path)
+    feed.deliver(SIX[:3])
+    stamps = [str(feed.work.stamp(spark, batch)) for batch in (0, 1, 1)]
+    assert stamps[1] == stamps[2] != stamps[0]
+    feed.deliver(SIX[3:])
+    times = {row.batch_id: row.processed_at for row in feed.work.journal(spark).select("batch_id", "processed_at").distinct().collect()}
+    assert sorted(times) == [0, 1] and times[0] < times[1]
+    newest = feed.work.audit(spark).orderBy(F.desc("processed_at"), F.desc("seq")).first()
+    assert newest.seq == 1
+
+
+def test_progress_and_retained_rows(spark, tmp_path):
+    feed = Feed(spark, tmp_path)
+    log = metrics.ProgressLog(spark, f"{tmp_path}/metrics", feed.work)
+    spark.streams.addListener(log)
+    try:
+        feed.deliver(SIX[:3])
+        feed.deliver(SIX[3:])
+        deadline = time.time() + 60
+        while log.retained().count() < 4 and time.time() < deadline:
+            time.sleep(0.5)
+    finally:
+        spark.streams.removeListener(log)
+    events = spark.createDataFrame([event_row(*row) for row in SIX], EVENT)
+    expected = {row.topic: (row.evictable, row.retained) for row in
+                lateness.evictable(lateness.judge(events), attribution.WINDOW, lateness.LATENESS).collect()}
+    found = {row.topic: (row.evictable, row.retained) for row in log.retained().filter("batch_id = 1").collect()}
+    assert found == expected
+    assert [row.input_rows for row in log.progress().orderBy("batch_id").collect()] == [3, 10]
+
+
+def test_rows_per_trigger_and_interval(spark, tmp_path):
+    for n in range(3):
+        events = spark.createDataFrame([event_row(*row) for row in hourly(n)], EVENT)
+        events.select(
+            F.when(F.col("is_view"), "page_views").otherwise("ad_clicks").alias("topic"), "partition", "offset", records.encode().alias("value"),
+        ).coalesce(1).write.mode("append").parquet(f"{tmp_path}/landing")
+    work = journal.Attribution(f"{tmp_path}/tables")
+    stream = records.read_records(spark, path=f"{tmp_path}/landing", per_trigger=1)
+    run = journal.start(stream, work, f"{tmp_path}/checkpoint", interval="100 milliseconds")
+    try:
+        deadline = time.time() + 90
+        while time.time() < deadline and work.state(spark, 2) is None:
+            time.sleep(0.5)
+        assert run.isActive
+    finally:
+        run.stop()
+    assert work.journal(spark).groupBy("batch_id").count().filter("count = 2").count() == 3
+    assert work.current(spark).count() == 3
