@@ -125,4 +125,5 @@ def good(decoded: DataFrame) -> DataFrame:
 
 
 def quarantined(decoded: DataFrame) -> DataFrame:
-    return decoded.filter(F.col("reason").isNotNull()).select("topic", "partition", "offset", "value", "reason")
+    stamp = [name for name in ("processed_at",) if name in decoded.columns]
+    return decoded.filter(F.col("reason").isNotNull()).select("topic", "partition", "offset", "value", "reason", *stamp)

@@ -3,7 +3,6 @@
 Each micro-batch runs the batch operators over its own events and the part of the journal that can
 still matter, and writes folders that are all keyed by the batch:
 
-    stamps/batch_id=N       when the batch was first begun, its processing time
     journal/batch_id=N      the batch's events, judged: late or accepted (the accepted-event log), by user bucket
     revisions/batch_id=N    result rows written by the batch
     state/batch_id=N        settings, watermarks and highest offsets per source partition, oldest journal batch still needed
@@ -20,9 +19,9 @@ from __future__ import annotations
 
 import inspect
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -64,7 +63,7 @@ COORDINATES = ("is_view", "partition", "offset")
 #: Layout of the tables; a folder of another version is refused.
 VERSION = 3
 #: Parts of the journal by user: a batch reads those of its own users only.
-BUCKETS = 32
+BUCKETS = 16
 #: Up to so many retained batches are read by their paths, more by a filter on the whole journal.
 MOST_PATHS = 64
 JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "ignoreNullFields": "false"}
@@ -174,6 +173,7 @@ class Attribution:
         self.root, self.window, self.lateness = root, window, allowed_lateness
         self.emit, self.sink, self.scan, self.buckets = emit, sink, scan, buckets
         self.only_changes, self.compact_every = only_changes, compact_every
+        self._states: dict[int, State] = {}
         self.settings = json.dumps({
             "version": VERSION, "window": micros(window), "lateness": micros(allowed_lateness), "emit": emit,
             "only_changes": only_changes, "buckets": buckets, "sink": "function" if callable(sink) else sink,
@@ -185,15 +185,17 @@ class Attribution:
         run = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
         if self._checked(self.state(spark, batch_id), run) is not None:
             return
-        before = State(run, self.settings) if batch_id == 0 else self._checked(self.state(spark, batch_id - 1), run)
+        before = State(run, self.settings) if batch_id == 0 else self._checked(self._known(spark, batch_id - 1), run)
         if before is None:
             raise ValueError(f"{self.root} lacks the batch before {batch_id}; it does not belong to this checkpoint")
-        self._write_journal(batch, batch_id, before)
-        after = self._next_state(spark, batch_id, before)
+        stamp = self._write_journal(batch, batch_id, before)
+        after, buckets = self._next_state(spark, batch_id, before)
         if self.emit != "log":
-            own = self.journal(spark, range(batch_id, batch_id + 1)) if self.emit == "update" else None
-            resolved = self._resolve(spark, before, range(before.first, batch_id + 1), own, batch_id)
-            self._write_results(resolved.filter(self._due(batch_id, before, after)), batch_id)
+            users = None
+            if self.emit == "update":
+                users = self.journal(spark, range(batch_id, batch_id + 1)).select("user_id").distinct()
+            resolved = self._resolve(spark, before, range(before.first, batch_id + 1), users, buckets, batch_id)
+            self._write_results(resolved.filter(self._due(batch_id, before, after)), batch_id, stamp)
         self._write_state(spark, self._trimmed(spark, after), batch_id)
         if self.compact_every and batch_id % self.compact_every == self.compact_every - 1:
             self.compact(spark)
@@ -212,7 +214,7 @@ class Attribution:
         if callable(self.sink) and not _takes_tail(self.sink):
             raise ValueError("the sink function must take 'tail', or the tail would replace the last batch")
         resolved = self._resolve(spark, state, state.batches)
-        self._write_results(resolved.filter(self._open(state)), batch_id, "tail")
+        self._write_results(resolved.filter(self._open(state)), batch_id, now(spark), "tail")
 
     def _checked(self, state: State | None, run: str) -> State | None:
         if state is not None and state.run != run:
@@ -223,23 +225,18 @@ class Attribution:
 
     # ---- steps of a batch ----
 
-    def stamp(self, spark: SparkSession, batch_id: int, kind: str = "stamps") -> Column:
-        """The batch's processing time: when it was begun first, also if it is done again."""
-        path = f"{self.root}/{kind}/batch_id={batch_id}"
-        if not (known := stored(spark, T.StructType([STAMP]), path).collect()):
-            spark.range(0, 1, 1, 1).select(F.current_timestamp().alias("processed_at")).write.mode("overwrite").parquet(path)
-            known = spark.read.schema(T.StructType([STAMP])).parquet(path).collect()
-        return F.lit(known[0].processed_at)
-
-    def _write_journal(self, batch: DataFrame, batch_id: int, before: State) -> None:
-        spark, stamp = batch.sparkSession, self.stamp(batch.sparkSession, batch_id)
+    def _write_journal(self, batch: DataFrame, batch_id: int, before: State) -> datetime:
+        """Returns the batch's processing time."""
+        spark = batch.sparkSession
+        if STAMP.name not in batch.columns:
+            batch = batch.withColumn(STAMP.name, F.lit(now(spark)))
         sources = [(is_view, partition, source.micros, source.last_offset) for (is_view, partition), source in before.sources.items()]
         known = F.broadcast(_table(spark, sources, SOURCES))
         decoded = records.decode(batch).join(known.drop("micros"), list(lateness.SOURCE), "left").persist()
         try:
             # A record above the highest offset so far is new; only those below can have come before.
             old = F.col("reason").isNull() & (F.col("offset") <= F.col("last_offset"))
-            counts = decoded.agg(F.count("reason").alias("refused"), F.count_if(old).alias("old")).first()
+            counts = decoded.agg(F.count("reason").alias("refused"), F.count_if(old).alias("old"), F.max(STAMP.name).alias("stamp")).first()
             decoded_rows = decoded.drop("last_offset")
             if counts.refused:
                 self._write(records.quarantined(decoded_rows), f"quarantine/batch_id={batch_id}")
@@ -248,9 +245,10 @@ class Attribution:
                 events = self._without_redelivered(events, decoded.filter(old), batch_id)
             carried = known.filter("micros IS NOT NULL").select(*lateness.SOURCE, F.timestamp_micros("micros").alias("watermark"))
             judged = lateness.judge(events, self.lateness, OFFSET_ORDER, carried, **self.scan).withColumns({
-                "processed_at": stamp, "floor": F.timestamp_micros(F.lit(before.floor(self.lateness))), "bucket": self._bucket()})
+                "floor": F.timestamp_micros(F.lit(before.floor(self.lateness))), "bucket": self._bucket()})
             # gathered by bucket, so that files are few; large buckets are split
             self._write(judged.hint("rebalance", "late", "bucket"), f"journal/batch_id={batch_id}", "late", "bucket")
+            return counts.stamp or now(spark)
         finally:
             decoded.unpersist()
 
@@ -266,13 +264,14 @@ class Attribution:
         redelivered = old.select(*COORDINATES).join(seen, list(COORDINATES), "left_semi")
         return events.join(redelivered, list(COORDINATES), "left_anti")
 
-    def _next_state(self, spark: SparkSession, batch_id: int, before: State) -> State:
-        """State after the batch, with all batches `before` has. One row per source partition is collected."""
+    def _next_state(self, spark: SparkSession, batch_id: int, before: State) -> tuple[State, list[int]]:
+        """State after the batch, with all batches `before` has, and the batch's user buckets. One row per source partition is collected."""
         accepted = ~F.col("late")
         seen = (
             self.journal(spark, range(batch_id, batch_id + 1)).groupBy(*lateness.SOURCE)
             .agg(F.max(F.when(accepted, F.unix_micros("event_time"))).alias("last"),
-                 F.count_if(accepted).alias("n_events"), F.max("offset").alias("last_offset"))
+                 F.count_if(accepted).alias("n_events"), F.max("offset").alias("last_offset"),
+                 F.collect_set("bucket").alias("buckets"))  # no more than there are buckets
             .collect()
         )
         after = State(before.run, before.settings, batch_id, before.first, n_clicks=before.n_clicks, n_views=before.n_views,
@@ -288,7 +287,7 @@ class Attribution:
                 after.n_clicks += row.n_events
         after.last_click, after.last_view = (
             max((row.last for row in seen if row.is_view == of_views and row.last is not None), default=None) for of_views in (False, True))
-        return after
+        return after, sorted({bucket for row in seen for bucket in row.buckets})
 
     def _trimmed(self, spark: SparkSession, state: State) -> State:
         """Without the oldest journal batches that no later batch can need. Each batch's own state is read once on the way."""
@@ -299,20 +298,32 @@ class Attribution:
             return last is not None and (since is None or last >= since)
 
         while state.first < state.batch:
-            oldest = self.state(spark, state.first)
+            oldest = self._known(spark, state.first)
             if needed(oldest.last_click, clicks_from) or needed(oldest.last_view, views_from):
                 break
             state.first += 1
         if state.first == state.batch and not (needed(state.last_click, clicks_from) or needed(state.last_view, views_from)):
             state.first += 1
+        for batch in [batch for batch in self._states if batch < state.first - 1]:
+            del self._states[batch]
         return state
 
+    def _known(self, spark: SparkSession, batch_id: int) -> State | None:
+        """The state a finished batch left; those of retained batches are remembered."""
+        if batch_id not in self._states:
+            state = self.state(spark, batch_id)
+            if state is None:
+                return None
+            self._states[batch_id] = state
+        return self._states[batch_id]
+
     def _resolve(
-        self, spark: SparkSession, before: State, batches: range, own: DataFrame | None = None, batch_id: int = -1,
+        self, spark: SparkSession, before: State, batches: range, users: DataFrame | None = None, buckets: Sequence[int] = (),
+        batch_id: int = -1,
     ) -> DataFrame:
-        """Views of these journal batches with the click they are credited to; with `own`, those of its users only.
+        """Views of these journal batches with the click they are credited to; with `users`, theirs only, who are in `buckets`.
 
-        From batches before `batch_id`, only events that can still matter are read, and only from buckets of `own`'s users.
+        From batches before `batch_id`, only events that can still matter are read.
         """
         accepted = self.journal(spark, batches).filter(~F.col("late"))
         cutoffs = {True: before.views_from(self.lateness), False: before.clicks_from(self.window, self.lateness)}
@@ -321,9 +332,8 @@ class Attribution:
             if since is not None:
                 gone = past & (F.col("is_view") == is_view) & (F.col("event_time") < F.timestamp_micros(F.lit(since)))
                 accepted = accepted.filter(~gone)
-        if own is not None:
-            touched = [row.bucket for row in own.select("bucket").distinct().collect()]  # no more than `buckets`
-            accepted = accepted.filter(F.col("bucket").isin(touched)).join(own.select("user_id").distinct(), "user_id", "left_semi")
+        if users is not None:
+            accepted = accepted.filter(F.col("bucket").isin(list(buckets))).join(users, "user_id", "left_semi")
         # when a click of this batch was last before the view, to tell which views it reached
         reached = self.emit == "update" and not self.only_changes
         latest = {"_latest": F.when(F.col("batch_id") == batch_id, F.col("event_time"))} if reached else {}
@@ -432,7 +442,7 @@ class Attribution:
                     F.timestamp_micros("cutoff").alias("cutoff"), (F.col("total") - F.col("retained")).alias("evictable"), "retained")
         )
 
-    def _write_results(self, due: DataFrame, batch_id: int, folder: str = "revisions") -> None:
+    def _write_results(self, due: DataFrame, batch_id: int, stamp: datetime, folder: str = "revisions") -> None:
         spark = due.sparkSession
         # An id sent twice in one batch with different content keeps its latest coordinates.
         latest = tables.current(
@@ -440,7 +450,7 @@ class Attribution:
         if callable(self.sink):
             self.sink(latest, batch_id, tail=True) if folder == "tail" else self.sink(latest, batch_id)
             return
-        latest = latest.withColumn("processed_at", self.stamp(spark, batch_id, "stamps" if folder == "revisions" else "tail_stamps"))
+        latest = latest.withColumn(STAMP.name, F.lit(stamp))
         path = f"{self.root}/tail" if folder == "tail" else self._folder(folder, self.generation(spark))
         writer = latest.write.mode("overwrite")
         if self.sink == "jsonl":
@@ -466,11 +476,16 @@ class Attribution:
             for (is_view, partition), source in state.sources.items()
         ]
         self._write(_table(spark, rows, STATE), f"state/batch_id={batch_id}")
+        self._states[batch_id] = state
 
     def _write(self, rows: DataFrame, path: str, *partition_by: str) -> None:
         rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{self.root}/{path}")
 
 
+def now(spark: SparkSession) -> datetime:
+    return spark.sql("SELECT current_timestamp()").first()[0]
+
+
 def _takes_tail(sink: Sink) -> bool:
     known = inspect.signature(sink).parameters.values()
     return any(p.name == "tail" or p.kind is p.VAR_KEYWORD for p in known)
@@ -479,7 +494,11 @@ def _takes_tail(sink: Sink) -> bool:
 def start(
     stream: DataFrame, work: Attribution, checkpoint: str, available_now: bool = False, interval: str = "1 minute"
 ):
-    """Run the work on a record stream. Progress is kept in `checkpoint`, which restarts continue from."""
+    """Run the work on a record stream. Progress is kept in `checkpoint`, which restarts continue from.
+
+    A record's processing time is that of its batch, which the checkpoint keeps too: a batch that is done again has the same.
+    """
+    stream = stream.withColumn(STAMP.name, F.current_timestamp())
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     return (
         stream.writeStream.foreachBatch(work)
