@@ -2,7 +2,7 @@
 
 A word's input is the embedding of its hash plus those of its hashed character 4- and 5-grams. Windows of `WINDOW`
 words start every `STRIDE` words; every window of every text is scored, and a text's logit is its largest
-window's, calibrated on the training texts. Labels mark texts, not windows, so training takes, round by round,
+window's, calibrated on training texts held back. Labels mark texts, not windows, so training takes, round by round,
 each toxic text's strongest window and, of each other text, the strongest and another one.
 
 Fitted on at most about `SAMPLE` toxic and twice as many other labelled rows, chosen by a hash of the text; copies are
@@ -25,9 +25,12 @@ from clickweave.llm import common
 WORDS, CHARS = 1 << 15, 1 << 17
 ORDERS = (4, 5)
 SIZE, HIDDEN = 8, 8
-WINDOW, STRIDE = 32, 24
+WINDOW, STRIDE = 32, 16
 SAMPLE = 1200
 GATES = 3 * HIDDEN
+#: Steps of 256 windows in a round of training at least, in all at most; rounds without a better loss before it ends.
+STEPS_A_ROUND, MOST_STEPS, PATIENCE = 15, 300, 3
+LEAST_SLOPE = 0.05
 
 
 def _features(words: list[str]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
@@ -107,8 +110,8 @@ def _sigmoid(x):
 class Inputs:
     """A word table's share of the gates, for either direction."""
 
-    def __init__(self, model: "Network", embedded: np.ndarray):
-        self.sides, self.rows = [embedded @ model.p[f"x{side}"] + model.p[f"c{side}"] for side in "fb"], len(embedded)
+    def __init__(self, model: "Network", embedded: np.ndarray, rows: int):
+        self.sides, self.rows = [embedded @ model.p[f"x{side}"] + model.p[f"c{side}"] for side in "fb"], rows
 
     def __len__(self):
         return self.rows
@@ -185,8 +188,13 @@ class Network:
         return loss, g
 
     def window_logits(self, batch: Batch, some: int = 512) -> np.ndarray:
-        inputs = Inputs(self, batch.embedded(self))
-        return np.concatenate([self.run(inputs, batch.windows[i : i + some]) for i in range(0, len(batch.windows), some)])
+        """Logits to four digits. Blocks are full, so that no window's sums depend on how many others there are."""
+        table = batch.embedded(self)
+        inputs = Inputs(self, np.concatenate([table, np.zeros((-len(table) % some, SIZE), table.dtype)]), len(table))
+        blank = np.full((-len(batch.windows) % some, WINDOW), len(table) - 1, np.int32)
+        windows = np.concatenate([batch.windows, blank])
+        found = np.concatenate([self.run(inputs, windows[i : i + some]) for i in range(0, len(windows), some)])
+        return np.round(found[: len(batch.windows)], 4)
 
     def logits(self, texts: list[str | None]) -> np.ndarray:
         """Each text's largest window logit."""
@@ -213,7 +221,8 @@ class Constant:
 
 def _log_odds(seen: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """`seen` counts, by class and feature, the texts that hold it."""
-    share = [(seen[k] + 5.0) / ((toxic == k).sum() + 5.0) for k in (0, 1)]  # five more texts: rare features say little
+    # ten more texts, dealt like the classes: rare features say little, unseen ones nothing
+    share = [(seen[k] + 10 * (toxic == k).mean()) / ((toxic == k).sum() + 10 * (toxic == k).mean()) for k in (0, 1)]
     return np.log(share[1] / share[0]).astype(np.float32)
 
 
@@ -223,9 +232,43 @@ def _count(seen: np.ndarray, features: np.ndarray, texts: np.ndarray, toxic: np.
         seen[k] += np.bincount(pairs[toxic[pairs // seen.shape[1]] == k] % seen.shape[1], minlength=seen.shape[1])
 
 
-def train(texts: list[str], toxic: np.ndarray, share: float | None = None, rounds: int = 4, rate: float = 0.01, seed: int = 7) -> Network:
-    """`share`: of toxic texts among all labelled ones, if the given texts don't show it."""
+def _loss(top: np.ndarray, toxic: np.ndarray) -> float:
+    """Cross entropy of texts after the best calibration, both classes counting alike."""
+    a, b = _calibration(top, toxic)
+    x = a * top + b
+    each = np.logaddexp(0, x) - toxic * x
+    return float(sum(each[toxic == k].mean() for k in (0, 1) if (toxic == k).any()))
+
+
+def _calibration(top: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
+    """Slope, which stays positive, and shift that turn logits into probabilities, by Newton steps."""
+    a, b = 1.0, 0.0
+    for _ in range(200):
+        fit = _sigmoid(a * top + b)
+        grad = np.array([((fit - toxic) * top).mean() + 1e-3 * (a - 1), (fit - toxic).mean()])
+        w = fit * (1 - fit) + 1e-6
+        hess = np.array([[(w * top * top).mean() + 1e-3, (w * top).mean()], [(w * top).mean(), w.mean() + 1e-6]])
+        change = np.clip(np.linalg.solve(hess, grad), -0.5, 0.5)
+        a, b = max(LEAST_SLOPE, a - change[0]), b - change[1]
+    return a, b
+
+
+def train(
+    texts: list[str], toxic: np.ndarray, share: float | None = None, rate: float = 0.01, seed: int = 7, part: int = STEPS_A_ROUND, patience: int = PATIENCE,
+) -> Network:
+    """`share`: of toxic texts among all labelled ones, if the given texts don't show it.
+
+    Every eighth text of a class is held back. Training goes on, `part` steps or once through the sample a round, until their loss
+    has not fallen for `patience` rounds, and the best round's parameters count.
+    """
     model, batch, rng = Network(seed), Batch(texts), np.random.default_rng(seed)
+    nth = np.zeros(len(texts), dtype=np.int64)
+    for k in (0, 1):
+        nth[toxic == k] = np.arange((toxic == k).sum())
+    held = nth % 8 == 7
+    if not all((held & (toxic == k)).any() for k in (0, 1)):
+        held[:] = False
+    judged = np.flatnonzero(held) if held.any() else np.arange(len(texts))
     owner = np.repeat(batch.owner, WINDOW)
     inside = batch.windows.ravel() < len(batch.words)
     occurs = np.unique(owner[inside].astype(np.int64) * len(batch.words) + batch.windows.ravel()[inside])
@@ -243,15 +286,19 @@ def train(texts: list[str], toxic: np.ndarray, share: float | None = None, round
     model.p["word"][:, 0] = np.clip(_log_odds(by_word, toxic), -1, 5)
     model.p["char"][:, 1] = np.clip(_log_odds(by_gram, toxic), -0.5, 4) / 2
     first, second = ({k: np.zeros_like(v) for k, v in model.p.items()} for _ in range(2))
-    step = 0
-    for _ in range(rounds):
-        scores = model.window_logits(batch)
+    step, waited = 0, 0
+    scores = model.window_logits(batch)
+    largest = lambda: np.maximum.reduceat(scores, batch.first[:-1]).astype(float)[judged]
+    best, top = {k: v.copy() for k, v in model.p.items()}, largest()
+    least = _loss(top, toxic[judged])
+    while waited < patience and step < MOST_STEPS:
         order = np.lexsort((scores, batch.owner))
         strongest = order[batch.first[1:] - 1]
         other = batch.first[:-1] + rng.integers(0, 1 << 30, len(texts)) % np.diff(batch.first)
-        chosen = np.concatenate([strongest, other[toxic == 0]])
-        target = np.concatenate([toxic, np.zeros(int((toxic == 0).sum()))]).astype(np.float32)
-        mixed = rng.permutation(len(chosen))
+        chosen = np.concatenate([strongest[~held], other[(toxic == 0) & ~held]])
+        target = np.concatenate([toxic[~held], np.zeros(int(((toxic == 0) & ~held).sum()))]).astype(np.float32)
+        steps = max(part, -(-len(chosen) // 256))
+        mixed = np.concatenate([rng.permutation(len(chosen)) for _ in range(-(-steps * 256 // len(chosen)))])[: steps * 256]
         for i in range(0, len(mixed), 256):
             some = mixed[i : i + 256]
             used, windows = np.unique(batch.windows[chosen[some]], return_inverse=True)
@@ -270,17 +317,14 @@ def train(texts: list[str], toxic: np.ndarray, share: float | None = None, round
             for k in range(len(ORDERS)):
                 gram, per_word = batch.grams_of(k, words)
                 np.add.at(model.p["char"], gram, -rate * 5 * np.repeat(change * np.maximum(per_word, 1)[:, None] ** -0.5, per_word, axis=0))
-    top = np.maximum.reduceat(model.window_logits(batch), batch.first[:-1]).astype(float)
-    a, b = 1.0, 0.0
-    for _ in range(200):  # Newton steps of the calibration
-        fit = _sigmoid(a * top + b)
-        grad = np.array([((fit - toxic) * top).mean() + 1e-3 * (a - 1), (fit - toxic).mean()])
-        w = fit * (1 - fit) + 1e-6
-        hess = np.array([[(w * top * top).mean() + 1e-3, (w * top).mean()], [(w * top).mean(), w.mean() + 1e-6]])
-        change = np.clip(np.linalg.solve(hess, grad), -0.5, 0.5)
-        a, b = a - change[0], b - change[1]
+        scores = model.window_logits(batch)
+        loss, waited = _loss(largest(), toxic[judged]), waited + 1
+        if loss < least - 1e-3:
+            best, least, waited, top = {k: v.copy() for k, v in model.p.items()}, loss, 0, largest()
+    model.p = best
+    a, b = _calibration(top, toxic[judged])
     if share:
-        b += np.log(share / (1 - share)) - np.log(toxic.mean() / (1 - toxic.mean()))
+        b += np.log(share / (1 - share)) - np.log(toxic[judged].mean() / (1 - toxic[judged].mean()))
     model.scale, model.shift = float(a), float(b)
     return model
 
@@ -288,14 +332,15 @@ def train(texts: list[str], toxic: np.ndarray, share: float | None = None, round
 def fit(rows: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE) -> Network | Constant:
     """Trains on labelled rows. A key with several labels, or several rows, counts as each combination."""
     marked = common.columns(labels, doc_id=key, toxic=label).filter("toxic IS NOT NULL AND doc_id IS NOT NULL").distinct()
-    # the texts are joined to the labels, of which there are few columns and at most one row for each key and class
-    joined = common.columns(rows, doc_id=key, text=text).filter("text IS NOT NULL").join(marked, "doc_id")
     n = {0: 0, 1: 0}
     for r in marked.groupBy((F.col("toxic") > 0).cast("int").alias("toxic")).agg(F.count("*").alias("n")).collect():
         n[r.toxic] = r.n
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    limit = F.when(F.col("toxic") > 0, F.lit(min(1.0, sample / max(1, n[1])))).otherwise(F.lit(min(1.0, 2 * sample / max(1, n[0]))))
-    found = joined.filter(draw < limit).select("text", (F.col("toxic") > 0).cast("int").alias("toxic")).dropDuplicates(["text", "toxic"])
+    limits = [min(1.0, 2 * sample / max(1, n[0])), min(1.0, sample / max(1, n[1]))]
+    # texts beyond both limits are not sent to the join
+    texts = common.columns(rows, doc_id=key, text=text).filter("text IS NOT NULL").filter(draw < max(limits))
+    found = texts.join(marked, "doc_id").filter(draw < F.when(F.col("toxic") > 0, limits[1]).otherwise(limits[0]))
+    found = found.select("text", (F.col("toxic") > 0).cast("int").alias("toxic")).dropDuplicates(["text", "toxic"])
     found = found.withColumn("draw", draw).toPandas().sort_values(["draw", "text", "toxic"])
     found = pd.concat([found[found["toxic"] == k][: (4 - 2 * k) * sample] for k in (0, 1)])
     if found["toxic"].nunique() < 2:

@@ -95,19 +95,47 @@ def test_windows_overlap_and_cover():
     own = batch.windows[batch.first[0] : batch.first[1]]
     assert set(own.ravel().tolist()) - {len(batch.words)} == set(range(100))
     assert set(own[0]) & set(own[1])
-    assert np.diff(batch.first).tolist() == [4, 1, 1]
+    assert np.diff(batch.first).tolist() == [6, 1, 1]  # half a window further each
 
 
-def test_toxicity_of_held_out_texts(spark):
-    # the large table has enough labelled texts to learn from
-    documents = spark.read.parquet("/root/testdata/check_s/documents.parquet")
-    labels = spark.read.parquet("/root/testdata/check_s/labels.parquet")
+@pytest.fixture(scope="module")
+def toxic_model(spark):
+    """Trained on four fifths of the labelled texts of sf0.1."""
+    documents, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{name}.parquet") for name in ("documents", "labels"))
     held = common.fold("doc_id", 5) == 0
-    model = toxicity.fit(documents.filter(~held), labels, sample=600)
-    some = documents.filter(held).join(labels, "doc_id").select("doc_id", "text", "toxic")
+    model = toxicity.fit(documents.filter(~held), labels)
+    return model, documents.filter(held).join(labels, "doc_id").select("doc_id", "text", "toxic")
+
+
+def test_toxicity_of_held_out_texts(toxic_model):
+    model, some = toxic_model
     rows = toxicity.predict(some, model).join(some.select("doc_id", "toxic"), "doc_id").collect()
     toxic, clean = ([r.predicted for r in rows if r.toxic == k] for k in (1, 0))
-    assert np.mean(toxic) > 0.95 and np.mean(clean) < 0.03
+    assert len(toxic) > 80 and np.mean(toxic) > 0.75 and np.mean(clean) < 0.02
+    assert model.scale > 0
+
+
+def test_toxic_passage_is_found_at_every_offset(toxic_model):
+    model, some = toxic_model
+    texts = [r.text for r in some.filter("toxic = 0 AND text IS NOT NULL").collect() if len(r.text.split()) > 150]
+    clean = texts[int(np.argmin(model.scores(texts)))].split()[:150]
+    passage = "you worthless pathetic idiot stupid disgusting moron".split()
+    placed = [" ".join(clean[:at] + passage + clean[at:]) for at in range(0, 151, 3)]
+    assert model.scores([" ".join(clean)])[0] < 0.5 < model.scores(placed).min()
+
+
+def test_toxicity_scores_every_window():
+    """A text's logit is the largest of windows run one by one."""
+    model = toxicity.Network(3)
+    model.p["word"] *= 50
+    rng = np.random.default_rng(0)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 90, n)) for n in (0, 1, 31, 32, 33, 200)]
+    for text, logit in zip(texts, model.logits(texts), strict=True):
+        words, found = text.split(), []
+        for start in range(0, max(1, len(words) - toxicity.WINDOW + toxicity.STRIDE), toxicity.STRIDE):
+            batch = toxicity.Batch([" ".join(words[start : start + toxicity.WINDOW])])
+            found.append(model.run(batch.embedded(model), batch.windows[:1])[0])
+        assert abs(max(found) - logit) < 2e-4
 
 
 def test_toxicity_awkward_rows(spark, awkward, empty):
