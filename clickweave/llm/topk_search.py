@@ -1,15 +1,22 @@
-"""Exact top-k BM25 search: an inverted index with block-max pruning per shard, merged with global statistics.
+"""Exact top-k BM25 search: an inverted index with block-max WAND per shard, merged with global statistics.
 
 Terms are lower-cased words between ASCII white space, compared by 63 hash bits. Document frequencies, the number of documents
 and their mean length are global, so every shard scores alike and the merge of the shards' lists is exact.
 
-A shard orders its documents by likeness and length and cuts them into blocks. Frequent terms keep, besides their
-impacts, the largest impact of each block; rare terms keep postings. A query first adds up its rare terms by posting;
-with the block maxima of its frequent terms this bounds every document. Blocks are then scored in falling order of their bound until
-no bound reaches the k-th best score found. Scores near the last kept one are recomputed in float64, term by term in order
-of hash, and rounded to `DIGITS` digits, so they don't depend on shards or blocks.
+A shard orders its documents by likeness and length, and cuts the range of their places into blocks. Each term has one posting list, in that
+order; it is cut at the same block ends, and each piece keeps its largest impact. A search never reads a piece before it must:
 
-A query's text counts each of its words as often as it holds it. Queries are copied to every shard, shards to none.
+- A block's bound is the sum of the weighted largest impacts of the pieces in it. Blocks are visited in falling order of their bounds, some at
+  a time, until no bound left reaches the limit, the k-th best score found so far. The postings of the other blocks are skipped.
+- In a visited block, lists come in falling order of their weights. Lists at the end whose largest impacts there together stay below the
+  limit cannot lift a document over it alone, so the lists before them are moved over the block first. A document they meet is a
+  pivot if what they add up to, with the largest impacts of the others, reaches the limit. The others follow in steps, in blocks that still
+  have a pivot only, and are scored at pivots only; each step leaves fewer pivots.
+
+A document's score is added up term by term in falling order of weight, in doubles, and rounded to `DIGITS` digits, so it does not depend on
+shards or blocks. Queries are taken `QUERIES` at a time; every such part meets every shard.
+
+A query's text counts each of its words as often as it holds it.
 
 Defined cases: null ids take no part; of repeated query ids the alphabetically smallest text is searched; repeated rows are candidates
 each, but never rows with the query's id. Texts without words match nothing. Documents that share no term with a
@@ -30,8 +37,14 @@ from clickweave.llm import common
 
 K1, B = 1.2, 0.75
 SHARD = 16384  # documents
-BLOCK = 128
-FREQUENT = 0.02  # share of a shard's documents
+BLOCK = 64
+#: Blocks visited at first; each further step takes four times as many.
+FIRST_VISIT = 8
+#: Lists are read in steps, until those left can add no more than these shares of the limit.
+LEADS = np.array([1, 0.3, 0])
+QUERIES = 1 << 16
+#: Document frequencies held by a task before they are handed on.
+COUNTED = 2_000_000
 DIGITS = 6
 
 
@@ -51,95 +64,118 @@ def inverse_frequency(documents: int, df: np.ndarray) -> np.ndarray:
     return np.log(1 + (documents - df + 0.5) / (df + 0.5))
 
 
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All numbers of some ranges, one range after the other."""
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
 class Shard:
-    """The index of some documents, with what search needs of the whole collection."""
+    """The index of some documents, with what search needs of the whole collection.
+
+    `postings` and `read` count the postings of all searches: those of the queries' terms, and those read.
+    """
 
     def __init__(self, ids: np.ndarray, lengths: np.ndarray, terms: np.ndarray, doc: np.ndarray, term: np.ndarray, count: np.ndarray, mean_length: float):
         """doc, term and count are the pairs, by document and then term."""
         n = len(ids)
+        self.postings = self.read = 0
         impact = count * (K1 + 1) / (count + K1 * (1 - B + B * lengths[doc] / mean_length))
-        held = np.bincount(term, minlength=len(terms))
-        frequent = np.flatnonzero(held >= max(8, FREQUENT * n))
-        column = np.full(len(terms), -1)
-        column[frequent] = np.arange(len(frequent))
-        dense = np.zeros((n, len(frequent)), np.float32)
-        is_frequent = column[term] >= 0
-        dense[doc[is_frequent], column[term[is_frequent]]] = impact[is_frequent]
-        order = np.lexsort((lengths, self._likeness(dense)))
+        order = np.lexsort((lengths, self._likeness(n, len(terms), doc, term, impact)))
         place = np.empty(n, np.int64)
         place[order] = np.arange(n)
-        self.ids, self.dense, self.terms, self.column = ids[order], dense[order], terms, column
-        starts = np.arange(0, n, BLOCK)
-        self.most = np.maximum.reduceat(self.dense, starts, axis=0) * np.float32(1 + 1e-6) if n else dense
-        self.by_term = np.argsort(term[~is_frequent], kind="stable")
-        rare_term = term[~is_frequent][self.by_term]
-        self.rare_at = np.searchsorted(rare_term, np.arange(len(terms) + 1))
-        self.rare_doc, self.rare_impact = place[doc[~is_frequent][self.by_term]], impact[~is_frequent][self.by_term]
-        del self.by_term
-        # by document, for the exact scores
-        self.doc_at = np.searchsorted(doc, np.arange(n + 1))[np.append(order, n)]
-        self.doc_end = np.searchsorted(doc, np.arange(n + 1))[1:][order] if n else order
-        self.doc_term, self.doc_impact = term, impact
+        self.ids, self.terms, self.blocks = ids[order], terms, -(-n // BLOCK)
+        by_term = np.argsort(term * max(1, n) + place[doc])
+        self.doc, self.impact = place[doc[by_term]], impact[by_term]
+        piece = term[by_term] * max(1, self.blocks) + self.doc // BLOCK
+        start = np.flatnonzero(np.append(True, np.diff(piece) != 0)[: len(piece)])
+        self.piece_at = np.append(start, len(piece))
+        self.block = self.doc[start] // BLOCK
+        self.most = np.maximum.reduceat(self.impact, start) if len(start) else self.impact
+        self.term_at = np.searchsorted(piece[start] // max(1, self.blocks), np.arange(len(terms) + 1))
 
     @staticmethod
-    def _likeness(dense: np.ndarray, groups: int = 8) -> np.ndarray:
-        if not dense.size:
-            return np.zeros(len(dense))
-        unit = dense / np.maximum(np.linalg.norm(dense, axis=1, keepdims=True), 1e-6)
-        seeds = [int(np.argmax(dense.sum(axis=1)))]
-        near = unit @ unit[seeds[0]]
-        while len(seeds) < groups:
-            seeds.append(int(np.argmin(near)))
-            near = np.maximum(near, unit @ unit[seeds[-1]])
-        return np.argmax(unit @ unit[seeds].T, axis=1)
+    def _likeness(n: int, n_terms: int, doc: np.ndarray, term: np.ndarray, impact: np.ndarray, groups: int = 8) -> np.ndarray:
+        """A group for each document, that of the most similar one of some unlike documents."""
+        if not len(doc):
+            return np.zeros(n, np.int64)
+        unit = impact / np.sqrt(np.bincount(doc, impact * impact, minlength=n))[doc]
+        begin = np.searchsorted(doc, np.arange(n + 1))
+
+        def similar(seed: int) -> np.ndarray:
+            own = slice(begin[seed], begin[seed + 1])
+            vector = np.zeros(n_terms)
+            vector[term[own]] = unit[own]
+            return np.bincount(doc, unit * vector[term], minlength=n)
+
+        similarity = [similar(int(doc[np.argmax(impact)]))]
+        while len(similarity) < groups:
+            similarity.append(similar(int(np.argmin(np.max(similarity, axis=0)))))
+        return np.argmax(similarity, axis=0)
+
+    def _added(self, total: np.ndarray, mine: np.ndarray, first: np.ndarray, size: np.ndarray, weight: np.ndarray, only: np.ndarray | None = None) -> np.ndarray:
+        """`total` of all places, with the postings of some pieces added in order; those of the places in `only`, if given."""
+        spots, weights = _ranges(first[mine], size[mine]), np.repeat(weight[mine], size[mine])
+        self.read += len(spots)
+        place = self.doc[spots]
+        if only is None:
+            return np.bincount(place, self.impact[spots] * weights, minlength=len(total))
+        use = np.flatnonzero(only[place])
+        np.add.at(total, place[use], self.impact[spots[use]] * weights[use])
+        return total
 
     def search(self, query_id, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple]:
         """(id, score) of the k best documents; terms in order."""
-        n = len(self.ids)
         at = np.minimum(np.searchsorted(self.terms, terms), max(0, len(self.terms) - 1))
         has = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
         at, weights = at[has], weights[has]
         if not len(at):
             return []
-        column = self.column[at]
-        rare, frequent = at[column < 0], column[column >= 0]
-        size = self.rare_at[rare + 1] - self.rare_at[rare]
-        spots = np.repeat(self.rare_at[rare] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        # numpy gives integers where there are no postings, which cannot hold the -inf below
-        known = np.bincount(self.rare_doc[spots], weights=self.rare_impact[spots] * np.repeat(weights[column < 0], size), minlength=n).astype(np.float64)
-        known[self.ids == query_id] = -np.inf
-        weight = weights[column >= 0].astype(np.float32)
-        starts = np.arange(0, n, BLOCK)
-        # a little more than float32 sums can be off
-        bound = np.maximum.reduceat(known, starts) + (self.most[:, frequent] @ weight if len(frequent) else 0.0)
-        slack = 1e-5 * (1 + float(np.max(bound, initial=0)))
-        bound = bound + slack
-        best, chosen, limit = np.zeros(0), np.zeros(0, np.int64), 0.0
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] < limit or bound[b] == -np.inf:
-                break
-            some = slice(b * BLOCK, min(n, (b + 1) * BLOCK))
-            score = known[some] + (self.dense[some][:, frequent] @ weight if len(frequent) else 0.0)
-            use = np.flatnonzero((score >= limit - 2 * slack) & (score > -np.inf))
-            best, chosen = np.append(best, score[use]), np.append(chosen, use + some.start)
-            if len(best) >= k:
-                limit = np.partition(best, len(best) - k)[len(best) - k] - 2 * slack
-                keep = best >= limit
-                best, chosen = best[keep], chosen[keep]
-        found = []
-        for d in chosen:
-            own = slice(self.doc_at[d], self.doc_end[d])
-            if own.start == own.stop:
-                continue
-            spot = np.searchsorted(self.doc_term[own], at)
-            spot = np.minimum(spot, self.doc_end[d] - self.doc_at[d] - 1)
-            same = self.doc_term[own][spot] == at
-            total = 0.0
-            for x in (self.doc_impact[own][spot[same]] * weights[same]).tolist():
-                total += x
-            if total > 0:
-                found.append((self.ids[d], round(total, DIGITS)))
-        return sorted(found, key=lambda x: (-x[1], x[0]))[:k]
+        order = np.lexsort((self.terms[at], -weights))
+        at, weights = at[order], weights[order]
+        size = self.term_at[at + 1] - self.term_at[at]
+        pieces, weight = _ranges(self.term_at[at], size), np.repeat(weights, size)
+        self.postings += int((self.piece_at[self.term_at[at + 1]] - self.piece_at[self.term_at[at]]).sum())
+        # by block; within a block the terms stay in order
+        block = self.block[pieces]
+        order = np.argsort(block.astype(np.uint16) if self.blocks < 1 << 16 else block, kind="stable")
+        pieces, weight, block = pieces[order], weight[order], block[order]
+        begin = np.searchsorted(block, np.arange(self.blocks + 1))
+        first, size = self.piece_at[pieces], self.piece_at[pieces + 1] - self.piece_at[pieces]
+        sums = np.append(0.0, np.cumsum(self.most[pieces] * weight))
+        bound = sums[begin[1:]] - sums[begin[:-1]]
+        slack = 1e-9 * sums[-1] + 2 * 10.0**-DIGITS  # sums are taken in different orders, and ties are those of rounded scores
+        #: what the list of a piece and those after it can add in the piece's block
+        rest = sums[begin[block + 1]] - sums[:-1]
+        visits = np.argsort(-bound, kind="stable")
+        visits = visits[: np.count_nonzero(begin[1:] > begin[:-1])]
+
+        score, found, limit, done, step = np.zeros(0), np.zeros(0, np.int64), 0.0, 0, FIRST_VISIT
+        while done < len(visits) and bound[visits[done]] >= limit:
+            now = visits[done : done + step]
+            now = now[bound[now] >= limit]
+            done, step = done + step, step * 4
+            mine = _ranges(begin[now], begin[now + 1] - begin[now])
+            total, pivot = np.zeros(self.blocks * BLOCK), None
+            for least in limit * LEADS:
+                leads = rest[mine] >= least
+                total = self._added(total, mine[leads], first, size, weight, pivot)
+                mine = mine[~leads]
+                # the first of a block's pieces that are left stands for all of them
+                left = np.zeros(self.blocks)
+                left[block[mine[::-1]]] = rest[mine[::-1]]
+                pivot = (total > 0) & (total >= np.repeat(limit - left, BLOCK))
+                mine = mine[pivot.reshape(-1, BLOCK).any(axis=1)[block[mine]]]
+                if not len(mine):
+                    break
+            place = np.flatnonzero(pivot & (total >= limit))
+            place = place[self.ids[place] != query_id]
+            score, found = np.append(score, total[place]), np.append(found, place)
+            if len(score) >= k:
+                limit = np.partition(score, len(score) - k)[len(score) - k] - slack
+                keep = score >= limit
+                score, found = score[keep], found[keep]
+        best = [(i, round(s, DIGITS)) for i, s in zip(self.ids[found].tolist(), score.tolist(), strict=True)]
+        return sorted((x for x in best if x[1] > 0), key=lambda x: (-x[1], x[0]))[:k]
 
 
 def _frequencies(rows: DataFrame) -> DataFrame:
@@ -159,7 +195,7 @@ def _frequencies(rows: DataFrame) -> DataFrame:
                 terms += [distinct, np.array([0, 1])]
                 counts += [np.bincount(term, minlength=len(distinct)), np.array([(sizes > 0).sum(), sizes.sum()])]
                 size += len(distinct)
-                if size > 8_000_000:
+                if size > COUNTED:
                     yield merged()
                     terms, counts, size = [], [], 0
         if terms:
@@ -196,7 +232,9 @@ def search(rows: DataFrame, is_query: Column, k: int = 10, key: str = "doc_id",
                 "weights": [common.pack(r["times"].to_numpy(np.int32)) for r in rows], "df": [common.pack(r["df"].to_numpy(np.int64)) for r in rows],
             })
 
-    queries = asked.mapInPandas(packed, f"query_id {kind}, terms binary, weights binary, df binary")
+    queries = common.written(asked.mapInPandas(packed, f"query_id {kind}, terms binary, weights binary, df binary"), "queries")
+    parts = max(1, -(-queries.count() // QUERIES))
+    queries = queries.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int"))
     queries = queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
 
     def indexed(batches):
@@ -217,6 +255,7 @@ def search(rows: DataFrame, is_query: Column, k: int = 10, key: str = "doc_id",
                 )
 
     runs = rows.mapInArrow(indexed, f"shard int, run long, ids array<{kind}>, sizes binary, terms binary, per_doc binary, term binary, count binary")
+    runs = runs.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
 
     def found(index: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         hits = []
@@ -235,6 +274,6 @@ def search(rows: DataFrame, is_query: Column, k: int = 10, key: str = "doc_id",
                 hits += [(query.query_id, i, s) for i, s in shard.search(query.query_id, common.sums(query.terms), weights, k)]
         return pd.DataFrame(hits, columns=["query_id", "doc_id", "score"])
 
-    lists = runs.groupBy("shard").cogroup(queries.groupBy("shard")).applyInPandas(found, f"query_id {kind}, doc_id {kind}, score double")
+    lists = runs.groupBy("shard", "part").cogroup(queries.groupBy("shard", "part")).applyInPandas(found, f"query_id {kind}, doc_id {kind}, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
     return lists.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")

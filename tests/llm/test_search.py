@@ -100,3 +100,29 @@ def test_neighbours_awkward_vectors(spark):
     got = sorted(tuple(r) for r in neighbours.search(frame, F.lit(True), 3).collect())
     assert [x[:3] for x in got] == [x[:3] for x in expected]
     assert neighbours.search(frame.limit(0), F.lit(True)).collect() == []
+
+
+@pytest.mark.parametrize(("groups", "most"), [(6000, 1.0), (400, 0.5)])
+def test_bm25_skips_postings(groups, most):
+    """Texts of three topics, each drawn from one of `groups` texts with a few words changed; alike texts leave much to skip."""
+    rng = np.random.default_rng(5)
+    n = 6000
+    drafts = [np.concatenate([rng.integers(0, 100, 20), 100 + 250 * (i % 3) + rng.zipf(1.3, 20) % 250]) for i in range(groups)]
+    texts = [np.where(rng.random(40) < 0.1, rng.integers(0, 850, 40), drafts[i % groups]) for i in range(n)]
+    sizes = np.array([len(x) for x in texts])
+    terms, doc, term, count = topk_search._counted(np.concatenate(texts) + 2, sizes)
+    shard = topk_search.Shard(np.arange(n), sizes, terms, doc, term, count, float(sizes.mean()))
+    idf = topk_search.inverse_frequency(n, np.bincount(term, minlength=len(terms)))
+    impact = count * (topk_search.K1 + 1) / (count + topk_search.K1)
+    for query in range(0, n, 300):
+        own = np.unique(texts[query] + 2)
+        at = np.searchsorted(terms, own)
+        weight = np.zeros(len(terms))
+        weight[at] = idf[at]
+        score = np.bincount(doc, impact * weight[term], minlength=n)
+        score[query] = 0
+        expected = sorted((-round(s, 6), i) for i, s in enumerate(score.tolist()))[:10]
+        got = shard.search(query, own, idf[at], 10)
+        assert [i for i, _ in got] == [i for _, i in expected]
+        assert np.allclose([s for _, s in got], [-s for s, _ in expected], atol=2e-6)
+    assert shard.read < most * shard.postings
