@@ -3,7 +3,7 @@
 Terms are lower-cased words between ASCII white space, compared by 63 hash bits. Document frequencies, the number of documents
 and their mean length are global, so every shard scores alike and the merge of the shards' lists is exact.
 
-A shard orders its documents by likeness and length, and cuts the range of their places into blocks. Each term has one posting list, in that
+A shard orders its documents by likeness, near copies together, and cuts the range of their places into blocks. Each term has one posting list, in that
 order; it is cut at the same block ends, and each piece keeps its largest impact. A search never reads a piece before it must:
 
 - A block's bound is the sum of the weighted largest impacts of the pieces in it. Blocks are visited in falling order of their bounds, some at
@@ -80,7 +80,7 @@ class Shard:
         n = len(ids)
         self.postings = self.read = 0
         impact = count * (K1 + 1) / (count + K1 * (1 - B + B * lengths[doc] / mean_length))
-        order = np.lexsort((lengths, self._likeness(n, len(terms), doc, term, impact)))
+        order = np.lexsort((lengths, self._sign(n, terms, doc, term), self._likeness(n, len(terms), doc, term, impact)))
         place = np.empty(n, np.int64)
         place[order] = np.arange(n)
         self.ids, self.terms, self.blocks = ids[order], terms, -(-n // BLOCK)
@@ -93,6 +93,15 @@ class Shard:
         self.most = np.maximum.reduceat(self.impact, start) if len(start) else self.impact
         self.term_at = np.searchsorted(piece[start] // max(1, self.blocks), np.arange(len(terms) + 1))
 
+    @staticmethod
+    def _sign(n: int, terms: np.ndarray, doc: np.ndarray, term: np.ndarray) -> np.ndarray:
+        """The least of each document's mixed terms, which near copies mostly share."""
+        sign = np.zeros(n, np.uint64)
+        start = np.flatnonzero(np.append(True, np.diff(doc) != 0)[: len(doc)])
+        if len(start):
+            sign[doc[start]] = np.minimum.reduceat(common.mixed(terms.astype(np.uint64))[term], start)
+        return sign
+
     @staticmethod
     def _likeness(n: int, n_terms: int, doc: np.ndarray, term: np.ndarray, impact: np.ndarray, groups: int = 8) -> np.ndarray:
         """A group for each document, that of the most similar one of some unlike documents."""
