@@ -2,7 +2,9 @@
 
 A text is the sequence of its `SHINGLE`-word shingles (lower-cased words between white space), each labelled with how often it
 occurred before in the text. For each of `SKETCHES` hash functions the `MINIMA` smallest labelled shingles, in
-text order, form one key, so texts meet in a bucket if they share shingles in the same order. Candidates are
+text order, form one key, so texts meet in a bucket if they share shingles in the same order. A second sketch estimates how alike two texts of
+a bucket are: the least hash in each of `BINS` bins of one hash function (one permutation hashing). Pairs whose share of equal bins is
+`DEVIATIONS` standard deviations or more below `SIMILARITY` are left; the deviation follows from the number of bins that either text fills. All others are candidates,
 verified by alignment: common labelled shingles in the same order within a band of offsets, as a longest increasing
 run, over all labelled shingles of both; `SIMILARITY` or more links two texts. Links make classes.
 
@@ -34,7 +36,8 @@ from clickweave.llm import common
 SHINGLE = 5
 SKETCHES, MINIMA = 16, 3
 SIMILARITY = 0.8
-ALIKE = 0.5  # least share of equal minima for a pair to be verified
+BINS = 128
+DEVIATIONS = 3.0
 BLOCK = 2048
 SLICE = 500  # texts handled at once
 BYTES = 1 << 19  # of word hashes in the pairs verified at once
@@ -69,9 +72,9 @@ def shingles(words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def sketches(labelled: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each text (with at least one shingle) its keys, and its minima as 32-bit values."""
+    """For each text (with at least one shingle) its keys, and 16 bits of the least hash in each bin, 0 in empty ones."""
     start = np.cumsum(n) - n
-    keys, minima = np.zeros((len(n), SKETCHES), np.uint64), np.zeros((len(n), SKETCHES, MINIMA), np.uint32)
+    keys = np.zeros((len(n), SKETCHES), np.uint64)
     most = np.uint64(2**64 - 1)
     for k, factor in enumerate(_FACTORS):
         value = labelled * factor
@@ -82,7 +85,6 @@ def sketches(labelled: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarra
             hits = np.flatnonzero((value == np.repeat(least, n)) & (value != most))
             place = np.append(hits, len(labelled))[np.searchsorted(hits, start)]
             place = np.where(place < start + n, place, len(labelled))
-            minima[:, k, j] = np.where(place < len(labelled), least >> np.uint64(32), 0)
             value[hits] = most
             places[:, j] = place
         places.sort(axis=1)
@@ -91,7 +93,18 @@ def sketches(labelled: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarra
         for j in range(MINIMA):
             key = common.mixed(key * np.uint64(0x9E3779B97F4A7C15) + chosen[places[:, j]])
         keys[:, k] = key
-    return keys, minima
+    return keys, _bins(labelled, n)
+
+
+def _bins(labelled: np.ndarray, n: np.ndarray) -> np.ndarray:
+    value = common.mixed(labelled + np.uint64(0x9E3779B97F4A7C15))
+    slot = np.repeat(np.arange(len(n), dtype=np.uint64), n) * np.uint64(BINS) + value % np.uint64(BINS)
+    # slot and hash in one number, so one sort finds each slot's least hash
+    both = np.sort(slot << np.uint64(36) | value >> np.uint64(28))
+    first = np.flatnonzero(np.append(True, np.diff(both >> np.uint64(36)) != 0)[: len(both)])
+    bins = np.zeros(len(n) * BINS, np.uint16)
+    bins[(both[first] >> np.uint64(36)).astype(np.int64)] = np.maximum(both[first] & np.uint64(0xFFFF), np.uint64(1)).astype(np.uint16)
+    return bins.reshape(len(n), BINS)
 
 
 def similarities(a: np.ndarray, size_a: np.ndarray, b: np.ndarray, size_b: np.ndarray, least: float = SIMILARITY) -> np.ndarray:
@@ -169,7 +182,7 @@ def numbered(rows: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _sketched(texts: DataFrame) -> DataFrame:
-    """Each text with words as its digest, its shingles' number, keys and minima."""
+    """Each text with words as its digest, its shingles' number, keys and bins."""
 
     def made(batches):
         for batch in batches:
@@ -177,13 +190,13 @@ def _sketched(texts: DataFrame) -> DataFrame:
                 words, sizes = word_hashes(batch.column(0).slice(at, SLICE))
                 sizes = sizes[sizes > 0]
                 labelled, n = shingles(words, sizes)
-                keys, minima = sketches(labelled, n) if len(n) else (np.zeros((0, SKETCHES), np.uint64), np.zeros((0, SKETCHES, MINIMA), np.uint32))
+                keys, bins = sketches(labelled, n) if len(n) else (np.zeros((0, SKETCHES), np.uint64), np.zeros((0, BINS), np.uint16))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(_digests(words, sizes), pa.binary()), pa.array(n.astype(np.int64)), pa.array(list(keys.view(np.int64)), pa.list_(pa.int64())), pa.array([x.tobytes() for x in minima], pa.binary())],
-                    ["key", "n", "bands", "minima"],
+                    [pa.array(_digests(words, sizes), pa.binary()), pa.array(n.astype(np.int64)), pa.array(list(keys.view(np.int64)), pa.list_(pa.int64())), pa.array([x.tobytes() for x in bins], pa.binary())],
+                    ["key", "n", "bands", "bins"],
                 )
 
-    return texts.mapInArrow(made, "key binary, n long, bands array<long>, minima binary")
+    return texts.mapInArrow(made, "key binary, n long, bands array<long>, bins binary")
 
 
 def _streams(texts: DataFrame) -> DataFrame:
@@ -213,13 +226,11 @@ def _labelled(packed: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     return value[(np.cumsum(n) - n)[code][owner] + place], n[code]
 
 
-def alike(x: np.ndarray, others: np.ndarray) -> np.ndarray:
-    """The share of the minima of one text that each other one has under the same hash function."""
-    same = np.zeros(len(others), dtype=np.int32)
-    for j in range(MINIMA):
-        for i in range(MINIMA):
-            same += ((others[:, :, j] == x[:, i]) & (x[:, i] > 0)).sum(axis=1)
-    return same / max(1, int((x > 0).sum()))
+def alike(x: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The share of the bins which one text or the other fills that are equal, for each other one, and whether the pair is a candidate."""
+    filled = np.count_nonzero((others > 0) | (x > 0), axis=1)
+    share = np.count_nonzero((others == x) & (x > 0), axis=1) / np.maximum(filled, 1)
+    return share, share >= SIMILARITY - DEVIATIONS * np.sqrt(SIMILARITY * (1 - SIMILARITY) / np.maximum(filled, 1))
 
 
 def _near(size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
@@ -262,12 +273,12 @@ def _proposals(texts: DataFrame, members: DataFrame, labels: DataFrame, tested:
     failed = tested.filter("NOT linked").select("a", "b")
     failed = failed.union(failed.select("b", "a")).groupBy("a").agg(F.collect_set("b").alias("failed")).withColumnRenamed("a", "key")
     rows = (
-        now.join(open_bands.select("band", "members"), "band").join(texts.select("key", "n", "minima"), "key").join(failed, "key", "left")
+        now.join(open_bands.select("band", "members"), "band").join(texts.select("key", "n", "bins"), "key").join(failed, "key", "left")
         .withColumn("blocks", F.ceil(F.col("members") / BLOCK)).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")))
     )
     # a bucket's blocks meet in pairs, a block with itself included
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    rows = rows.select("band", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "key", "component", "n", "minima", "failed")
+    rows = rows.select("band", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "key", "component", "n", "bins", "failed")
 
     # many small buckets share a call; a call gets about `ROWS` rows
     slots = max(1, members.count() // ROWS)
@@ -277,7 +288,7 @@ def _proposals(texts: DataFrame, members: DataFrame, labels: DataFrame, tested:
         order = np.lexsort((slot["high"], slot["low"], slot["band"]))
         slot = slot.iloc[order]
         cuts = np.flatnonzero(np.any([np.diff(slot[x].to_numpy()) != 0 for x in ("band", "low", "high")], axis=0)) + 1
-        minima = np.frombuffer(b"".join(slot["minima"]), dtype=np.uint32).reshape(len(slot), SKETCHES, MINIMA)
+        bins = np.frombuffer(b"".join(slot["bins"]), dtype=np.uint16).reshape(len(slot), BINS)
         component, keys, size = pd.factorize(slot["component"])[0], slot["key"].to_numpy(), slot["n"].to_numpy()
         block, across, failed = slot["block"].to_numpy(), (slot["low"] != slot["high"]).to_numpy(), slot["failed"].to_numpy()
         found = []
@@ -289,9 +300,9 @@ def _proposals(texts: DataFrame, members: DataFrame, labels: DataFrame, tested:
                 others = i + 1 + np.flatnonzero(open_)
                 if not len(others):
                     continue
-                share = alike(minima[i], minima[others])
+                share, able = alike(bins[i], bins[others])
                 known = set(failed[i]) if failed[i] is not None else ()
-                best = [j for j in others[np.argsort(-share, kind="stable")][: int((share >= ALIKE).sum())] if keys[j] not in known][:most]
+                best = [j for j in others[able][np.argsort(-share[able], kind="stable")] if keys[j] not in known][:most]
                 found += [(min(keys[i], keys[j]), max(keys[i], keys[j])) for j in best]
         return pd.DataFrame(found, columns=["a", "b"])
 
@@ -300,17 +311,18 @@ def _proposals(texts: DataFrame, members: DataFrame, labels: DataFrame, tested:
 
 def classes(rows: DataFrame) -> DataFrame:
     """key and component for those of the texts (one column) that are linked to another one."""
-    texts = common.written(_sketched(rows).groupBy("key").agg(F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("minima").alias("minima")), "sketches")
+    texts = common.written(_sketched(rows).groupBy("key").agg(F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("bins").alias("bins")), "sketches")
     exploded = texts.select("key", "n", F.explode("bands").alias("band"))
     shared = exploded.groupBy("band").agg(F.count("*").alias("members"), F.min(F.struct("n", "key")).alias("least")).filter("members > 1")
     members = common.written(exploded.join(shared, "band").select("band", "key", "n", F.col("least.key").alias("least"), F.col("least.n").alias("least_n")), "buckets")
     pairs = members.filter("key <> least AND least_n >= n * " + str(SIMILARITY)).select(F.col("key").alias("a"), F.col("least").alias("b")).distinct()
-    side = texts.select("key", "minima")
-    pairs = pairs.join(side.select(F.col("key").alias("a"), F.col("minima").alias("left")), "a").join(side.select(F.col("key").alias("b"), F.col("minima").alias("right")), "b")
+    side = texts.select("key", "bins")
+    pairs = pairs.join(side.select(F.col("key").alias("a"), F.col("bins").alias("left")), "a").join(side.select(F.col("key").alias("b"), F.col("bins").alias("right")), "b")
 
     def look_alike(batches):
         for batch in batches:
-            yield batch.loc[[_share(*pair) >= ALIKE for pair in zip(batch["left"], batch["right"], strict=True)], ["a", "b"]]
+            able = [_candidates(*pair) for pair in zip(batch["left"], batch["right"], strict=True)]
+            yield batch.loc[np.array(able, dtype=bool), ["a", "b"]]
 
     pairs = common.written(pairs.mapInPandas(look_alike, "a binary, b binary"), "pairs")
     streams = common.written(_streams(rows).join(members.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"]), "streams")
@@ -324,9 +336,9 @@ def classes(rows: DataFrame) -> DataFrame:
         tested = tested.union(common.written(_verified(pairs, streams), "tested"))
 
 
-def _share(left: bytes, right: bytes) -> float:
-    left, right = (np.frombuffer(x, np.uint32).reshape(SKETCHES, MINIMA) for x in (left, right))
-    return float(alike(left, right[None])[0])
+def _candidates(left: bytes, right: bytes) -> bool:
+    left, right = np.frombuffer(left, np.uint16), np.frombuffer(right, np.uint16)
+    return bool(alike(left, right[None])[1][0])
 
 
 def deduplicate(rows: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
