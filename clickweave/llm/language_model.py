@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from clickweave.llm import common
 
-BLOCK_CHARS = 32_000_000
+BLOCK_CHARS = 8_000_000
 SHARD_CHARS = 16_000_000
 HOT_SHARE = 1e-3
 HOT_ROWS = 500
@@ -204,18 +204,19 @@ class Block:
         self.pair_shard = ((mix(self.context) + salt) % np.uint64(shards)).astype(np.int64)
         self.pair_order = np.lexsort((self.follower, self.context, self.pair_shard))
 
-    def requests(self, shards: int) -> pd.DataFrame:
+    def requests(self) -> pd.DataFrame:
         rows = []
         word_shard, pair_shard = self.word_shard[self.word_order], self.pair_shard[self.pair_order]
-        word_at, pair_at = (np.searchsorted(x, np.arange(shards + 1)) for x in (word_shard, pair_shard))
-        for s in range(shards):
-            w, p = self.word_order[word_at[s] : word_at[s + 1]], self.pair_order[pair_at[s] : pair_at[s + 1]]
-            if len(w) or len(p):
-                context = self.context[p]
-                rows.append((
-                    s, self.number, common.steps(self.known[w]), common.pack(self.word_count[w].astype(np.int64)),
-                    common.steps(context), common.pack(self.follower[p]), common.pack(self.pair_count[p].astype(np.int64)),
-                ))
+        # only the shards that the run needs: there may be far more
+        needed = np.union1d(word_shard, pair_shard)
+        cuts = [np.searchsorted(x, needed, side) for x in (word_shard, pair_shard) for side in ("left", "right")]
+        for s, word_at, word_end, pair_at, pair_end in zip(needed.tolist(), *cuts, strict=True):
+            w, p = self.word_order[word_at:word_end], self.pair_order[pair_at:pair_end]
+            context = self.context[p]
+            rows.append((
+                s, self.number, common.steps(self.known[w]), common.pack(self.word_count[w].astype(np.int64)),
+                common.steps(context), common.pack(self.follower[p]), common.pack(self.pair_count[p].astype(np.int64)),
+            ))
         return pd.DataFrame(rows, columns=["shard", "block", "words", "word_counts", "contexts", "followers", "pair_counts"])
 
 
@@ -336,7 +337,7 @@ def score(rows: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
 
     def asked(batches):
         for number, _, held, sizes, known, stream in _runs(batches, chars):
-            yield pa.RecordBatch.from_pandas(Block(number, held, sizes, known, stream, shards, hot).requests(shards), preserve_index=False)
+            yield pa.RecordBatch.from_pandas(Block(number, held, sizes, known, stream, shards, hot).requests(), preserve_index=False)
 
     requests = rows.mapInArrow(asked, "shard long, block long, words binary, word_counts binary, contexts binary, followers binary, pair_counts binary")
     shape = "shard long, block long, word_counts binary, codes binary, followers binary, distinct long, tokens long, hot array<long>"
