@@ -4,10 +4,14 @@ A document of `CONTEXT` or more tokens fills whole windows first; what is left,
 smallest tier that holds it. Tiers are packed from the longest to the shortest: a window opens with one document of
 its tier, its gap takes the largest shorter ones that fit whole, and the last one is cut to fill it
 exactly. So every window is as long as its tier, a power of two, and needs no padding. What a task has left at its end is cut
-into windows of falling powers of two. Windows go, in order, to step groups of `STEP` tokens each.
+into windows of falling powers of two.
 
-Each task packs its own rows batch by batch, and keeps only an unfilled window between batches. Sequence and step numbers
-hold the task's number, so they are unique without a shuffle.
+Windows are dealt to step groups of at most `STEP` tokens, `SPREAD` groups or more at a time (fewer at a task's end): the longest first, each to the
+group with the fewest tokens, then the least cost (the square of the length). So groups that are dealt together differ by one window in
+tokens at most, and by one in the number of their longest windows. No group exceeds `STEP`, as lengths are powers of two.
+
+Each task packs its own rows batch by batch, and keeps only an unfilled window and the list of undealt windows between batches. Sequence and
+step numbers hold the task's number, so they are unique without a shuffle.
 
 Defined cases: null texts count as empty and give one piece, the end token. Repeated rows and ids are packed each.
 """
@@ -15,7 +19,7 @@ Defined cases: null texts count as empty and give one piece, the end token. Repe
 from __future__ import annotations
 
 import bisect
-import itertools
+import heapq
 import os
 import zlib
 
@@ -32,6 +36,7 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 CONTEXT = 4096
 TIERS = (512, 1024, 2048, 4096)
 STEP = 8 * CONTEXT
+SPREAD = 32
 END = 2
 MOST_KEPT = 1_000_000
 #: Words whose ids depend on their lower-cased letters alone, but for marks at their end.
@@ -112,11 +117,12 @@ class Encoder:
 
 
 class Packer:
-    """Packs pieces (document, start, ids); `rows` are the finished windows' pieces."""
+    """Packs pieces (document, start, ids); `rows` are the finished windows' pieces, still without a step group."""
 
-    def __init__(self, task: int = 0, tiers: tuple[int, ...] = TIERS, step: int = STEP):
-        self.base, self.tiers, self.step = task << 36, tiers, step
-        self.windows = self.tokens = 0
+    def __init__(self, task: int = 0, tiers: tuple[int, ...] = TIERS, step: int = STEP, spread: int = SPREAD):
+        self.base, self.tiers, self.step, self.spread = task << 36, tiers, step, spread
+        self.windows = self.steps = self.tokens = 0  # windows and groups so far, tokens in windows not yet dealt
+        self.undealt: list[tuple[int, int]] = []  # length and number of each window
         self.pool: list[tuple[int, int]] = []  # length and number of each piece, sorted
         self.pieces: dict[int, tuple] = {}
         self.number = self.held = 0  # pieces so far, tokens in the pool
@@ -145,8 +151,9 @@ class Packer:
         offset = 0
         for (document, total), start, ids in pieces:
             ids = np.ascontiguousarray(ids, dtype="<u4")
-            self.rows.append((document, start, len(ids), zlib.crc32(ids), total, self.base + self.windows, offset, size, self.base + self.tokens // self.step))
+            self.rows.append((document, start, len(ids), zlib.crc32(ids), total, self.base + self.windows, offset, size))
             offset += len(ids)
+        self.undealt.append((size, self.base + self.windows))
         self.windows += 1
         self.tokens += size
 
@@ -190,6 +197,21 @@ class Packer:
                     gap -= len(pieces[-1][2])
                 self._window(pieces, size)
 
+    def dealt(self, last: bool = False) -> list[tuple]:
+        """The finished rows, each with its window's step group; none as long as there is too little to balance."""
+        if not self.undealt or not last and self.tokens < self.spread * self.step:
+            return []
+        groups = [(0, 0, self.base + self.steps + i) for i in range(-(-self.tokens // self.step))]
+        self.steps += len(groups)
+        group_of = {}
+        for size, window in sorted(self.undealt, key=lambda x: (-x[0], x[1])):
+            tokens, cost, group = groups[0]
+            heapq.heapreplace(groups, (tokens + size, cost + size * size, group))
+            group_of[window] = group
+        rows = [(*row, group_of[row[5]]) for row in self.rows]
+        self.rows, self.undealt, self.tokens = [], [], 0
+        return rows
+
 
 FIELDS = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "context", "step_group")
 
@@ -201,9 +223,8 @@ def pack(rows: DataFrame, path: str = TOKENIZER, key: str = "doc_id", text: str
     def packed(batches):
         encoder, packer = Encoder(path), Packer(TaskContext.get().partitionId())
 
-        def finished():
-            found = list(zip(*packer.rows, strict=True)) or [()] * len(FIELDS)
-            packer.rows = []
+        def finished(last: bool = False):
+            found = list(zip(*packer.dealt(last), strict=True)) or [()] * len(FIELDS)
             return pa.RecordBatch.from_arrays([pa.array(x, pa_kind if name == "doc_id" else pa.int64()) for x, name in zip(found, FIELDS, strict=True)], FIELDS)
 
         pa_kind = None
@@ -218,7 +239,7 @@ def pack(rows: DataFrame, path: str = TOKENIZER, key: str = "doc_id", text: str
                 yield finished()
         if pa_kind is not None:
             packer.close()
-            yield finished()
+            yield finished(last=True)
 
     longs = ", ".join(f"{name} long" for name in FIELDS[1:])
     return rows.mapInArrow(packed, f"doc_id {common.kind(rows, 'doc_id')}, {longs}")

@@ -50,7 +50,8 @@ def check(frame):
     by_step = collections.Counter()
     for p in pieces:
         by_step[p.step_group] += p.length
-    assert all(n <= packing.STEP + packing.CONTEXT for n in by_step.values())
+    assert all(n <= packing.STEP for n in by_step.values())
+    assert len({(p.sequence_id, p.step_group) for p in pieces}) == len(sequences)
 
 
 def test_packing(documents):
@@ -80,6 +81,42 @@ def test_packer_with_any_lengths():
             assert sum(n for _, n in by_doc[i]) == length
 
 
+def test_step_groups_are_balanced():
+    rng = np.random.default_rng(9)
+    packer, deals = packing.Packer(task=3, spread=5), []
+    for i, length in enumerate((2 ** rng.uniform(0, 14, 900)).astype(int).tolist()):
+        packer.add(i, np.arange(length, dtype=np.uint32))
+        if i % 40 == 0:
+            packer.pack()
+            deals.append(packer.dealt())
+    packer.close()
+    deals.append(packer.dealt(last=True))
+    deals = [rows for rows in deals if rows]
+    assert len(deals) > 3 and not packer.rows and not packer.dealt(last=True)
+    seen = set()
+    for nth, rows in enumerate(deals, 1):
+        windows = {row[5]: (row[7], row[8]) for row in rows}
+        groups = collections.defaultdict(list)
+        for size, group in windows.values():
+            groups[group].append(size)
+        assert not seen & set(groups)
+        seen |= set(groups)
+        total, most = sum(map(sum, groups.values())), max(map(max, groups.values()))
+        assert max(map(sum, groups.values())) <= packing.STEP and len(groups) == -(-total // packing.STEP)
+        assert max(map(sum, groups.values())) - min(map(sum, groups.values())) <= most
+        longest = [own.count(most) for own in groups.values()]
+        assert max(longest) - min(longest) <= 1
+        # cut in order of emission, groups differ by far more in cost than when dealt
+        cost = lambda sizes: sum(x * x for x in sizes)
+        ends = np.cumsum([size for _, (size, _) in sorted(windows.items())])
+        emitted = collections.defaultdict(list)
+        for end, (size, _) in zip(ends.tolist(), (windows[x] for x in sorted(windows)), strict=True):
+            emitted[(end - 1) // packing.STEP].append(size)
+        if nth < len(deals):
+            assert max(map(cost, groups.values())) / min(map(cost, groups.values())) <= max(map(cost, emitted.values())) / min(map(cost, emitted.values()))
+    assert seen == {(3 << 36) + i for i in range(len(seen))}
+
+
 def ways(word, known, model):
     """Every segmentation of a word with its log weight."""
     found = {}
