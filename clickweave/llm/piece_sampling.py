@@ -9,8 +9,9 @@ leaves the path's unchosen edges as new nodes, with Gumbels truncated at the tak
 inclusion score is the probability that its perturbed log probability exceeds the (k+1)-th: 1 - exp(-exp(log_prob - threshold)).
 
 No piece spans the end of a word, so a text's lattice is a chain of its words' lattices, and equal words share theirs.
-Random numbers are hashes of the row key, the sample and the place, so they don't depend on partitions. Unchosen edges behind a
-prefix of log probability below -`DEEP` are not kept: one of them would be sampled once in e^`DEEP` times.
+Random numbers are hashes of the row key, the sample and the place, so they don't depend on partitions. No edge's Gumbel is more than
+`REACH` above its log probability, the random numbers being what they are. So unchosen edges behind a prefix of log probability below -`DEEP` are
+only drawn for texts where one of them could still be among the samples or set the threshold; all others are drawn in any case.
 
 Encoding puts one blank before the text, as the model does; decoding drops it. Both keep every character, but for U+2581, which
 stands for a blank.
@@ -38,6 +39,7 @@ from clickweave.llm import common
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SAMPLES = 2
 DEEP = 40
+REACH = 37  # the largest number of `_uniform` is 1 - 2**-53, whose Gumbel is 36.74
 BLANK = "▁"
 DIGITS = 6  # of the scores returned, as the last ones depend on what texts share a batch
 _RUN = re.compile(f"{BLANK}+[^{BLANK}]*")
@@ -249,28 +251,35 @@ def sample(texts: list[str], seeds: np.ndarray, known: Vocabulary, k: int = SAMP
         paths.append((path, begin))
         logs.append(total)
         # unchosen edges of the new part become nodes
-        near_start = np.flatnonzero(before > -DEEP)
-        number = near_start - begin[owner[near_start]]
-        degree = np.diff(lattice.first)[lattice.source[path.edge[near_start]]]
-        after = np.where(np.array([x[1] if x else -1 for x in taken]) >= 0, node, -1)[owner[near_start]]
-        keep = (degree > 1) & (number > after) & alive[owner[near_start]]
-        open_, number, degree = near_start[keep], number[keep], degree[keep]
-        first_edge = lattice.first[lattice.source[path.edge[open_]]]
-        which, number = np.repeat(open_, degree), np.repeat(number, degree)
-        edges = np.repeat(first_edge - (np.cumsum(degree) - degree), degree) + np.arange(degree.sum())
-        other = edges != path.edge[which]
-        which, edges, number, nth_edge = which[other], edges[other], number[other], (edges - np.repeat(first_edge, degree))[other]
-        mass = before[which] + lattice.log[edges]
-        limit = value[owner[which]]
-        u = _uniform(seeds[owner[which]], turn + 1, number, nth_edge, 7)
-        g = mass - np.log(np.exp(np.minimum(mass - limit, 700)) - np.log(u))
-        text = owner[which]
-        high = g > value[text] - 12  # sort only those, where they are enough
-        use = np.flatnonzero(high | (np.bincount(text[high], minlength=n) <= k)[text])
-        best = use[np.lexsort((-g[use], text[use]))]
-        nth = np.arange(len(best)) - np.searchsorted(text[best], text[best])
-        for i in best[nth <= k].tolist():
-            heapq.heappush(queues[text[i]], (-g[i], turn, int(number[i]), int(edges[i]), float(mass[i])))
+        after = np.where(np.array([x[1] if x else -1 for x in taken]) >= 0, node, -1)
+
+        def opened(spots):
+            number = spots - begin[owner[spots]]
+            degree = np.diff(lattice.first)[lattice.source[path.edge[spots]]]
+            keep = (degree > 1) & (number > after[owner[spots]]) & alive[owner[spots]]
+            spots, number, degree = spots[keep], number[keep], degree[keep]
+            first_edge = lattice.first[lattice.source[path.edge[spots]]]
+            which, number = np.repeat(spots, degree), np.repeat(number, degree)
+            edges = np.repeat(first_edge - (np.cumsum(degree) - degree), degree) + np.arange(degree.sum())
+            other = edges != path.edge[which]
+            which, edges, number, nth_edge = which[other], edges[other], number[other], (edges - np.repeat(first_edge, degree))[other]
+            mass = before[which] + lattice.log[edges]
+            limit = value[owner[which]]
+            u = _uniform(seeds[owner[which]], turn + 1, number, nth_edge, 7)
+            g = mass - np.log(np.exp(np.minimum(mass - limit, 700)) - np.log(u))
+            text = owner[which]
+            high = g > value[text] - 12  # sort only those, where they are enough
+            use = np.flatnonzero(high | (np.bincount(text[high], minlength=n) <= k)[text])
+            best = use[np.lexsort((-g[use], text[use]))]
+            nth = np.arange(len(best)) - np.searchsorted(text[best], text[best])
+            for i in best[nth <= k].tolist():
+                heapq.heappush(queues[text[i]], (-g[i], turn, int(number[i]), int(edges[i]), float(mass[i])))
+
+        opened(np.flatnonzero(before > -DEEP))
+        # `k - turn` nodes are still to be taken; those that cannot be among them are left
+        deep = before <= -DEEP
+        least = np.array([-heapq.nsmallest(k - turn, own)[-1][0] if len(own) >= k - turn else -np.inf for own in queues])
+        opened(np.flatnonzero(deep & (before + REACH > least[owner])))
         for t in range(n):
             if taken[t] is not None:
                 found[t].append((turn, taken[t][3]))
@@ -309,8 +318,8 @@ def segmentations(rows: DataFrame, k: int = SAMPLES, path: str = MODEL, key: str
     def sampled(batches):
         known = vocabulary(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 4000):
-                some = batch.slice(at, 4000)
+            for at in range(0, batch.num_rows, 1000):
+                some = batch.slice(at, 1000)
                 texts = [x or "" for x in some.column("text").to_pylist()]
                 seeds = some.column("seed").to_numpy().view(np.uint64)
                 full = [i for i, x in enumerate(texts) if x]
@@ -327,7 +336,8 @@ def segmentations(rows: DataFrame, k: int = SAMPLES, path: str = MODEL, key: str
                     pa.array([decode(x, known) == plain[i] for i, x in zip(owner, ids, strict=True)]),
                 ]
                 if with_ids:
-                    arrays.append(pa.array(list(ids), pa.list_(pa.int32())))
+                    ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+                    arrays.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids).astype(np.int32))))
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
     shape = f"doc_id {kind}, sample int, n_pieces long, ids_crc32 long, log_prob double, perturbed double, inclusion double, decodes boolean"

@@ -11,7 +11,7 @@ import zlib
 import numpy as np
 import pytest
 
-from clickweave.llm import packing, piece_sampling, url_filter
+from clickweave.llm import packing, piece_sampling, queries, url_filter
 
 ODD = ["", "<|endoftext|>a b", "É ß ﬁ\u00a0x  y\x1cz 12,3 don't I'll Ünḯ '' <|x", "\n\n", "a\u0301 \u0301b", "ΑΣ. Σ", "x" * 3000, "🙂 日本語。。"]
 
@@ -176,6 +176,29 @@ def test_round_trip_and_repeatability(documents):
         assert 0 <= r.inclusion <= 1 and (r.inclusion > 0 or r.log_prob < -700)
 
 
+def test_edges_behind_unlikely_prefixes_are_drawn_where_they_matter(monkeypatch):
+    known = piece_sampling.vocabulary(piece_sampling.MODEL)
+    texts = ["unlikely prefixes of a longer text, 日本語 and more", "ab", "a b c d e f g h"] * 300
+    seeds = np.random.default_rng(4).integers(0, 2**63, len(texts)).astype(np.uint64)
+    found = []
+    for deep in (1e9, 40, 3, 0.01):
+        monkeypatch.setattr(piece_sampling, "DEEP", deep)
+        found.append([[(row[0].tolist(), *row[1:]) for row in own] for own in piece_sampling.sample(texts, seeds, known, 3)])
+    assert all(own == found[0] for own in found)
+
+
+def test_the_query_returns_the_segmentations(spark, tmp_path):
+    texts = {1: "some words and 日本語 Ḃ", 2: "", 3: "  more  words "}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    known = piece_sampling.vocabulary(piece_sampling.MODEL)
+    rows = queries.op3_piece_sampling(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in rows} == set(texts)
+    for r in rows:
+        ids = np.array(r.ids, dtype=np.uint32)
+        assert piece_sampling.decode(ids, known).decode() == texts[r.doc_id]
+        assert (r.n_pieces, r.ids_crc32) == (len(ids), zlib.crc32(ids))
+
+
 def test_pieces_awkward_rows(awkward, empty):
     rows = piece_sampling.segmentations(awkward).collect()
     assert {r.doc_id for r in rows} == {r.doc_id for r in awkward.collect()}
