@@ -305,3 +305,28 @@ def test_folds(spark):
     rows = spark.range(50).select("id", common.fold("id", 7).alias("fold")).collect()
     assert all(r.fold == zlib.crc32(str(r.id).encode()) % 7 for r in rows)
     assert spark.range(1).select(common.fold(F.lit(None).cast("long"), 7)).first()[0] == 0
+
+
+def test_secrets_are_learned_from_all_rows(spark, monkeypatch, collected):
+    found, real = [], secret_scan.calibrate
+    monkeypatch.setattr(secret_scan, "calibrate", lambda model, logit, secret, n, share: found.append((secret, n, share)) or real(model, logit, secret, n, share))
+    text = F.concat(F.lit("number "), F.sha2(F.col("id").cast("string"), 256).substr(1, 12), F.lit("Zq see "), F.col("id"))
+    secret = F.concat(F.lit(" password="), F.upper(F.sha2(F.col("id").cast("string"), 512)))
+    rows = spark.range(9000).select(F.when(F.col("id") % 10 == 7, F.concat(text, secret)).otherwise(text).alias("text"))
+    monkeypatch.setattr(secret_scan, "PART", 6000)
+    models = [secret_scan.fit(x) for x in (rows, rows.repartition(7))]
+    assert not collected  # nothing but counts and states reaches the driver
+    (own, n, share), again = found
+    assert 0.15 < n[own].sum() / 900 < 0.25 and 0.15 < n[~own].sum() / 9000 < 0.25 and np.isclose(share, 1 / 11)
+    assert models[0].threshold == models[1].threshold and all(np.array_equal(models[0].p[k], models[1].p[k]) for k in models[0].p)
+    spans = secret_scan.spans([f"number {i:06d}abcdefZq see 1 password={'9F2C' * 32}" for i in range(50)] + [f"number {i:06d}abcdefZq see 1" for i in range(50)], models[0])
+    assert sum(kind == "model" for own in spans for *_, kind, _ in own) < 10
+
+
+def test_contexts_hold_all_windows():
+    texts = ["a1" * 900, "x password=0123456789abcdefXYZ0123 y", "é " + "Q7z/" * 20 + " é", "no candidate"]
+    candidates = secret_scan.Candidates(texts)
+    contexts, touched = zip(*candidates.contexts(), strict=True)
+    symbols, owner, sizes = secret_scan.unpacked(contexts)
+    assert np.array_equal(symbols, candidates.symbols(slice(None))) and np.array_equal(owner, candidates.owner) and np.array_equal(sizes, candidates.sizes)
+    assert b"".join(touched) == candidates.touched(slice(None)).tobytes() and len(owner) > 100
