@@ -8,10 +8,10 @@ a bucket are: the least hash in each of `BINS` bins of one hash function (one pe
 verified by alignment: common labelled shingles in the same order within a band of offsets, as a longest increasing
 run, over all labelled shingles of both; `SIMILARITY` or more links two texts. Links make classes.
 
-Equal texts are one from the start. Each text of a bucket is first verified against the bucket's shortest one. What
-is still apart goes on in rounds: every text proposes its most alike partners (by sketch) in other classes
-of its buckets, pairs tested before excluded, until none are left. So no bucket is listed in pairs, and none is capped: large
-ones are compared block against block.
+Equal texts are one from the start. Each text of a bucket is first verified against the bucket's shortest one. Buckets that still hold
+several classes are gone through once: a task holds two blocks of a bucket, finds which texts have partners of another class that look alike, and verifies
+those with the words at hand, the most alike first, joining classes as it goes. A pair is looked at only in the first bucket that it shares. So
+no pairs are listed, only links between classes, and no bucket is capped: large ones are compared block against block.
 
 Defined cases: null texts and texts without words are a class each. Texts of fewer than `SHINGLE` words have one
 shingle. Equal rows are one class. A class is named by its smallest key, null if all are null.
@@ -19,7 +19,6 @@ shingle. Equal rows are one class. A class is named by its smallest key, null if
 
 from __future__ import annotations
 
-import itertools
 from bisect import bisect_left
 
 import numpy as np
@@ -39,9 +38,10 @@ SIMILARITY = 0.8
 BINS = 128
 DEVIATIONS = 3.0
 BLOCK = 2048
-SLICE = 500  # texts handled at once
+WORDS = 1 << 20  # of a block's texts, about
+SLICE = 250  # texts handled at once
 BYTES = 1 << 19  # of word hashes in the pairs verified at once
-PROPOSALS = 4  # pairs that a text proposes in the first round; four times as many in each later one
+FIRST = 4  # partners that a text is verified against at once; four times as many in each later step
 ROWS = 4096
 _FACTORS = np.random.default_rng(8).integers(1, 1 << 63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -170,7 +170,7 @@ def numbered(rows: DataFrame, text: str = "text") -> DataFrame:
 
     def named(batches):
         row = TaskContext.get().partitionId() << 36
-        for batch in batches:
+        for batch in (x.slice(at, SLICE) for x in batches for at in range(0, x.num_rows, SLICE)):
             texts = batch.column(batch.schema.names.index(text))
             number = np.arange(row, row + batch.num_rows)
             row += batch.num_rows
@@ -266,47 +266,89 @@ def components(links: DataFrame) -> DataFrame:
         labels = after
 
 
-def _proposals(texts: DataFrame, members: DataFrame, labels: DataFrame, tested: DataFrame, most: int) -> DataFrame:
-    """Pairs of unlike component that share a bucket, look alike and were not tested."""
-    now = members.join(labels, "key", "left").select("band", "key", F.coalesce("component", "key").alias("component"))
-    open_bands = now.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members")).filter("low <> high")
-    failed = tested.filter("NOT linked").select("a", "b")
-    failed = failed.union(failed.select("b", "a")).groupBy("a").agg(F.collect_set("b").alias("failed")).withColumnRenamed("a", "key")
-    rows = (
-        now.join(open_bands.select("band", "members"), "band").join(texts.select("key", "n", "bins"), "key").join(failed, "key", "left")
-        .withColumn("blocks", F.ceil(F.col("members") / BLOCK)).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")))
-    )
-    # a bucket's blocks meet in pairs, a block with itself included
+def _apart(texts: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The buckets that hold several components, each as all pairs of its blocks, a block with itself included."""
+    now = members.join(labels, "key", "left").select("band", "key", "n", F.coalesce("component", "key").alias("component"))
+    open_bands = now.groupBy("band").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("members"), F.sum("n").alias("words")).filter("least <> most")
+    rows = now.join(open_bands.select("band", "members", "words"), "band").join(texts.select("key", "bands", "bins"), "key")
+    rows = rows.withColumn("blocks", F.ceil(F.greatest(F.col("members") / BLOCK, F.col("words") / WORDS))).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    rows = rows.select("band", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "key", "component", "n", "bins", "failed")
+    return rows.select("band", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "key", "component", "n", "bands", "bins")
+
+
+class Blocks:
+    """The rows of some pairs of blocks, pair after pair."""
+
+    def __init__(self, rows: pd.DataFrame):
+        self.rows = rows = rows.iloc[np.lexsort((rows["key"], rows["high"], rows["low"], rows["band"]))]
+        cuts = np.flatnonzero(np.any([np.diff(rows[x].to_numpy()) != 0 for x in ("band", "low", "high")], axis=0)) + 1
+        self.parts = list(zip([0, *cuts], [*cuts, len(rows)], strict=True))
+        self.bins = np.frombuffer(b"".join(rows["bins"]), dtype=np.uint16).reshape(len(rows), BINS)
+        self.bands = np.stack(rows["bands"].to_numpy()) if len(rows) else np.zeros((0, SKETCHES), np.int64)
+        self.nth = (self.bands == rows["band"].to_numpy()[:, None]).argmax(axis=1)
+        self.root, self.size, self.block = pd.factorize(rows["component"])[0], rows["n"].to_numpy(), rows["block"].to_numpy()
+        self.across = (rows["low"] != rows["high"]).to_numpy()
+
+    def partners(self, i: int, end: int) -> np.ndarray:
+        """Rows behind `i` that look like it, of other components and in no earlier bucket with it, the most alike first."""
+        rest = slice(i + 1, end)
+        open_ = (self.root[rest] != self.root[i]) & _near(self.size[rest], self.size[i])
+        if self.across[i]:
+            open_ &= self.block[rest] != self.block[i]
+        others = i + 1 + np.flatnonzero(open_)
+        others = others[(self.bands[others] == self.bands[i]).argmax(axis=1) == self.nth[i]] if len(others) else others
+        if not len(others):
+            return others
+        share, able = alike(self.bins[i], self.bins[others])
+        return others[able][np.argsort(-share[able], kind="stable")]
+
+
+def _with_partners(rows: DataFrame, members: int) -> DataFrame:
+    """Those rows of pairs of blocks that have a partner to be verified."""
+
+    def chosen(some: pd.DataFrame) -> pd.DataFrame:
+        blocks = Blocks(some)
+        has = np.zeros(len(some), dtype=bool)
+        for start, end in blocks.parts:
+            for i in range(start, end - 1):
+                others = blocks.partners(i, end)
+                has[others] = True
+                has[i] |= len(others) > 0
+        return blocks.rows[has].drop(columns="slot")
 
     # many small buckets share a call; a call gets about `ROWS` rows
-    slots = max(1, members.count() // ROWS)
-    rows = rows.withColumn("slot", F.pmod(F.xxhash64("band", "low", "high"), F.lit(slots)))
-
-    def proposed(slot: pd.DataFrame) -> pd.DataFrame:
-        order = np.lexsort((slot["high"], slot["low"], slot["band"]))
-        slot = slot.iloc[order]
-        cuts = np.flatnonzero(np.any([np.diff(slot[x].to_numpy()) != 0 for x in ("band", "low", "high")], axis=0)) + 1
-        bins = np.frombuffer(b"".join(slot["bins"]), dtype=np.uint16).reshape(len(slot), BINS)
-        component, keys, size = pd.factorize(slot["component"])[0], slot["key"].to_numpy(), slot["n"].to_numpy()
-        block, across, failed = slot["block"].to_numpy(), (slot["low"] != slot["high"]).to_numpy(), slot["failed"].to_numpy()
-        found = []
-        for start, end in zip([0, *cuts], [*cuts, len(slot)], strict=True):
+    return _dealt(rows, max(1, members // ROWS)).groupBy("slot").applyInPandas(chosen, rows.schema)
+
+
+def _dealt(rows: DataFrame, slots: int) -> DataFrame:
+    return rows.withColumn("slot", F.pmod(F.xxhash64("band", "low", "high"), F.lit(slots)))
+
+
+def _links(rows: DataFrame, streams: DataFrame) -> DataFrame:
+    """a, b: links that join the components in every pair of blocks; fewer than its rows."""
+
+    def linked(some: pd.DataFrame) -> pd.DataFrame:
+        blocks = Blocks(some)
+        labelled, sizes = _labelled(blocks.rows["words"])
+        begin, keys, root, found = np.cumsum(sizes) - sizes, blocks.rows["key"].to_numpy(), blocks.root, []
+        for start, end in blocks.parts:
             for i in range(start, end - 1):
-                open_ = (component[i + 1 : end] != component[i]) & _near(size[i + 1 : end], size[i])
-                if across[i]:
-                    open_ &= block[i + 1 : end] != block[i]
-                others = i + 1 + np.flatnonzero(open_)
-                if not len(others):
-                    continue
-                share, able = alike(bins[i], bins[others])
-                known = set(failed[i]) if failed[i] is not None else ()
-                best = [j for j in others[able][np.argsort(-share[able], kind="stable")] if keys[j] not in known][:most]
-                found += [(min(keys[i], keys[j]), max(keys[i], keys[j])) for j in best]
+                others, step = blocks.partners(i, end), FIRST
+                own = labelled[begin[i] : begin[i] + sizes[i]]
+                while len(others):
+                    now, others = others[:step], others[step:]
+                    step = max(FIRST, min(step * 4, BYTES // 8 // max(1, len(own))))
+                    both = np.concatenate([labelled[begin[j] : begin[j] + sizes[j]] for j in now])
+                    for j in now[similarities(np.tile(own, len(now)), np.full(len(now), len(own)), both, sizes[now]) >= SIMILARITY]:
+                        if root[j] != root[i]:
+                            found.append((keys[i], keys[j]))
+                            root[start:end][root[start:end] == root[j]] = root[i]
+                    others = others[root[others] != root[i]]
         return pd.DataFrame(found, columns=["a", "b"])
 
-    return rows.groupBy("slot").applyInPandas(proposed, "a binary, b binary").distinct()
+    words = rows.agg(F.sum("n")).first()[0] or 0
+    both = _dealt(rows, max(1, int(words // WORDS))).join(streams, "key")
+    return both.groupBy("slot").applyInPandas(linked, "a binary, b binary")
 
 
 def classes(rows: DataFrame) -> DataFrame:
@@ -327,13 +369,12 @@ def classes(rows: DataFrame) -> DataFrame:
     pairs = common.written(pairs.mapInPandas(look_alike, "a binary, b binary"), "pairs")
     streams = common.written(_streams(rows).join(members.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"]), "streams")
     tested = common.written(_verified(pairs, streams), "tested")
-    for turn in itertools.count():
-        labels = components(tested.filter("linked"))
-        # few at first: most large groups come together then, and no longer propose anything
-        pairs = common.written(_proposals(texts, members, labels, tested, PROPOSALS * 4**turn), "pairs")
-        if pairs.isEmpty():
-            return labels
-        tested = tested.union(common.written(_verified(pairs, streams), "tested"))
+    labels = components(tested.filter("linked"))
+    apart = common.written(_with_partners(_apart(texts, members, labels), members.count()), "apart")
+    if apart.isEmpty():
+        return labels
+    links = common.written(_links(apart, streams), "links")
+    return components(tested.filter("linked").select("a", "b").union(links))
 
 
 def _candidates(left: bytes, right: bytes) -> bool:

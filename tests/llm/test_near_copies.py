@@ -76,6 +76,23 @@ def test_a_chain_of_edits_and_a_shared_passage(spark, monkeypatch, block):
     assert classes == brute(rows)
 
 
+def test_pairs_of_a_large_group_are_not_listed(spark, monkeypatch):
+    counts, real = [], near.common.written
+    monkeypatch.setattr(near.common, "written", lambda frame, purpose: counts.append(real(frame, purpose)) or counts[-1])
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(120):  # most pairs look alike, few are linked
+        text = list(base)
+        for k in range(rng.choice((1, 5))):
+            text[rng.randrange(200)] = f"new{i}-{k}"
+        rows.append((i, " ".join(text)))
+    _, classes = found(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert classes == brute(rows)
+    counts = [frame.count() for frame in counts]
+    assert max(counts) <= near.SKETCHES * len(rows) and len(counts) < 40
+
+
 def test_awkward_rows(awkward):
     rows, classes = found(awkward)
     assert classes == brute([(r.doc_id, r.text) for r in awkward.collect()])
