@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from clickweave.functions.columns import topic
 from clickweave.plans.batch import HOURS_24, MIN_30, RUN_ENDS, Query
 from clickweave.schemas import ATTRIBUTED, RECORD
-from clickweave.session import work_folder
+from clickweave.session import state_partitions, work_folder
 from clickweave.sources import records
 from clickweave.sources.tables import events, with_offsets
 from clickweave.streaming import journal, keyed, outer_join
@@ -30,6 +30,11 @@ def deliveries(spark: SparkSession, sf_dir: str, root: str) -> Iterator[str]:
         yield f"{root}/landing"
 
 
+def _partitions(spark: SparkSession, root: str) -> int:
+    """State partitions for the records of all deliveries."""
+    return state_partitions(spark, spark.read.schema(RECORD).parquet(f"{root}/periods").count())
+
+
 def _deliver(spark: SparkSession, work: journal.Attribution, landing: str, root: str) -> int:
     """Run the journal over what has landed; the number of its last batch."""
     run = journal.start(records.read_records(spark, path=landing), work, f"{root}/checkpoint", available_now=True)
@@ -46,15 +51,17 @@ def outer_joined(window: timedelta) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         root = work_folder(spark, "stream-join")
 
-        def run(landing: str) -> None:
+        def run(landing: str, partitions: int) -> None:
             streams = (records.read_records(spark, path=landing) for _ in range(2))
             found = outer_join.attributed(*streams, window)
-            outer_join.start(found, f"{root}/result", f"{root}/checkpoint", available_now=True).awaitTermination()
+            outer_join.start(found, f"{root}/result", f"{root}/checkpoint", available_now=True, partitions=partitions).awaitTermination()
 
+        partitions = None
         for landing in deliveries(spark, sf_dir, root):
-            run(landing)
+            partitions = partitions or _partitions(spark, root)
+            run(landing, partitions)
         outer_join.closing_records(spark).write.mode("append").parquet(f"{root}/landing")
-        run(f"{root}/landing")
+        run(f"{root}/landing", partitions)
         return _plain_times(spark.read.schema(ATTRIBUTED).parquet(f"{root}/result"))
     return query
 
@@ -64,10 +71,13 @@ def keyed_state(window: timedelta) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         root = work_folder(spark, "stream-keyed")
         work = journal.Attribution(f"{root}/tables", window, emit="log")
+        partitions = None
         for landing in deliveries(spark, sf_dir, root):
+            partitions = partitions or _partitions(spark, root)
             _deliver(spark, work, landing, root)
             stream = keyed.changes(keyed.accepted_log(spark, work.root), window, buckets=4)
-            keyed.start(stream, f"{root}/changes", f"{root}/keyed-checkpoint", available_now=True).awaitTermination()
+            keyed.start(
+                stream, f"{root}/changes", f"{root}/keyed-checkpoint", available_now=True, partitions=partitions).awaitTermination()
         return _plain_times(keyed.current(spark, f"{root}/changes"))
     return query
 

@@ -28,6 +28,7 @@ from pyspark.sql.streaming import StatefulProcessor
 from clickweave.functions.columns import micros
 from clickweave.operators import attribution, tables
 from clickweave.schemas import ATTRIBUTED
+from clickweave.session import shuffled_into
 from clickweave.streaming.journal import JOURNAL, stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need not find this package
@@ -141,17 +142,23 @@ def changes(events: DataFrame, window: timedelta = attribution.WINDOW, buckets:
         statefulProcessor=Slices(width, micros(window)), outputStructType=CHANGES, outputMode="Update", timeMode="EventTime")
 
 
-def start(stream: DataFrame, root: str, checkpoint: str, available_now: bool = False, interval: str = "1 minute"):
-    """Write changes to `root`, a folder per batch; a repeated batch replaces its own."""
+def start(
+    stream: DataFrame, root: str, checkpoint: str, available_now: bool = False, interval: str = "1 minute", partitions: int | None = None,
+):
+    """Write changes to `root`, a folder per batch; a repeated batch replaces its own.
+
+    `partitions`, of the state, is the session's number of shuffle partitions if not given; a checkpoint keeps its own.
+    """
     stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
 
-    return (
-        stream.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
-    )
+    with shuffled_into(stream.sparkSession, partitions):
+        return (
+            stream.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+        )
 
 
 def written(spark: SparkSession, root: str) -> DataFrame:

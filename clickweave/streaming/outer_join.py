@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from clickweave.functions.columns import micros
 from clickweave.operators import attribution, lateness
 from clickweave.schemas import CLICK_TOPIC, RECORD, VIEW_TOPIC
+from clickweave.session import shuffled_into
 from clickweave.sources import records
 
 #: Event time of the records that close a finite input; no slice of real events reaches it.
@@ -72,10 +73,16 @@ def closing_records(spark: SparkSession) -> DataFrame:
     return rows.select(*RECORD.names)
 
 
-def start(result: DataFrame, path: str, checkpoint: str, available_now: bool = False, interval: str = "1 minute"):
-    """Write the results to parquet files, each row once."""
+def start(
+    result: DataFrame, path: str, checkpoint: str, available_now: bool = False, interval: str = "1 minute", partitions: int | None = None,
+):
+    """Write the results to parquet files, each row once.
+
+    `partitions`, of the state, is the session's number of shuffle partitions if not given; a checkpoint keeps its own.
+    """
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
-    return (
-        result.writeStream.outputMode("append").format("parquet").option("path", path)
-        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
-    )
+    with shuffled_into(result.sparkSession, partitions):
+        return (
+            result.writeStream.outputMode("append").format("parquet").option("path", path)
+            .option("checkpointLocation", checkpoint).trigger(**trigger).start()
+        )

@@ -1,12 +1,17 @@
 """Spark's own stateful operators: keyed state with timers, and the stock outer join."""
 
-from datetime import timedelta
+from datetime import datetime, timedelta
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
+from clickweave import session
+from clickweave.plans import streams
 from clickweave.schemas import ATTRIBUTED, EVENT
 from clickweave.sources import records
 from clickweave.sources.scenario import ARRIVALS, EXPECTED, event_row
+from clickweave.sources.tables import EVENTS
 from clickweave.streaming import keyed, outer_join
 from test_stream import Feed, batch_result, random_arrivals
 
@@ -73,3 +78,25 @@ def test_outer_join_drops_what_the_query_watermark_has_passed(spark, tmp_path):
     outer_join.closing_records(spark).write.mode("append").parquet(f"{tmp_path}/landing")
     run()
     assert results() == {"v0": "c0", "v1": "c2", "v2": None}
+
+
+@pytest.mark.parametrize("name, checkpoint", [("stream_outer_join_24h", "checkpoint"), ("stream_keyed_24h", "keyed-checkpoint")])
+def test_state_partitions_do_not_grow_with_the_shuffle_partitions(spark, tmp_path, monkeypatch, name, checkpoint):
+    """The session's partitions follow the input; every state partition costs time in every batch, whatever it holds."""
+    rows = [(2 * nth + view, datetime(2024, 1, day, 12, view), user, "view" if view else "click", 0.0, f'{{"k": {day}}}')
+            for nth, (day, user) in enumerate((day, user) for day in (3, 10, 17, 24) for user in range(3)) for view in (0, 1)]
+    spark.createDataFrame(rows, EVENTS).write.parquet(f"{tmp_path}/sf/events.parquet")
+    monkeypatch.setattr(streams, "work_folder", lambda spark, purpose: f"{tmp_path}/work")
+    cores = spark.sparkContext.defaultParallelism
+    before = spark.conf.get(session.PARTITIONS)
+    spark.conf.set(session.PARTITIONS, str(cores + 9))
+    try:
+        found = {row.page_view_id: row.attributed_click_id for row in streams.STREAMS[name](spark, f"{tmp_path}/sf").collect()}
+        assert found == {str(row[0]): str(row[0] - 1) for row in rows if row[3] == "view"}
+        stores = [folder for folder in Path(tmp_path, "work", checkpoint, "state", "0").iterdir() if folder.name.isdigit()]
+        assert len(stores) == cores
+        assert spark.conf.get(session.PARTITIONS) == str(cores + 9)
+        assert session.state_partitions(spark, session.RECORDS_PER_STATE * (cores + 2)) == cores + 2
+        assert session.state_partitions(spark, 10**12) == cores + 9
+    finally:
+        spark.conf.set(session.PARTITIONS, before)
