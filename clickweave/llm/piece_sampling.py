@@ -73,15 +73,13 @@ class Vocabulary:
         points, lengths = common.code_points([piece for piece, _ in pieces])
         begin = np.cumsum(lengths) - lengths
         ids = np.array([i for _, i in pieces])
-        # by length: hashes of the pieces, and of the beginnings of longer ones
+        # by length: the pieces and the beginnings of longer ones
         self.by_length = []
         value = np.zeros(len(pieces), dtype=np.uint64)
         for size in range(1, int(lengths.max()) + 1):
             long = np.flatnonzero(lengths >= size)
             value[long] = _extended(value[long], points[begin[long] + size - 1])
-            whole = long[lengths[long] == size]
-            order = np.argsort(value[whole])
-            self.by_length.append((value[whole][order], ids[whole][order], np.unique(value[long[lengths[long] > size]])))
+            self.by_length.append(Beginnings(value[long], np.where(lengths[long] == size, ids[long], -1), lengths[long] > size))
 
 
 def _extended(value: np.ndarray, points: np.ndarray) -> np.ndarray:
@@ -93,9 +91,37 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def _among(values: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at = np.minimum(np.searchsorted(table, values), max(0, len(table) - 1))
-    return (table[at] == values if len(table) else np.zeros(len(values), bool)), at
+class Beginnings:
+    """Beginnings of pieces, of one length, by their hashes: the piece that ends there (-1: none), and whether longer ones go on."""
+
+    def __init__(self, values: np.ndarray, pieces: np.ndarray, longer: np.ndarray):
+        known, which = np.unique(values, return_inverse=True)
+        # none is greater than the last, and it is no piece
+        self.values = np.append(known, np.uint64(2**64 - 1))
+        self.piece, self.longer = np.full(len(known) + 1, -1, dtype=np.int32), np.zeros(len(known) + 1, dtype=bool)
+        np.maximum.at(self.piece, which, pieces)
+        np.logical_or.at(self.longer, which, longer)
+        # hashes lie evenly, so that their highest bits tell the place but for a few steps
+        bits = max(1, int(8 * len(known)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        per_slot = np.bincount((known >> self.shift).astype(np.int64), minlength=1 << bits)
+        self.start = (np.cumsum(per_slot) - per_slot).astype(np.int32)
+        self.steps = int(per_slot.max())
+
+    def find(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = self.start[values >> self.shift]
+        for _ in range(self.steps):
+            at = at + (self.values[at] < values)
+        same = self.values[at] == values
+        return np.where(same, self.piece[at], -1), same & self.longer[at]
+
+
+def _order(values: np.ndarray) -> np.ndarray:
+    """The stable order of whole numbers from 0, by 16 bits at a time, for which numpy has a radix sort."""
+    order = np.argsort((values & 0xFFFF).astype(np.uint16), kind="stable")
+    for shift in range(16, int(values.max(initial=0)).bit_length(), 16):
+        order = order[np.argsort((values[order] >> shift & 0xFFFF).astype(np.uint16), kind="stable")]
+    return order
 
 
 class Lattice:
@@ -106,33 +132,42 @@ class Lattice:
         self.base = np.cumsum(lengths) - lengths
         self.end = self.base + lengths - 1
         left = np.repeat(self.end, lengths) - np.arange(len(points))  # characters up to the word's end
-        starts = np.flatnonzero(left > 0)
-        active, value = starts, np.zeros(len(starts), dtype=np.uint64)
-        sources, ids, sizes = [], [], []
-        for size, (whole, piece_ids, longer) in enumerate(known.by_length, 1):
+        active = np.flatnonzero(left > 0)
+        value = np.zeros(len(active), dtype=np.uint64)
+        sources, ids, nths = [], [], []
+        degree = np.zeros(len(points), dtype=np.int64)
+        for size, beginnings in enumerate(known.by_length, 1):
             inside = left[active] >= size
             active, value = active[inside], value[inside]
+            if not len(active):
+                break
             value = _extended(value, points[active + size - 1])
-            found, at = _among(value, whole)
-            sources.append(active[found])
-            ids.append(piece_ids[at[found]])
-            sizes.append(np.full(int(found.sum()), size))
+            piece, goes_on = beginnings.find(value)
             if size == 1:  # bytes for the rest: negative, by code point
-                sources.append(active[~found])
-                ids.append(-points[active[~found]].astype(np.int64) - 1)
-                sizes.append(np.ones(int((~found).sum()), dtype=np.int64))
-            goes_on, _ = _among(value, longer)
+                source, piece = active, np.where(piece >= 0, piece, -points[active].astype(np.int32) - 1)
+            else:
+                found = piece >= 0
+                source, piece = active[found], piece[found]
+            sources.append(source)
+            ids.append(piece)
+            nths.append(degree[source])
+            degree[source] += 1
             active, value = active[goes_on], value[goes_on]
-        source, piece, size = (np.concatenate(x) for x in (sources, ids, sizes))
-        order = np.lexsort((size, source))
-        self.source, self.piece, self.target = source[order], piece[order], (source + size)[order]
-        n_bytes = 1 + (-self.piece > 0x80) + (-self.piece > 0x800) + (-self.piece > 0x10000)
-        weight = np.where(self.piece >= 0, known.log[np.maximum(self.piece, 0)], n_bytes * known.log[known.byte_id[0]])
-        self.first = np.searchsorted(self.source, np.arange(len(points) + 1))
+        # each state's edges side by side, the shorter ones first
+        self.first = np.concatenate([[0], np.cumsum(degree)])
+        self.source = np.repeat(np.arange(len(points)), degree)
+        self.piece, self.target = np.empty(len(self.source), dtype=np.int64), np.empty(len(self.source), dtype=np.int64)
+        for size, (source, piece, nth) in enumerate(zip(sources, ids, nths, strict=True), 1):
+            at = self.first[source] + nth
+            self.piece[at], self.target[at] = piece, source + size
+        weight = known.log[np.maximum(self.piece, 0)]
+        spelled = np.flatnonzero(self.piece < 0)
+        code = -self.piece[spelled]
+        weight[spelled] = (1 + (code > 0x80) + (code > 0x800) + (code > 0x10000)) * known.log[known.byte_id[0]]
         # log weight of all ways from a state to its word's end, from the ends backwards
         total = np.zeros(len(points))
-        by_left = np.argsort(left[self.source], kind="stable")
-        cuts = np.searchsorted(left[self.source][by_left], np.arange(1, int(left.max(initial=0)) + 2))
+        by_left = _order(left[self.source])
+        cuts = np.cumsum(np.bincount(left[self.source], minlength=int(left.max(initial=0)) + 1))
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             edges = by_left[a:b]  # of states equally far from their end, state by state
             if len(edges):
@@ -148,7 +183,13 @@ class Lattice:
 
     def draw(self, state: np.ndarray, u: np.ndarray) -> np.ndarray:
         """An edge of each state, by its probability."""
-        return np.searchsorted(self.key, state + u, "right")
+        chosen, last, place = self.first[state], self.first[state + 1] - 1, state + u
+        open_ = np.flatnonzero((chosen < last) & (self.key[chosen] <= place))
+        while len(open_):
+            chosen[open_] += 1
+            at = chosen[open_]
+            open_ = open_[(at < last[open_]) & (self.key[at] <= place[open_])]
+        return chosen
 
 
 def _uniform(seed: np.ndarray, *places) -> np.ndarray:
@@ -168,7 +209,9 @@ def _words(texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
     sizes = np.zeros(len(texts), dtype=np.int64)
     sizes[~odd], sizes[odd] = pc.list_value_length(split).to_numpy(), [len(own) for own in runs]
     owner = np.concatenate([np.repeat(np.flatnonzero(x), sizes[x]) for x in (~odd, odd)])
-    code = coded.indices.to_numpy().astype(np.int64)[np.argsort(owner, kind="stable")]
+    code = coded.indices.to_numpy().astype(np.int64)
+    if odd.any():
+        code = code[_order(owner)]
     return code, [BLANK + word for word in coded.dictionary.to_pylist()], sizes
 
 
@@ -204,7 +247,7 @@ def sample(texts: list[str], seeds: np.ndarray, known: Vocabulary, k: int = SAMP
     text_of = np.repeat(np.arange(n), sizes)
     first_word = np.cumsum(sizes) - sizes
     place = np.arange(n_words) - first_word[text_of]
-    near = np.argsort(code, kind="stable")  # neighbours in memory
+    near = _order(code)  # neighbours in memory
     value = -np.log(-np.log(_uniform(seeds, 0)))
     queues = [[] for _ in range(n)]
     paths, logs, found = [], [], [[] for _ in range(n)]
