@@ -155,8 +155,8 @@ class Lattice:
             active, value = active[goes_on], value[goes_on]
         # each state's edges side by side, the shorter ones first
         self.first = np.concatenate([[0], np.cumsum(degree)])
-        self.source = np.repeat(np.arange(len(points)), degree)
-        self.piece, self.target = np.empty(len(self.source), dtype=np.int64), np.empty(len(self.source), dtype=np.int64)
+        self.source = np.repeat(np.arange(len(points), dtype=np.int32), degree)
+        self.piece, self.target = np.empty_like(self.source), np.empty_like(self.source)
         for size, (source, piece, nth) in enumerate(zip(sources, ids, nths, strict=True), 1):
             at = self.first[source] + nth
             self.piece[at], self.target[at] = piece, source + size
@@ -166,8 +166,9 @@ class Lattice:
         weight[spelled] = (1 + (code > 0x80) + (code > 0x800) + (code > 0x10000)) * known.log[known.byte_id[0]]
         # log weight of all ways from a state to its word's end, from the ends backwards
         total = np.zeros(len(points))
-        by_left = _order(left[self.source])
-        cuts = np.cumsum(np.bincount(left[self.source], minlength=int(left.max(initial=0)) + 1))
+        away = np.repeat(left, degree)
+        by_left = _order(away)
+        cuts = np.cumsum(np.bincount(away, minlength=int(left.max(initial=0)) + 1))
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             edges = by_left[a:b]  # of states equally far from their end, state by state
             if len(edges):
@@ -176,9 +177,9 @@ class Lattice:
                 total[state[new]] = np.logaddexp.reduceat(weight[edges] + total[self.target[edges]], new)
         self.log = weight + total[self.target] - total[self.source]
         reach = np.cumsum(np.exp(self.log))
-        before = np.concatenate([[0], reach])[self.first[self.source]]
+        before = np.repeat(np.concatenate([[0], reach])[self.first[:-1]], degree)
         self.key = self.source + np.minimum(reach - before, 1.0)
-        last = self.first[1:][self.source] - 1
+        last = self.first[1:][degree > 0] - 1
         self.key[last] = self.source[last] + 1.0
 
     def draw(self, state: np.ndarray, u: np.ndarray) -> np.ndarray:
@@ -192,10 +193,15 @@ class Lattice:
         return chosen
 
 
-def _uniform(seed: np.ndarray, *places) -> np.ndarray:
-    """Numbers in (0, 1) from hashes."""
+def _seeded(seed: np.ndarray, *places) -> np.ndarray:
     for place in places:
         seed = common.mixed(seed * np.uint64(0x9E3779B97F4A7C15) + np.asarray(place).astype(np.uint64) + np.uint64(1))
+    return seed
+
+
+def _uniform(seed: np.ndarray, *places) -> np.ndarray:
+    """Numbers in (0, 1) from hashes."""
+    seed = _seeded(seed, *places)
     return ((seed >> np.uint64(12)).astype(np.float64) + 0.5) / float(1 << 52)
 
 
@@ -270,27 +276,31 @@ def sample(texts: list[str], seeds: np.ndarray, known: Vocabulary, k: int = SAMP
                 kept_rank += [path.rank[spots], path.rank[b]]
                 kept_edge += [path.edge[spots], edge[mine]]
                 from_word[mine], from_state[mine], from_rank[mine] = path.word[b], lattice.target[edge[mine]], path.rank[b] + 1
-        state = lattice.base[code].copy()
+        state = lattice.base[code]
         rank = np.zeros(n_words, dtype=np.int64)
         forced = np.flatnonzero(alive & (from_state >= 0))
         state[from_word[forced]], rank[from_word[forced]] = from_state[forced], from_rank[forced]
-        free = near[(np.arange(n_words) >= from_word[text_of])[near]]
-        free = free[state[free] < lattice.end[code[free]]]
-        while len(free):
-            chosen = lattice.draw(state[free], _uniform(seeds[text_of[free]], turn + 1, place[free], rank[free]))
+        free = near[(np.arange(n_words) >= np.repeat(from_word, sizes))[near]]
+        state, rank, end = state[free], rank[free], lattice.end[code[free]]
+        seed = _seeded(seeds[text_of[free]], turn + 1, place[free])
+        while True:
+            goes_on = state < end
+            free, state, rank, end, seed = (x[goes_on] for x in (free, state, rank, end, seed))
+            if not len(free):
+                break
+            chosen = lattice.draw(state, _uniform(seed, rank))
             kept_word.append(free)
-            kept_rank.append(rank[free])
+            kept_rank.append(rank)
             kept_edge.append(chosen)
-            state[free] = lattice.target[chosen]
-            rank[free] += 1
-            free = free[state[free] < lattice.end[code[free]]]
+            state, rank = lattice.target[chosen], rank + 1
         path = Path(np.concatenate(kept_word), np.concatenate(kept_rank), np.concatenate(kept_edge), n_words)
         owner = text_of[path.word]
         begin = np.searchsorted(owner, np.arange(n))
         log = lattice.log[path.edge]
         reach = np.concatenate([[0.0], np.cumsum(log)])
-        before = reach[:-1] - reach[begin[owner]]
-        total = reach[np.append(begin[1:], len(owner))] - reach[begin]
+        stop = np.append(begin[1:], len(owner))
+        before = reach[:-1] - np.repeat(reach[begin], stop - begin)
+        total = reach[stop] - reach[begin]
         paths.append((path, begin))
         logs.append(total)
         # unchosen edges of the new part become nodes
@@ -298,7 +308,8 @@ def sample(texts: list[str], seeds: np.ndarray, known: Vocabulary, k: int = SAMP
 
         def opened(spots):
             number = spots - begin[owner[spots]]
-            degree = np.diff(lattice.first)[lattice.source[path.edge[spots]]]
+            state = lattice.source[path.edge[spots]]
+            degree = lattice.first[state + 1] - lattice.first[state]
             keep = (degree > 1) & (number > after[owner[spots]]) & alive[owner[spots]]
             spots, number, degree = spots[keep], number[keep], degree[keep]
             first_edge = lattice.first[lattice.source[path.edge[spots]]]
@@ -322,7 +333,7 @@ def sample(texts: list[str], seeds: np.ndarray, known: Vocabulary, k: int = SAMP
         # `k - turn` nodes are still to be taken; those that cannot be among them are left
         deep = before <= -DEEP
         least = np.array([-heapq.nsmallest(k - turn, own)[-1][0] if len(own) >= k - turn else -np.inf for own in queues])
-        opened(np.flatnonzero(deep & (before + REACH > least[owner])))
+        opened(np.flatnonzero(deep & (before + REACH > np.repeat(least, stop - begin))))
         for t in range(n):
             if taken[t] is not None:
                 found[t].append((turn, taken[t][3]))

@@ -163,6 +163,26 @@ def test_samples_follow_the_lattice(text):
     assert abs(np.mean([sum(math.exp(row[1]) / row[3] for row in own) for own in samples]) - 1) < 0.05
 
 
+def test_lattices_hold_every_piece_that_fits():
+    """Edges of each state by length, with their pieces, as a plain search finds them, in texts of any words."""
+    known = piece_sampling.vocabulary(piece_sampling.MODEL)
+    pieces = {x.decode().replace(" ", piece_sampling.BLANK): i for i, x in enumerate(known.bytes) if x and i not in known.byte_id}
+    words = ["▁unlikely", "▁▁▁more", "▁日本語Ḃ🙂", "▁" + "x" * 70, "▁"]
+    lattice = piece_sampling.Lattice(words, known)
+    longest = len(known.by_length)
+    for word, base in zip(words, lattice.base.tolist(), strict=True):
+        for i in range(len(word)):
+            edges = slice(lattice.first[base + i], lattice.first[base + i + 1])
+            fits = {size: pieces[word[i : i + size]] for size in range(1, min(longest, len(word) - i) + 1) if word[i : i + size] in pieces}
+            fits = {1: -ord(word[i]) - 1} | fits
+            assert list(zip((lattice.target[edges] - base - i).tolist(), lattice.piece[edges].tolist(), strict=True)) == sorted(fits.items())
+            assert math.isclose(np.exp(lattice.log[edges]).sum(), 1, rel_tol=1e-9)
+            u = np.linspace(0.001, 0.999, 50)
+            assert (lattice.draw(np.full(50, base + i), u) == np.searchsorted(lattice.key, base + i + u, "right")).all()
+    values = np.array([5, 70_000, 3, 70_000, 0, 2**33, 5])
+    assert (piece_sampling._order(values) == np.argsort(values, kind="stable")).all()
+
+
 def test_round_trip_and_repeatability(documents):
     rows = documents.select("doc_id", "text")
     found = {(r.doc_id, r.sample): r for r in piece_sampling.segmentations(rows, k=3).collect()}
