@@ -8,12 +8,12 @@ order; it is cut at the same block ends, and each piece keeps its largest impact
 
 - A block's bound is the sum of the weighted largest impacts of the pieces in it. Blocks are visited in falling order of their bounds, some at
   a time, until no bound left reaches the limit, the k-th best score found so far. The postings of the other blocks are skipped.
-- In a visited block, lists come in falling order of their weights. Lists at the end whose largest impacts there together stay below the
-  limit cannot lift a document over it alone, so the lists before them are moved over the block first. A document they meet is a
-  pivot if what they add up to, with the largest impacts of the others, reaches the limit. The others follow in steps, in blocks that still
-  have a pivot only, and are scored at pivots only; each step leaves fewer pivots.
+- In a visited block, the lists of the rarer terms are moved over the block first. A document is a pivot if what they add up to, with the
+  largest impacts of the frequent terms' lists there, reaches the limit. The frequent terms' lists follow in steps, heaviest first, in blocks that still have
+  a pivot only; each step leaves fewer pivots. Their pieces hold an impact for each place of the block, which is cheaper to add than postings.
 
-A document's score is added up term by term in falling order of weight, in doubles, and rounded to `DIGITS` digits, so it does not depend on
+All this is done in single precision, with the rounding errors taken off the limit. The few documents that reach it are scored anew, from their own
+terms: added up term by term in falling order of weight, in doubles, and rounded to `DIGITS` digits, so a score does not depend on
 shards or blocks. Queries are taken `QUERIES` at a time; every such part meets every shard.
 
 A query's text counts each of its words as often as it holds it.
@@ -40,9 +40,13 @@ SHARD = 16384  # documents
 BLOCK = 64
 #: Blocks visited at first; each further step takes four times as many.
 FIRST_VISIT = 8
-#: Lists are read in steps, until those left can add no more than these shares of the limit.
-LEADS = np.array([1, 0.3, 0])
+#: Lists of terms that a larger share of a shard's documents hold have an impact for each place, also where it is zero.
+FREQUENT = 1 / 16
+#: Steps in which the lists of frequent terms are read, heaviest first; each leaves fewer blocks with a pivot.
+STEPS = 3
 QUERIES = 1 << 16
+#: Pairs of a document and a term that a step of building a shard's index takes at a time.
+PART = 1 << 20
 #: Document frequencies held by a task before they are handed on.
 COUNTED = 2_000_000
 DIGITS = 6
@@ -66,7 +70,14 @@ def inverse_frequency(documents: int, df: np.ndarray) -> np.ndarray:
 
 def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """All numbers of some ranges, one range after the other."""
-    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    return _owned_ranges(start, size)[1]
+
+
+def _owned_ranges(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The range of each number, and all numbers, one range after the other."""
+    end = np.cumsum(size)
+    owner = np.repeat(np.arange(len(size), dtype=np.int32), size)
+    return owner, (start - (end - size)).take(owner) + np.arange(len(owner))
 
 
 class Shard:
@@ -79,58 +90,101 @@ class Shard:
         """doc, term and count are the pairs, by document and then term."""
         n = len(ids)
         self.postings = self.read = 0
-        impact = count * (K1 + 1) / (count + K1 * (1 - B + B * lengths[doc] / mean_length))
-        order = np.lexsort((lengths, self._sign(n, terms, doc, term), self._likeness(n, len(terms), doc, term, impact)))
-        place = np.empty(n, np.int64)
-        place[order] = np.arange(n)
-        self.ids, self.terms, self.blocks = ids[order], terms, -(-n // BLOCK)
-        by_term = np.argsort(term * max(1, n) + place[doc])
-        self.doc, self.impact = place[doc[by_term]], impact[by_term]
-        piece = term[by_term] * max(1, self.blocks) + self.doc // BLOCK
-        start = np.flatnonzero(np.append(True, np.diff(piece) != 0)[: len(piece)])
-        self.piece_at = np.append(start, len(piece))
-        self.block = self.doc[start] // BLOCK
+        self.norm, self.terms, self.blocks = K1 * (1 - B + B * lengths / mean_length), terms, -(-n // BLOCK)
+        self.begin = np.searchsorted(doc, np.arange(n + 1, dtype=doc.dtype))
+        self.term, self.count = term.astype(np.int32, copy=False), count.astype(np.min_scalar_type(count.max(initial=0)))
+        del term, count
+        impact = np.concatenate([np.zeros(0, np.float32)] + [self._impact(doc[own], self.count[own]).astype(np.float32) for own in map(self._pairs, self._parts(self.begin))])
+        self.order = np.lexsort((lengths, self._sign(), self._likeness(impact)))
+        place = np.empty(n, np.int32)
+        place[self.order] = np.arange(n)
+        self.ids, self.df = ids[self.order], np.bincount(self.term, minlength=len(terms))
+
+        frequent = self.df > n * FREQUENT
+        rare = ~frequent[self.term]
+        self.row = np.where(frequent, np.cumsum(frequent) - 1, -1)
+        self.full = np.zeros((np.count_nonzero(frequent) * self.blocks, BLOCK), np.float32)
+        own = np.flatnonzero(~rare)
+        at = place[doc[own]]
+        self.full[self.row[self.term[own]] * self.blocks + at // BLOCK, at % BLOCK] = impact[own]
+        self.full_most = self.full.max(axis=1, initial=0).reshape(-1, max(1, self.blocks))
+        self.full_size = np.count_nonzero(self.full, axis=1)
+
+        done, of, start = 0, [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+        self.doc, self.impact = np.empty(np.count_nonzero(rare), np.int32), np.empty(np.count_nonzero(rare), np.float32)
+        for first, end in self._parts(np.append(0, np.cumsum(np.where(frequent, 0, self.df)))):
+            own = np.flatnonzero(rare & (self.term >= first) & (self.term < end))
+            own = own[np.argsort(self.term[own] * np.int64(n) + place[doc[own]])]
+            at = place[doc[own]]
+            self.doc[done : done + len(own)], self.impact[done : done + len(own)] = at, impact[own]
+            new = np.flatnonzero(np.append(True, np.diff(self.term[own] * np.int64(self.blocks) + at // BLOCK) != 0)[: len(own)])
+            of.append(self.term[own[new]])
+            start.append((new + done).astype(np.int32))
+            done += len(own)
+        of, start = np.concatenate(of), np.concatenate(start)
+        self.piece_at = np.append(start, np.int32(len(self.doc)))
+        self.block = (self.doc[start] // BLOCK).astype(np.uint16 if self.blocks < 1 << 16 else np.int32)
         self.most = np.maximum.reduceat(self.impact, start) if len(start) else self.impact
-        self.term_at = np.searchsorted(piece[start] // max(1, self.blocks), np.arange(len(terms) + 1))
+        self.term_at = np.searchsorted(of, np.arange(len(terms) + 1, dtype=np.int32))
 
     @staticmethod
-    def _sign(n: int, terms: np.ndarray, doc: np.ndarray, term: np.ndarray) -> np.ndarray:
+    def _parts(begin: np.ndarray) -> list[tuple[int, int]]:
+        """Ranges of about `PART` pairs, by what each document's or term's pairs begin at."""
+        cuts = np.unique(np.append(np.searchsorted(begin, np.arange(0, begin[-1], PART)), [0, len(begin) - 1])).tolist()
+        return list(zip(cuts[:-1], cuts[1:], strict=True))
+
+    def _pairs(self, part: tuple[int, int]) -> slice:
+        return slice(self.begin[part[0]], self.begin[part[1]])
+
+    def _impact(self, doc: np.ndarray, count: np.ndarray) -> np.ndarray:
+        return count * (K1 + 1) / (count + self.norm[doc])
+
+    def _over_pairs(self, reduce: np.ufunc, values, dtype) -> np.ndarray:
+        """For each document, `reduce` over the `values` of its pairs, given a range of pairs; zero without pairs."""
+        out = np.zeros(len(self.begin) - 1, dtype)
+        for part in self._parts(self.begin):
+            own, begin = slice(*part), self.begin[part[0] : part[1] + 1]
+            some = np.diff(begin) > 0
+            if some.any():
+                out[own][some] = reduce.reduceat(values(self._pairs(part)), begin[:-1][some] - begin[0])
+        return out
+
+    def _sign(self) -> np.ndarray:
         """The least of each document's mixed terms, which near copies mostly share."""
-        sign = np.zeros(n, np.uint64)
-        start = np.flatnonzero(np.append(True, np.diff(doc) != 0)[: len(doc)])
-        if len(start):
-            sign[doc[start]] = np.minimum.reduceat(common.mixed(terms.astype(np.uint64))[term], start)
-        return sign
+        mixed = common.mixed(self.terms.astype(np.uint64))
+        return self._over_pairs(np.minimum, lambda own: mixed[self.term[own]], np.uint64)
 
-    @staticmethod
-    def _likeness(n: int, n_terms: int, doc: np.ndarray, term: np.ndarray, impact: np.ndarray, groups: int = 8) -> np.ndarray:
+    def _likeness(self, impact: np.ndarray, groups: int = 8) -> np.ndarray:
         """A group for each document, that of the most similar one of some unlike documents."""
-        if not len(doc):
-            return np.zeros(n, np.int64)
-        unit = impact / np.sqrt(np.bincount(doc, impact * impact, minlength=n))[doc]
-        begin = np.searchsorted(doc, np.arange(n + 1))
+        if not len(impact):
+            return np.zeros(len(self.begin) - 1, np.int64)
+        length = np.sqrt(np.maximum(self._over_pairs(np.add, lambda own: impact[own] * impact[own], np.float32), 1e-30))
 
         def similar(seed: int) -> np.ndarray:
-            own = slice(begin[seed], begin[seed + 1])
-            vector = np.zeros(n_terms)
-            vector[term[own]] = unit[own]
-            return np.bincount(doc, unit * vector[term], minlength=n)
+            own = slice(self.begin[seed], self.begin[seed + 1])
+            vector = np.zeros(len(self.terms), np.float32)
+            vector[self.term[own]] = impact[own] / length[seed]
+            return self._over_pairs(np.add, lambda own: impact[own] * vector[self.term[own]], np.float32) / length
 
-        similarity = [similar(int(doc[np.argmax(impact)]))]
+        similarity = [similar(int(np.searchsorted(self.begin, np.argmax(impact), "right")) - 1)]
         while len(similarity) < groups:
             similarity.append(similar(int(np.argmin(np.max(similarity, axis=0)))))
         return np.argmax(similarity, axis=0)
 
-    def _added(self, total: np.ndarray, mine: np.ndarray, first: np.ndarray, size: np.ndarray, weight: np.ndarray, only: np.ndarray | None = None) -> np.ndarray:
-        """`total` of all places, with the postings of some pieces added in order; those of the places in `only`, if given."""
-        spots, weights = _ranges(first[mine], size[mine]), np.repeat(weight[mine], size[mine])
-        self.read += len(spots)
-        place = self.doc[spots]
-        if only is None:
-            return np.bincount(place, self.impact[spots] * weights, minlength=len(total))
-        use = np.flatnonzero(only[place])
-        np.add.at(total, place[use], self.impact[spots[use]] * weights[use])
-        return total
+    def _exact(self, places: np.ndarray, at: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """The scores of some places, added up in the order of `at`."""
+        by_term, some = np.argsort(at), max(1, PART // max(len(at), len(self.term) // len(self.order)))
+        if len(places) > some:  # large groups of copies
+            return np.concatenate([self._exact(places[i : i + some], at, weights) for i in range(0, len(places), some)])
+        doc = self.order[places]
+        owner, spots = _owned_ranges(self.begin[doc], self.begin[doc + 1] - self.begin[doc])
+        pairs = owner * np.int64(len(self.terms)) + self.term.take(spots)
+        wanted = np.arange(len(doc))[:, None] * len(self.terms) + at[by_term]
+        spot = np.minimum(np.searchsorted(pairs, wanted), max(0, len(pairs) - 1))
+        added = np.zeros((len(doc), len(at)))
+        if len(pairs):
+            added[:, by_term] = np.where(pairs[spot] == wanted, self._impact(doc[:, None], self.count[spots[spot]]) * weights[by_term], 0)
+        return np.cumsum(added, axis=1)[:, -1]
 
     def search(self, query_id, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple]:
         """(id, score) of the k best documents; terms in order."""
@@ -141,53 +195,56 @@ class Shard:
             return []
         order = np.lexsort((self.terms[at], -weights))
         at, weights = at[order], weights[order]
-        size = self.term_at[at + 1] - self.term_at[at]
-        pieces, weight = _ranges(self.term_at[at], size), np.repeat(weights, size)
-        self.postings += int((self.piece_at[self.term_at[at + 1]] - self.piece_at[self.term_at[at]]).sum())
-        # by block; within a block the terms stay in order
-        block = self.block[pieces]
-        order = np.argsort(block.astype(np.uint16) if self.blocks < 1 << 16 else block, kind="stable")
-        pieces, weight, block = pieces[order], weight[order], block[order]
-        begin = np.searchsorted(block, np.arange(self.blocks + 1))
-        first, size = self.piece_at[pieces], self.piece_at[pieces + 1] - self.piece_at[pieces]
-        sums = np.append(0.0, np.cumsum(self.most[pieces] * weight))
-        bound = sums[begin[1:]] - sums[begin[:-1]]
-        slack = 1e-9 * sums[-1] + 2 * 10.0**-DIGITS  # sums are taken in different orders, and ties are those of rounded scores
-        #: what the list of a piece and those after it can add in the piece's block
-        rest = sums[begin[block + 1]] - sums[:-1]
+        self.postings += int(self.df[at].sum())
+        row = self.row[at]
+        rows, full_weights = row[row >= 0], weights[row >= 0].astype(np.float32)
+        short, short_weights = at[row < 0], weights[row < 0].astype(np.float32)
+
+        size = self.term_at[short + 1] - self.term_at[short]
+        pieces, weight = _ranges(self.term_at[short], size), np.repeat(short_weights, size)
+        block, first = self.block[pieces], self.piece_at[pieces]
+        size = self.piece_at[pieces + 1] - first
+        #: what the lists of frequent terms can add in a block, from each step's first on
+        full_parts = [slice(at, at + -(-len(rows) // STEPS)) for at in range(0, len(rows), max(1, -(-len(rows) // STEPS)))]
+        rest = np.array([full_weights[part.start :] @ self.full_most[rows[part.start :]] for part in full_parts] + [np.zeros(self.blocks)])
+        bound = rest[0] + np.bincount(block, self.most[pieces] * weight, minlength=self.blocks)
+        # sums are taken in single precision and different orders, and ties are those of rounded scores
+        slack = 2.5e-7 * (len(at) + 4) * bound.max() + 2 * 10.0**-DIGITS
         visits = np.argsort(-bound, kind="stable")
-        visits = visits[: np.count_nonzero(begin[1:] > begin[:-1])]
+        visits = visits[: np.count_nonzero(bound)]
 
         score, found, limit, done, step = np.zeros(0), np.zeros(0, np.int64), 0.0, 0, FIRST_VISIT
         while done < len(visits) and bound[visits[done]] >= limit:
             now = visits[done : done + step]
             now = now[bound[now] >= limit]
             done, step = done + step, step * 4
-            mine = _ranges(begin[now], begin[now + 1] - begin[now])
-            total, pivot = np.zeros(self.blocks * BLOCK), None
-            for least in limit * LEADS:
-                leads = rest[mine] >= least
-                total = self._added(total, mine[leads], first, size, weight, pivot)
-                mine = mine[~leads]
-                # the first of a block's pieces that are left stands for all of them
-                left = np.zeros(self.blocks)
-                left[block[mine[::-1]]] = rest[mine[::-1]]
-                pivot = (total > 0) & (total >= np.repeat(limit - left, BLOCK))
-                mine = mine[pivot.reshape(-1, BLOCK).any(axis=1)[block[mine]]]
-                if not len(mine):
-                    break
-            place = np.flatnonzero(pivot & (total >= limit))
-            place = place[self.ids[place] != query_id]
-            score, found = np.append(score, total[place]), np.append(found, place)
+            visited = np.zeros(self.blocks, bool)
+            visited[now] = True
+            mine = np.flatnonzero(visited[block])
+            owner, spots = _owned_ranges(first[mine], size[mine])
+            self.read += len(spots)
+            total = np.zeros((self.blocks, BLOCK), np.float32)
+            np.add.at(total.ravel(), self.doc.take(spots).astype(np.int64), self.impact.take(spots) * weight[mine].take(owner))
+            total = total[now]
+            for part, left in zip(full_parts, rest, strict=False):
+                pivot = total.max(axis=1) + left[now] >= limit
+                now, total = now[pivot], total[pivot]
+                full = rows[part, None] * self.blocks + now
+                self.read += int(self.full_size.take(full).sum())
+                total += (full_weights[part] @ self.full.take(full, axis=0).reshape(len(full), len(now) * BLOCK)).reshape(-1, BLOCK)
+            which, spot = np.nonzero((total >= limit) & (total > 0))
+            place = now[which] * BLOCK + spot
+            other = self.ids[place] != query_id
+            score, found = np.append(score, total[which, spot][other]), np.append(found, place[other])
             if len(score) >= k:
                 limit = np.partition(score, len(score) - k)[len(score) - k] - slack
                 keep = score >= limit
                 score, found = score[keep], found[keep]
-        best = [(i, round(s, DIGITS)) for i, s in zip(self.ids[found].tolist(), score.tolist(), strict=True)]
+        best = [(i, round(s, DIGITS)) for i, s in zip(self.ids[found].tolist(), self._exact(found, at, weights).tolist(), strict=True)]
         return sorted((x for x in best if x[1] > 0), key=lambda x: (-x[1], x[0]))[:k]
 
 
-def _frequencies(rows: DataFrame) -> DataFrame:
+def _frequencies(runs: DataFrame) -> DataFrame:
     """term and df; under term 0 the number of texts with words and under term 1 that of their words."""
 
     def counted(batches):
@@ -198,11 +255,11 @@ def _frequencies(rows: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(distinct), pa.array(np.bincount(which, weights=np.concatenate(counts)).astype(np.int64))], ["term", "df"])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 4000):
-                stream, sizes = term_hashes(batch.column(0).slice(at, 4000))
-                distinct, _, term, _ = _counted(stream, sizes)
+            for run in zip(*batch.columns, strict=True):
+                sizes, distinct, term = (packed.as_buffer() for packed in run)
+                sizes, distinct = common.unpack(sizes, np.int64), common.sums(distinct)
                 terms += [distinct, np.array([0, 1])]
-                counts += [np.bincount(term, minlength=len(distinct)), np.array([(sizes > 0).sum(), sizes.sum()])]
+                counts += [np.bincount(common.unpack(term, np.int32), minlength=len(distinct)), np.array([(sizes > 0).sum(), sizes.sum()])]
                 size += len(distinct)
                 if size > COUNTED:
                     yield merged()
@@ -210,14 +267,37 @@ def _frequencies(rows: DataFrame) -> DataFrame:
         if terms:
             yield merged()
 
-    return rows.select("text").mapInArrow(counted, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
+    return runs.select("sizes", "terms", "term").mapInArrow(counted, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
+
+
+def _shard(shards: int) -> Column:
+    """The shard of a run: a partition's runs go to one shard after the other, from a first one that is spread evenly over all partitions."""
+    first = F.floor(F.pmod(F.col("partition") * 0.6180339887498949, F.lit(1.0)) * shards)
+    return F.pmod(first + F.col("run"), F.lit(shards)).cast("int")
 
 
 def search(rows: DataFrame, is_query: Column, k: int = 10, key: str = "doc_id", text: str = "text") -> DataFrame:
     """query_id, rank, doc_id and score. `is_query` is a condition on `doc_id`."""
     rows = common.columns(rows, doc_id=key, text=text).filter("doc_id IS NOT NULL")
     kind = common.kind(rows, "doc_id")
-    frequencies = common.written(_frequencies(rows), "frequencies")
+
+    def indexed(batches):
+        partition, run = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4000):
+                some = batch.slice(at, 4000)
+                stream, sizes = term_hashes(some.column("text"))
+                terms, doc, term, count = _counted(stream, sizes)
+                keys = some.column("doc_id")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([partition], pa.int32()), pa.array([run], pa.int32()), pa.ListArray.from_arrays([0, len(keys)], keys)]
+                    + [pa.array([x], pa.binary()) for x in (common.pack(sizes), common.steps(terms), common.pack(np.bincount(doc, minlength=len(sizes))), common.pack(term.astype(np.int32)), common.pack(count.astype(np.int32)))],
+                    ["partition", "run", "ids", "sizes", "terms", "per_doc", "term", "count"],
+                )
+                run += 1
+
+    runs = common.written(rows.mapInArrow(indexed, f"partition int, run int, ids array<{kind}>, sizes binary, terms binary, per_doc binary, term binary, count binary"), "index")
+    frequencies = common.written(_frequencies(runs), "frequencies")
     totals = {r.term: r.df for r in frequencies.filter("term < 2").collect()}
     documents, mean_length = totals.get(0, 0), totals.get(1, 0) / max(1, totals.get(0, 0))
     shards = max(1, -(-documents // SHARD))
@@ -246,38 +326,24 @@ def search(rows: DataFrame, is_query: Column, k: int = 10, key: str = "doc_id",
     queries = queries.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int"))
     queries = queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
 
-    def indexed(batches):
-        run = TaskContext.get().partitionId() << 20
-        for batch in batches:
-            for at in range(0, batch.num_rows, 4000):
-                some = batch.slice(at, 4000)
-                stream, sizes = term_hashes(some.column("text"))
-                terms, doc, term, count = _counted(stream, sizes)
-                keys = some.column("doc_id")
-                per_doc = np.bincount(doc, minlength=len(sizes))
-                run += 1
-                mixed = int(common.mixed(np.array([run], np.uint64))[0] % np.uint64(shards))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([mixed], pa.int32()), pa.array([run]), pa.ListArray.from_arrays([0, len(keys)], keys)]
-                    + [pa.array([x], pa.binary()) for x in (common.pack(sizes), common.steps(terms), common.pack(per_doc), common.pack(term.astype(np.int32)), common.pack(count.astype(np.int32)))],
-                    ["shard", "run", "ids", "sizes", "terms", "per_doc", "term", "count"],
-                )
+    runs = runs.withColumn("shard", _shard(shards)).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
 
-    runs = rows.mapInArrow(indexed, f"shard int, run long, ids array<{kind}>, sizes binary, terms binary, per_doc binary, term binary, count binary")
-    runs = runs.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    def merged(index: pd.DataFrame) -> tuple[np.ndarray, ...]:
+        terms = [common.sums(x) for x in index["terms"]]
+        distinct = np.unique(np.concatenate(terms))
+        sizes, per_doc = (np.concatenate([common.unpack(x, np.int64) for x in index[c]]) for c in ("sizes", "per_doc"))
+        term = np.concatenate([np.searchsorted(distinct, t).astype(np.int32)[common.unpack(x, np.int32)] for t, x in zip(terms, index["term"], strict=True)])
+        count = np.concatenate([common.unpack(x, np.int32) for x in index["count"]])
+        return np.concatenate([np.asarray(x) for x in index["ids"]]), sizes, distinct, np.repeat(np.arange(len(sizes), dtype=np.int32), per_doc), term, count
 
     def found(index: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         hits = []
         if len(index) and len(queries):
-            index = index.sort_values("run")
-            terms = [common.sums(x) for x in index["terms"]]
-            distinct = np.unique(np.concatenate(terms))
-            sizes = np.concatenate([common.unpack(x, np.int64) for x in index["sizes"]])
-            per_doc = np.concatenate([common.unpack(x, np.int64) for x in index["per_doc"]])
-            term = np.concatenate([np.searchsorted(distinct, t)[common.unpack(x, np.int32)] for t, x in zip(terms, index["term"], strict=True)])
-            count = np.concatenate([common.unpack(x, np.int32) for x in index["count"]])
-            doc = np.repeat(np.arange(len(sizes)), per_doc)
-            shard = Shard(np.concatenate([np.asarray(x) for x in index["ids"]]), sizes, distinct, doc, term, count, mean_length)
+            index = index.sort_values(["partition", "run"])
+            ids, sizes, distinct, *pairs = merged(index)
+            del index
+            shard = Shard(ids, sizes, distinct, *pairs, mean_length)
+            del pairs
             for query in queries.itertuples():
                 weights = common.unpack(query.weights, np.int32) * inverse_frequency(documents, common.unpack(query.df, np.int64))
                 hits += [(query.query_id, i, s) for i, s in shard.search(query.query_id, common.sums(query.terms), weights, k)]
