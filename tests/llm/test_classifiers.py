@@ -330,3 +330,35 @@ def test_contexts_hold_all_windows():
     symbols, owner, sizes = secret_scan.unpacked(contexts)
     assert np.array_equal(symbols, candidates.symbols(slice(None))) and np.array_equal(owner, candidates.owner) and np.array_equal(sizes, candidates.sizes)
     assert b"".join(touched) == candidates.touched(slice(None)).tobytes() and len(owner) > 100
+
+
+def spoken(spark, n):
+    """Texts of two languages, each of a few dozen words of its own and of random ones; some come twice."""
+    word = lambda seed: F.concat(F.lit(" "), F.translate(F.substring(F.sha2(F.concat(F.lit(seed), (F.col("id") % (n - n // 10)).cast("string")), 256), 1, 6), "0123456789", "ghijklmnop"))
+    own = lambda names, seed: F.element_at(F.array(*[F.lit(x) for x in names.split()]), (F.pmod(F.xxhash64(F.lit(seed), F.col("id") % (n - n // 10)), F.lit(len(names.split()))) + 1).cast("int"))
+    words = {"aa": "the house by river was found and sold", "bb": "das haus am fluss wurde bald darauf verkauft"}
+    text = {k: F.concat_ws(" ", *[own(x, i) for i in range(8)], *[word(f"{k}{i}") for i in range(3)]) for k, x in words.items()}
+    lang = F.when(F.col("id") % 3 == 0, "aa").otherwise("bb")
+    return spark.range(n).select(F.when(lang == "aa", text["aa"]).otherwise(text["bb"]).alias("text"), lang.alias("lang"))
+
+
+def test_languages_are_learned_from_all_rows(spark, collected):
+    rows = spoken(spark, 6000)
+    models = [language_id.fit(x) for x in (rows, rows.repartition(7))]
+    assert not collected  # texts stay on Spark
+    whole = language_id.fit(rows, sample=10**9)
+    assert (collected[0]["cut"] < 0).sum() == rows.distinct().count() > 2 * 2048
+    assert models[0].languages == whole.languages == ["aa"] * 4 + ["bb"] * 4
+    assert np.array_equal(models[0].idf, whole.idf)
+    assert np.allclose(models[0].centres, whole.centres, atol=1e-4) and np.allclose(models[0].limits, whole.limits, atol=1e-4)
+    assert all(np.array_equal(getattr(models[0], x), getattr(models[1], x)) for x in ("idf", "centres", "limits"))
+
+
+def test_few_texts_of_a_language(spark):
+    """Languages without letters, with held-back texts only, and with fewer texts than centroids."""
+    held = [f"only held back {i}" for i in range(80)]
+    frame = spark.createDataFrame([(x, "hh") for x in held], "text string, lang string").filter(F.pmod(F.xxhash64("lang", "text"), F.lit(language_id.HELD)) == 0)
+    rows = frame.union(spark.createDataFrame([("123 !!", "nn"), ("", "nn"), ("two texts here", "tt"), ("other words", "tt"), ("two texts here", "tt")], frame.schema))
+    found, expected = language_id.fit(rows), language_id.fit(rows, sample=10**9)
+    assert found.languages == expected.languages and "hh" in found.languages and "nn" not in found.languages
+    assert np.allclose(found.centres, expected.centres, atol=1e-5) and np.allclose(found.limits, expected.limits, atol=1e-5)
