@@ -7,10 +7,16 @@ A shard orders its documents by likeness, near copies together, and cuts the ran
 order; it is cut at the same block ends, and each piece keeps its largest impact. A search never reads a piece before it must:
 
 - A block's bound is the sum of the weighted largest impacts of the pieces in it. Blocks are visited in falling order of their bounds, some at
-  a time, until no bound left reaches the limit, the k-th best score found so far. The postings of the other blocks are skipped.
+  a time, until no bound left reaches the limit, the k-th best score found so far. The postings of the other blocks are skipped. Where this spares few
+  postings of rare terms (`WHOLE`), the lists of these are read whole instead, and a block's bound is the most that they give one of its documents,
+  with the largest impacts of the frequent terms' pieces.
 - In a visited block, the lists of the rarer terms are moved over the block first. A document is a pivot if what they add up to, with the
   largest impacts of the frequent terms' lists there, reaches the limit. The frequent terms' lists follow in steps, heaviest first, in blocks that still have
-  a pivot only; each step leaves fewer pivots. Their pieces hold an impact for each place of the block, which is cheaper to add than postings.
+  a pivot only; each step leaves fewer pivots. Their pieces hold an impact for each place of the block, and `TOGETHER` queries share the reading of a
+  piece: what it gives all queries with a pivot in the block is one product of matrices.
+
+Some shards, about as many as the square root of their number, are searched first. The k-th best score of their documents is the limit that
+the search of every other shard begins with.
 
 All this is done in single precision, with the rounding errors taken off the limit. The few documents that reach it are scored anew, from their own
 terms: added up term by term in falling order of weight, in doubles, and rounded to `DIGITS` digits, so a score does not depend on
@@ -37,14 +43,18 @@ from clickweave.llm import common
 
 K1, B = 1.2, 0.75
 SHARD = 16384  # documents
-BLOCK = 64
+BLOCK = 128
 #: Blocks visited at first; each further step takes four times as many.
-FIRST_VISIT = 8
+FIRST_VISIT = 4
 #: Lists of terms that a larger share of a shard's documents hold have an impact for each place, also where it is zero.
-FREQUENT = 1 / 16
+FREQUENT = 1 / 24
 #: Steps in which the lists of frequent terms are read, heaviest first; each leaves fewer blocks with a pivot.
 STEPS = 3
 QUERIES = 1 << 16
+#: Queries that are searched together.
+TOGETHER = 512
+#: The lists of rare terms are read whole where searches by pieces read a larger share of them.
+WHOLE = 0.5
 #: Pairs of a document and a term that a step of building a shard's index takes at a time.
 PART = 1 << 20
 #: Document frequencies held by a task before they are handed on.
@@ -102,13 +112,19 @@ class Shard:
 
         frequent = self.df > n * FREQUENT
         rare = ~frequent[self.term]
-        self.row = np.where(frequent, np.cumsum(frequent) - 1, -1)
-        self.full = np.zeros((np.count_nonzero(frequent) * self.blocks, BLOCK), np.float32)
+        # the rarer of them weigh most and are read first
+        by_weight = np.flatnonzero(frequent)[np.argsort(self.df[frequent], kind="stable")]
+        self.row = np.full(len(terms), -1, np.int32)
+        self.row[by_weight] = np.arange(len(by_weight))
+        self.full = np.zeros((self.blocks, len(by_weight), BLOCK), np.float32)
         own = np.flatnonzero(~rare)
         at = place[doc[own]]
-        self.full[self.row[self.term[own]] * self.blocks + at // BLOCK, at % BLOCK] = impact[own]
-        self.full_most = self.full.max(axis=1, initial=0).reshape(-1, max(1, self.blocks))
-        self.full_size = np.count_nonzero(self.full, axis=1)
+        self.full[at // BLOCK, self.row[self.term[own]], at % BLOCK] = impact[own]
+        self.full_most = np.ascontiguousarray(self.full.max(axis=2, initial=0).T)
+        self.full_size = np.count_nonzero(self.full, axis=2).T.astype(np.float32)
+        self.slot = np.full(len(terms), -1, np.int32)
+        #: postings of rare terms in the lists of queries that were searched by pieces, and those read
+        self.rare_postings = self.rare_read = 0
 
         done, of, start = 0, [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
         self.doc, self.impact = np.empty(np.count_nonzero(rare), np.int32), np.empty(np.count_nonzero(rare), np.float32)
@@ -173,75 +189,161 @@ class Shard:
 
     def _exact(self, places: np.ndarray, at: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """The scores of some places, added up in the order of `at`."""
-        by_term, some = np.argsort(at), max(1, PART // max(len(at), len(self.term) // len(self.order)))
+        some = max(1, PART // max(len(at), len(self.term) // len(self.order)))
         if len(places) > some:  # large groups of copies
             return np.concatenate([self._exact(places[i : i + some], at, weights) for i in range(0, len(places), some)])
         doc = self.order[places]
-        owner, spots = _owned_ranges(self.begin[doc], self.begin[doc + 1] - self.begin[doc])
-        pairs = owner * np.int64(len(self.terms)) + self.term.take(spots)
-        wanted = np.arange(len(doc))[:, None] * len(self.terms) + at[by_term]
-        spot = np.minimum(np.searchsorted(pairs, wanted), max(0, len(pairs) - 1))
+        size = self.begin[doc + 1] - self.begin[doc]
+        own = [slice(a, a + n) for a, n in zip(self.begin[doc].tolist(), size.tolist(), strict=True)]
+        self.slot[at] = np.arange(len(at))
+        slot = self.slot.take(np.concatenate([self.term[x] for x in own]))
+        self.slot[at] = -1
+        hit = np.flatnonzero(slot >= 0)
+        owner, slot = np.repeat(np.arange(len(doc)), size)[hit], slot[hit]
         added = np.zeros((len(doc), len(at)))
-        if len(pairs):
-            added[:, by_term] = np.where(pairs[spot] == wanted, self._impact(doc[:, None], self.count[spots[spot]]) * weights[by_term], 0)
+        added[owner, slot] = self._impact(doc[owner], np.concatenate([self.count[x] for x in own])[hit]) * weights[slot]
         return np.cumsum(added, axis=1)[:, -1]
 
     def search(self, query_id, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple]:
         """(id, score) of the k best documents; terms in order."""
-        at = np.minimum(np.searchsorted(self.terms, terms), max(0, len(self.terms) - 1))
-        has = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
-        at, weights = at[has], weights[has]
-        if not len(at):
-            return []
-        order = np.lexsort((self.terms[at], -weights))
-        at, weights = at[order], weights[order]
-        self.postings += int(self.df[at].sum())
-        row = self.row[at]
-        rows, full_weights = row[row >= 0], weights[row >= 0].astype(np.float32)
-        short, short_weights = at[row < 0], weights[row < 0].astype(np.float32)
-
-        size = self.term_at[short + 1] - self.term_at[short]
-        pieces, weight = _ranges(self.term_at[short], size), np.repeat(short_weights, size)
-        block, first = self.block[pieces], self.piece_at[pieces]
-        size = self.piece_at[pieces + 1] - first
+        return self.search_all([(query_id, terms, weights)], k)[0]
+
+    def search_all(self, queries: list[tuple], k: int, least: np.ndarray | None = None) -> list[list[tuple]]:
+        """`search` for each (id, terms, weights); some queries at a time share the reading of frequent terms' lists.
+
+        `least` has a score for each query; documents of lower scores may be left out.
+        """
+        least, out = np.zeros(len(queries)) if least is None else least, []
+        while len(out) < len(queries):
+            whole = self.rare_read > WHOLE * self.rare_postings
+            some = slice(len(out), len(out) + (TOGETHER if whole else TOGETHER // 8))
+            out += self._together(queries[some], k, least[some], whole)
+        return out
+
+    def _known(self, queries: list[tuple]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The numbers and weights of each query's terms that this shard has, in falling order of weight."""
+        distinct, which = np.unique(np.concatenate([np.zeros(0, np.int64), *(terms for _, terms, _ in queries)]), return_inverse=True)
+        number = np.minimum(np.searchsorted(self.terms, distinct), max(0, len(self.terms) - 1))
+        number = np.where(self.terms[number] == distinct, number, -1)[which] if len(self.terms) else np.full(len(which), -1)
+        out, done = [], 0
+        for _, terms, weights in queries:
+            at = number[done : done + len(terms)]
+            done += len(terms)
+            at, weights = at[at >= 0], np.asarray(weights)[at >= 0]
+            order = np.lexsort((at, -weights))
+            out.append((at[order], weights[order]))
+        return out
+
+    def _rare(self, at: np.ndarray, weights: np.ndarray, total: np.ndarray) -> None:
+        """Adds what the whole lists of some rare terms give to all places."""
+        begin = self.piece_at[self.term_at[at]]
+        size = self.piece_at[self.term_at[at + 1]] - begin
+        spots = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        self.read += len(spots)
+        np.add.at(total, self.doc.take(spots).astype(np.int64), self.impact.take(spots) * np.repeat(weights, size))
+
+    def _together(self, queries: list[tuple], k: int, least: np.ndarray, whole: bool) -> list[list[tuple]]:
+        """Searches queries block by block. `whole`: the lists of rare terms are read at once, and bounds are taken from what they give."""
+        known = self._known(queries)
+        some = [i for i, (at, _) in enumerate(known) if len(at)]
+        out = [[] for _ in queries]
+        if not some:
+            return out
+        known, own_id = [known[i] for i in some], np.array([queries[i][0] for i in some], dtype=self.ids.dtype)
+        full_weights = np.zeros((len(some), self.full.shape[1]), np.float32)
+        total = np.zeros((len(some), self.blocks * BLOCK), np.float32)
+        in_blocks = total.reshape(len(some), self.blocks, BLOCK)
+        bound, pieces = np.zeros((len(some), self.blocks), np.float32), []
+        for q, (at, weights) in enumerate(known):
+            self.postings += int(self.df[at].sum())
+            row = self.row[at]
+            full_weights[q, row[row >= 0]] = weights[row >= 0]
+            short, short_weights = at[row < 0], weights[row < 0].astype(np.float32)
+            if whole:
+                self._rare(short, short_weights, total[q])
+                continue
+            size = self.term_at[short + 1] - self.term_at[short]
+            piece, weight = _ranges(self.term_at[short], size), np.repeat(short_weights, size)
+            bound[q] = np.bincount(self.block[piece], self.most[piece] * weight, minlength=self.blocks)
+            pieces.append((piece, weight))
+            self.rare_postings += int(self.df[short].sum())
+        if whole:
+            bound = in_blocks.max(axis=2)
+        step = max(1, -(-self.full.shape[1] // STEPS))
+        full_parts = [slice(begin, begin + step) for begin in range(0, self.full.shape[1], step)]
+        by_part = [np.ascontiguousarray(full_weights[:, part]) for part in full_parts]
         #: what the lists of frequent terms can add in a block, from each step's first on
-        full_parts = [slice(at, at + -(-len(rows) // STEPS)) for at in range(0, len(rows), max(1, -(-len(rows) // STEPS)))]
-        rest = np.array([full_weights[part.start :] @ self.full_most[rows[part.start :]] for part in full_parts] + [np.zeros(self.blocks)])
-        bound = rest[0] + np.bincount(block, self.most[pieces] * weight, minlength=self.blocks)
+        rest = [full_weights[:, part.start :] @ self.full_most[part.start :] for part in full_parts] + [np.zeros_like(bound)]
+        bound = bound + rest[0]
         # sums are taken in single precision and different orders, and ties are those of rounded scores
-        slack = 2.5e-7 * (len(at) + 4) * bound.max() + 2 * 10.0**-DIGITS
-        visits = np.argsort(-bound, kind="stable")
-        visits = visits[: np.count_nonzero(bound)]
-
-        score, found, limit, done, step = np.zeros(0), np.zeros(0, np.int64), 0.0, 0, FIRST_VISIT
-        while done < len(visits) and bound[visits[done]] >= limit:
-            now = visits[done : done + step]
-            now = now[bound[now] >= limit]
-            done, step = done + step, step * 4
-            visited = np.zeros(self.blocks, bool)
-            visited[now] = True
-            mine = np.flatnonzero(visited[block])
-            owner, spots = _owned_ranges(first[mine], size[mine])
-            self.read += len(spots)
-            total = np.zeros((self.blocks, BLOCK), np.float32)
-            np.add.at(total.ravel(), self.doc.take(spots).astype(np.int64), self.impact.take(spots) * weight[mine].take(owner))
-            total = total[now]
-            for part, left in zip(full_parts, rest, strict=False):
-                pivot = total.max(axis=1) + left[now] >= limit
-                now, total = now[pivot], total[pivot]
-                full = rows[part, None] * self.blocks + now
-                self.read += int(self.full_size.take(full).sum())
-                total += (full_weights[part] @ self.full.take(full, axis=0).reshape(len(full), len(now) * BLOCK)).reshape(-1, BLOCK)
-            which, spot = np.nonzero((total >= limit) & (total > 0))
-            place = now[which] * BLOCK + spot
-            other = self.ids[place] != query_id
-            score, found = np.append(score, total[which, spot][other]), np.append(found, place[other])
-            if len(score) >= k:
-                limit = np.partition(score, len(score) - k)[len(score) - k] - slack
-                keep = score >= limit
-                score, found = score[keep], found[keep]
-        best = [(i, round(s, DIGITS)) for i, s in zip(self.ids[found].tolist(), self._exact(found, at, weights).tolist(), strict=True)]
-        return sorted((x for x in best if x[1] > 0), key=lambda x: (-x[1], x[0]))[:k]
+        slack = 2.5e-7 * (np.array([len(at) for at, _ in known]) + 4) * bound.max(axis=1) + 2 * 10.0**-DIGITS
+        order = np.argsort(-bound, axis=1, kind="stable")
+        # rounded down, as limits are kept in single precision
+        limit = np.nextafter(np.maximum(least[some] - slack, 0).astype(np.float32), np.float32(0))
+        found = [(np.zeros(0), np.zeros(0, np.int64))] * len(some)
+        begin, size = 0, FIRST_VISIT
+        while begin < self.blocks:
+            now = order[:, begin : begin + size]
+            reached = np.take_along_axis(bound, now, axis=1)
+            q, at = np.nonzero((reached >= limit[:, None]) & (reached > 0))
+            if not len(q):
+                break
+            block = now[q, at]
+            begin, size = begin + size, size * 4
+            if not whole:
+                visited = np.zeros((len(some), self.blocks), bool)
+                visited[q, block] = True
+                for i, (piece, weight) in enumerate(pieces):
+                    mine = np.flatnonzero(visited[i].take(self.block.take(piece)))
+                    first = self.piece_at.take(piece[mine])
+                    owner, spots = _owned_ranges(first, self.piece_at.take(piece[mine] + 1) - first)
+                    self.read += len(spots)
+                    self.rare_read += len(spots)
+                    np.add.at(total[i], self.doc.take(spots).astype(np.int64), self.impact.take(spots) * weight[mine].take(owner))
+            hits = self._visited(q, block, in_blocks, full_parts, by_part, rest, limit)
+            other = self.ids[hits[1]] != own_id[hits[0]]
+            q, place, score = (x[other] for x in hits)
+            ends = np.searchsorted(q, np.arange(len(some) + 1))
+            for i in np.unique(q).tolist():
+                new = slice(ends[i], ends[i + 1])
+                scores, places = np.append(found[i][0], score[new]), np.append(found[i][1], place[new])
+                if len(scores) >= k:
+                    own = np.partition(scores, len(scores) - k)[len(scores) - k] - slack[i]
+                    limit[i] = max(limit[i], np.nextafter(np.float32(own), np.float32(-np.inf)))
+                    keep = scores >= limit[i]
+                    scores, places = scores[keep], places[keep]
+                found[i] = scores, places
+        for i, (at, weights), (_, places), query in zip(some, known, found, own_id, strict=True):
+            places = places[self.ids[places] != query]
+            best = [(j, round(x, DIGITS)) for j, x in zip(self.ids[places].tolist(), self._exact(places, at, weights).tolist(), strict=True)] if len(places) else []
+            out[i] = sorted((x for x in best if x[1] > 0), key=lambda x: (-x[1], x[0]))[:k]
+        return out
+
+    def _visited(self, query, block, in_blocks, full_parts, by_part, rest, limit) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query, place and score, by query, of what reaches a query's limit in blocks that it visits, given each pair of them."""
+        by_block = np.lexsort((query, block))
+        query, block = query[by_block], block[by_block]
+        cuts = np.flatnonzero(np.diff(block, prepend=-1)).tolist()
+        reads = [np.zeros((self.blocks, len(limit)), np.float32) for _ in full_parts]
+        hits = []
+        for begin, end in zip(cuts, [*cuts[1:], len(block)], strict=True):
+            at, q = int(block[begin]), query[begin:end]
+            sums, least = in_blocks[q, at], limit[q]
+            for part, weights, left, read in zip(full_parts, by_part, rest, reads, strict=False):
+                pivot = sums.max(axis=1) + left[q, at] >= least
+                if not pivot.all():
+                    q, sums, least = q[pivot], sums[pivot], least[pivot]
+                    if not len(q):
+                        break
+                read[at, q] = 1
+                sums += weights[q] @ self.full[at, part]
+            which, spot = np.nonzero((sums >= least[:, None]) & (sums > 0))
+            hits.append((q[which], at * BLOCK + spot, sums[which, spot]))
+        for part, weights, read in zip(full_parts, by_part, reads, strict=True):
+            self.read += int((read @ (weights > 0).astype(np.float32) * self.full_size[part].T).sum(dtype=np.float64))
+        query, place, score = (np.concatenate(x) for x in zip(*hits, strict=True))
+        by_query = np.argsort(query, kind="stable")
+        return query[by_query], place[by_query], score[by_query].astype(float)
 
 
 def _frequencies(runs: DataFrame) -> DataFrame:
@@ -324,9 +426,7 @@ def search(rows: DataFrame, is_query: Column, k: int = 10, key: str = "doc_id",
     queries = common.written(asked.mapInPandas(packed, f"query_id {kind}, terms binary, weights binary, df binary"), "queries")
     parts = max(1, -(-queries.count() // QUERIES))
     queries = queries.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int"))
-    queries = queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-
-    runs = runs.withColumn("shard", _shard(shards)).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    runs = runs.withColumn("shard", _shard(shards))
 
     def merged(index: pd.DataFrame) -> tuple[np.ndarray, ...]:
         terms = [common.sums(x) for x in index["terms"]]
@@ -344,11 +444,29 @@ def search(rows: DataFrame, is_query: Column, k: int = 10, key: str = "doc_id",
             del index
             shard = Shard(ids, sizes, distinct, *pairs, mean_length)
             del pairs
-            for query in queries.itertuples():
-                weights = common.unpack(query.weights, np.int32) * inverse_frequency(documents, common.unpack(query.df, np.int64))
-                hits += [(query.query_id, i, s) for i, s in shard.search(query.query_id, common.sums(query.terms), weights, k)]
+            for start in range(0, len(queries), TOGETHER):
+                now = queries.iloc[start : start + TOGETHER]
+                some = [
+                    (query.query_id, common.sums(query.terms), common.unpack(query.weights, np.int32) * inverse_frequency(documents, common.unpack(query.df, np.int64)))
+                    for query in now.itertuples()
+                ]
+                hits += [(own[0], i, s) for own, best in zip(some, shard.search_all(some, k, now["least"].to_numpy()), strict=True) for i, s in best]
         return pd.DataFrame(hits, columns=["query_id", "doc_id", "score"])
 
-    lists = runs.groupBy("shard", "part").cogroup(queries.groupBy("shard", "part")).applyInPandas(found, f"query_id {kind}, doc_id {kind}, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
-    return lists.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
+    def best(begin: int, end: int, queries: DataFrame, *others: DataFrame) -> DataFrame:
+        """The k best of some shards and of other lists."""
+        index = runs.filter(F.col("shard").between(begin, end - 1)).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        asked = queries.withColumn("shard", F.explode(F.sequence(F.lit(begin), F.lit(end - 1))))
+        lists = index.groupBy("shard", "part").cogroup(asked.groupBy("shard", "part")).applyInPandas(found, f"query_id {kind}, doc_id {kind}, score double")
+        for other in others:
+            lists = lists.union(other)
+        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
+        return lists.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
+
+    # what the first shards' documents reach is the least that the others' are searched for
+    first = max(1, round(shards**0.5))
+    if first == shards:
+        return best(0, shards, queries.withColumn("least", F.lit(0.0)))
+    begun = common.written(best(0, first, queries.withColumn("least", F.lit(0.0))), "first")
+    least = begun.filter(F.col("rank") == k).select("query_id", F.col("score").alias("least"))
+    return best(first, shards, queries.join(least, "query_id", "left").fillna(0.0, ["least"]), begun.select("query_id", "doc_id", "score"))

@@ -170,3 +170,42 @@ def test_runs_are_dealt_evenly(spark, partitions, runs, shards):
     dealt = collections.Counter(r[0] for r in index.select(topk_search._shard(shards)).collect())
     assert set(dealt) == set(range(shards))
     assert max(dealt.values()) <= 1.3 * partitions * runs / shards + 1
+
+
+def test_bm25_queries_searched_together(monkeypatch):
+    """Searches give the same rows alone and together, by pieces and by whole lists; a known limit spares more of them."""
+    rng = np.random.default_rng(5)
+    n = 6000
+    drafts = [np.concatenate([rng.integers(0, 100, 20), 100 + 250 * (i % 3) + rng.zipf(1.3, 20) % 250]) for i in range(n)]
+    texts = [np.where(rng.random(40) < 0.1, rng.integers(0, 850, 40), x) for x in drafts]
+    sizes = np.array([len(x) for x in texts])
+    terms, doc, term, count = topk_search._counted(np.concatenate(texts) + 2, sizes)
+    idf = topk_search.inverse_frequency(n, np.bincount(term, minlength=len(terms)))
+    queries = [(query, own, idf[np.searchsorted(terms, own)]) for query in range(0, n, 40) for own in [np.unique(texts[query] + 2)]]
+    queries += [(-1, np.array([1]), np.array([1.0])), (-2, np.zeros(0, np.int64), np.zeros(0))]
+    shard = topk_search.Shard(np.arange(n), sizes, terms, doc, term, count, float(sizes.mean()))
+    alone = [shard.search(*query, 10) for query in queries]
+    assert alone[-2:] == [[], []] and all(len(x) == 10 for x in alone[:-2])
+    least = np.array([x[4][1] if x else 0 for x in alone])
+    for whole in (-1, 9):
+        for together in (8, 64, 512):
+            monkeypatch.setattr(topk_search, "WHOLE", whole)
+            monkeypatch.setattr(topk_search, "TOGETHER", together)
+            shard.read = shard.rare_read = 0
+            shard.rare_postings = 1
+            assert shard.search_all(queries, 10) == alone
+            read, shard.read = shard.read, 0
+            some = shard.search_all(queries, 10, least)
+            assert [[x for x in own if x[1] >= y] for own, y in zip(some, least, strict=True)] == [[x for x in own if x[1] >= y] for own, y in zip(alone, least, strict=True)]
+            assert shard.read < read
+
+
+def test_bm25_later_shards_begin_with_a_limit(documents, monkeypatch):
+    """Every score that a later shard is searched for is the k-th best of the first shards' documents."""
+    monkeypatch.setattr(topk_search, "SHARD", 40)
+    seen, real = [], topk_search.common.written
+    monkeypatch.setattr(topk_search.common, "written", lambda frame, purpose: seen.append((purpose, real(frame, purpose))) or seen[-1][1])
+    found = topk_search.search(documents, F.col("doc_id") % 10 == 0).collect()
+    begun = dict(seen)["first"].collect()
+    last, best = ({r.query_id: r.score for r in rows if r["rank"] == 10} for rows in (begun, found))
+    assert last and all(best[query] >= score for query, score in last.items())
